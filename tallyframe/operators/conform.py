@@ -37,10 +37,10 @@ def header_groups(checked: DataFrame) -> list[HeaderGroup]:
 def parse_files(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
     """All rows of the good files: the fact columns, and per row its file and its faults.
 
-    Besides the fact columns the frame has ``source_file``, ``bad_columns`` (those with a value
-    that does not fit the column type) and ``raw_record`` (the values as read, as JSON). A file
-    is never read with the header of another one: there is one scan per distinct header, and
-    the reader compares the header of each file with it again.
+    Besides the fact columns the frame has ``source_file``, ``fits``, and for rows with a value
+    that does not fit its column type ``reason`` (which columns) and ``raw_record`` (the values
+    as read, as JSON). A file is never read with the header of another one: there is one scan
+    per distinct header, and the reader compares the header of each file with it again.
     """
     parts = [_parse_group(spark, group) for group in groups]
     if not parts:
@@ -48,7 +48,8 @@ def parse_files(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
             [
                 *SALES_FACT.fields,
                 T.StructField("source_file", T.StringType()),
-                T.StructField("bad_columns", T.ArrayType(T.StringType())),
+                T.StructField("fits", T.BooleanType()),
+                T.StructField("reason", T.StringType()),
                 T.StructField("raw_record", T.StringType()),
             ]
         )
@@ -58,16 +59,12 @@ def parse_files(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
 
 def accepted_rows(parsed: DataFrame) -> DataFrame:
     """Rows whose values all fit, in fact layout plus ``source_file``."""
-    return parsed.where(F.size("bad_columns") == 0).select(*SALES_FACT.names, "source_file")
+    return parsed.where("fits").select(*SALES_FACT.names, "source_file")
 
 
 def rejected_rows(parsed: DataFrame) -> DataFrame:
     """Rows with a value that does not fit, as (source_file, reason, raw_record)."""
-    return parsed.where(F.size("bad_columns") > 0).select(
-        "source_file",
-        F.concat(F.lit("bad value: "), F.concat_ws(",", "bad_columns")).alias("reason"),
-        "raw_record",
-    )
+    return parsed.where(~F.col("fits")).select("source_file", "reason", "raw_record")
 
 
 def conform(spark: SparkSession, checked: DataFrame) -> DataFrame:
@@ -85,22 +82,21 @@ def _parse_group(spark: SparkSession, group: HeaderGroup) -> DataFrame:
         .csv(group.paths)
     )
     extra = [name for name in group.header if name not in SALES_CONTRACT.names]
-    values = [_typed(f).alias(f.name) for f in SALES_CONTRACT.fields]
-    faults = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(f.name).isNotNull() & _typed(f).isNull(), F.lit(f.name))
-                for f in SALES_CONTRACT.fields
-                if not isinstance(f.dataType, T.StringType)
-            ]
-        )
-    )
+    misfit = {
+        f.name: F.col(f.name).isNotNull() & _typed(f).isNull()
+        for f in SALES_CONTRACT.fields
+        if not isinstance(f.dataType, T.StringType)
+    }
+    fits = ~reduce(Column.__or__, misfit.values())
+    faults = F.concat_ws(",", *[F.when(wrong, F.lit(name)) for name, wrong in misfit.items()])
+    record = F.to_json(F.struct(*[F.col(f"`{n.replace('`', '``')}`") for n in group.header]))
     return raw.select(
-        *values,
+        *[_typed(f).alias(f.name) for f in SALES_CONTRACT.fields],
         fold_columns(extra).alias(ADDITIONAL_COLUMN),
         plain_path_column(F.col("_metadata.file_path")).alias("source_file"),
-        faults.alias("bad_columns"),
-        F.to_json(F.struct(*[F.col(f"`{n.replace('`', '``')}`") for n in group.header])).alias("raw_record"),
+        fits.alias("fits"),
+        F.when(~fits, F.concat(F.lit("bad value: "), faults)).alias("reason"),
+        F.when(~fits, record).alias("raw_record"),
     )
 
 

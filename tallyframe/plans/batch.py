@@ -36,7 +36,7 @@ STORED_FACT = T.StructType(
     [
         *SALES_FACT.fields,
         T.StructField("source_file", T.StringType()),
-        T.StructField("bad_columns", T.ArrayType(T.StringType())),
+        T.StructField("reason", T.StringType()),
         T.StructField("raw_record", T.StringType()),
         T.StructField("run_epoch_ms", T.LongType()),
         T.StructField("row_state", T.StringType()),
@@ -140,13 +140,11 @@ def take_in(spark: SparkSession, files: DataFrame, layout: Layout, run: int) ->
     write_snapshot(
         ledger.register_files(good, F.current_timestamp(), F.lit(run)), layout.folder("ledger_registered"), run
     )
-    ok = F.size("bad_columns") == 0
-    parsed = parse_files(spark, header_groups(checked)).withColumns(
-        {
-            "row_state": F.when(ok, "ok").otherwise("rejected"),
-            "sales_month": F.when(ok, month_of("sales_date")),
-            "raw_record": F.when(~ok, F.col("raw_record")),
-        }
+    parsed = (
+        parse_files(spark, header_groups(checked))
+        .withColumn("row_state", F.when(F.col("fits"), "ok").otherwise("rejected"))
+        .withColumn("sales_month", F.when(F.col("fits"), month_of("sales_date")))
+        .drop("fits")
     )
     counted, observation = observed(parsed, f"parsed rows of run {run}")
     write_snapshot(counted, layout.folder("fact"), run, by=["row_state", "sales_month"])

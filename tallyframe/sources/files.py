@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,11 +28,10 @@ def plain_path_column(path: Column) -> Column:
 
 
 def files_frame(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    rows = [(plain_path(p),) for p in paths]
-    names = spark.createDataFrame(rows, "path string")
-    # A task per few files at first, and no more tasks than keep the cluster busy.
-    names = names.repartition(max(1, min(len(rows) // 4, spark.sparkContext.defaultParallelism * 4)))
-    return names.select("path", base_name("path").alias("file_name"), strip_store("path").alias("object_key"))
+    names = pa.table({"path": pa.array([plain_path(p) for p in paths], pa.string())})
+    return spark.createDataFrame(names).select(
+        "path", base_name("path").alias("file_name"), strip_store("path").alias("object_key")
+    )
 
 
 def list_files(spark: SparkSession, location: str) -> DataFrame:
