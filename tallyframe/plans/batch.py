@@ -21,7 +21,6 @@ from tallyframe.operators import ledger, marts
 from tallyframe.operators.conform import header_groups, parse_files
 from tallyframe.operators.contract import bad_files, check_files, good_files, quarantine_lines
 from tallyframe.operators.dimensions import enrich, repeated_keys, unmatched
-from tallyframe.operators.metrics import observed
 from tallyframe.schema import LEDGER_EVENT, SALES_FACT
 from tallyframe.sinks.files import (
     complete_snapshots,
@@ -87,7 +86,8 @@ class RunReport:
     run_epoch_ms: int
     n_good_files: int = 0
     n_bad_files: int = 0
-    n_parsed_rows: int = 0
+    n_good_rows: int = 0
+    n_bad_rows: int = 0
     months: list[str | None] = field(default_factory=list)
     interrupted: list[str] = field(default_factory=list)
 
@@ -106,6 +106,10 @@ def ledger_events(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def stored_fact(spark: SparkSession, layout: Layout, runs: list[int], row_state: str = "ok") -> DataFrame:
     """The rows of the given runs; rejected ones with ``row_state="rejected"``."""
+    return _fact_files(spark, layout, runs).where(F.col("row_state") == row_state)
+
+
+def _fact_files(spark: SparkSession, layout: Layout, runs: list[int]) -> DataFrame:
     if not runs:
         return spark.createDataFrame([], STORED_FACT)
     root = layout.folder("fact")
@@ -113,7 +117,6 @@ def stored_fact(spark: SparkSession, layout: Layout, runs: list[int], row_state:
         spark.read.schema(STORED_FACT)
         .option("basePath", root)
         .parquet(*[snapshot_folder(root, run) for run in runs])
-        .where(F.col("row_state") == row_state)
     )
 
 
@@ -136,6 +139,8 @@ def take_in(spark: SparkSession, files: DataFrame, layout: Layout, run: int) ->
     if lines is not None:
         write_snapshot(lines, layout.folder("quarantine_files"), run)
 
+    if not report.n_good_files:
+        return report
     good = good_files(checked)
     write_snapshot(
         ledger.register_files(good, F.current_timestamp(), F.lit(run)), layout.folder("ledger_registered"), run
@@ -146,9 +151,13 @@ def take_in(spark: SparkSession, files: DataFrame, layout: Layout, run: int) ->
         .withColumn("sales_month", F.when(F.col("fits"), month_of("sales_date")))
         .drop("fits")
     )
-    counted, observation = observed(parsed, f"parsed rows of run {run}")
-    write_snapshot(counted, layout.folder("fact"), run, by=["row_state", "sales_month"])
-    report.n_parsed_rows = observation.get["n_rows"]
+    write_snapshot(parsed, layout.folder("fact"), run, by=["row_state", "sales_month"])
+    # Counts rows by folder from the footers of the new files.
+    rows = {
+        r.row_state: r["count"]
+        for r in _fact_files(spark, layout, [run]).groupBy("row_state").count().collect()
+    }
+    report.n_good_rows, report.n_bad_rows = rows.get("ok", 0), rows.get("rejected", 0)
     return report
 
 

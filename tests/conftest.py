@@ -1,7 +1,10 @@
 import sys
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
@@ -26,10 +29,19 @@ def spark():
     session.stop()
 
 
+def frame(spark, rows, layout):
+    """Rows as a local frame, cast to the layout; unlike a list of rows it needs no Python worker."""
+    fields = T.StructType.fromDDL(layout).fields
+    texts = [[None if r[i] is None else str(r[i]) for r in rows] for i in range(len(fields))]
+    table = pa.table({f.name: pa.array(t, pa.string()) for f, t in zip(fields, texts, strict=True)})
+    return spark.createDataFrame(table).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+
 @pytest.fixture
 def star(spark):
     """Hand-made dimensions: customers 1 to 3 (the third without a last name), stores, sellers."""
-    customer = spark.createDataFrame(
+    customer = frame(
+        spark,
         [
             (1, "Saanvi", "K", "Delhi", "110001", "91-1"),
             (2, "Dhanush", "S", "Agra", "282001", "91-2"),
@@ -37,11 +49,13 @@ def star(spark):
         ],
         "customer_id long, first_name string, last_name string, address string, pincode string, phone_number string",
     )
-    store = spark.createDataFrame(
+    store = frame(
+        spark,
         [(121, "Main road", "110001", "Anil"), (122, "Mall", "110002", "Bina")],
         "id long, address string, store_pincode string, store_manager_name string",
     )
-    team = spark.createDataFrame(
+    team = frame(
+        spark,
         [(i, f"Seller{i}", f"N{i}", 10, "N", "Delhi", "1100", None) for i in range(1, 5)],
         "id long, first_name string, last_name string, manager_id int, is_manager string, "
         "address string, pincode string, joining_date date",
@@ -68,8 +82,8 @@ LOST_FACT = [
 
 
 def fact_frame(spark, rows):
-    text = spark.createDataFrame(
-        rows, "customer_id long, store_id long, sales_date string, sales_person_id long, total_cost string"
+    text = frame(
+        spark, rows, "customer_id long, store_id long, sales_date string, sales_person_id long, total_cost string"
     )
     return text.selectExpr(
         "customer_id",

@@ -1,0 +1,161 @@
+import os
+import random
+
+import pytest
+from conftest import as_text
+from feeds import VALID, feed, put
+
+from tallyframe.operators import ledger
+from tallyframe.plans import batch
+from tallyframe.plans.batch import Database, Dimensions, Layout, ledger_events, read_mart, run_batch, stored_fact
+from tallyframe.streaming.ingest import ingest_available, ingested_fact
+
+
+def sale(customer, store, day, seller, total):
+    return f"{customer},{store},soap,{day},{seller},{total},1,{total}"
+
+
+MARCH = [
+    sale(1, 121, "2023-03-30", 1, 100),
+    sale(1, 121, "2023-03-30", 1, 100),
+    sale(2, 121, "2023-03-05", 2, 150),
+    sale(99, 121, "2023-03-05", 2, 999),
+    sale(1, 121, "2023-03-05", "[1]", 999),
+]
+
+
+@pytest.fixture
+def shop(spark, star, tmp_path):
+    (tmp_path / "landing").mkdir()
+    return tmp_path / "landing", Layout(str(tmp_path / "store")), Dimensions(*star)
+
+
+def sales(spark, layout):
+    return as_text(read_mart(spark, layout, "sales_mart"), "store_id", "sales_person_id", "sales_month", "total_sales", "incentive")
+
+
+def test_one_run(spark, shop):
+    landing, layout, dims = shop
+    put(landing, "march.csv", feed(VALID, *MARCH))
+    put(landing, "broken.csv", feed(VALID.replace("store_id,", ""), "1,soap,2023-03-01,1,1,1,1"))
+    put(landing, "notes.txt", "x")
+    report = run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000)
+    assert (report.n_good_files, report.n_bad_files) == (1, 2)
+    assert (report.n_good_rows, report.n_bad_rows, report.months) == (4, 1, ["2023-03"])
+    assert sales(spark, layout) == [
+        ("121", "1", "2023-03", "200.00", "2.0000"),
+        ("121", "2", "2023-03", "150.00", "0.0000"),
+    ]
+    assert as_text(read_mart(spark, layout, "customer_mart"), "full_name", "sales_date_month", "total_sales") == [
+        ("Dhanush S", "2023-03", "150.00"),
+        ("Saanvi K", "2023-03", "200.00"),
+    ]
+    # Every parsed row is in the marts or in one of the reject folders.
+    assert as_text(stored_fact(spark, layout, [1000], "rejected"), "reason") == [("bad value: sales_person_id",)]
+    keys = spark.read.parquet(layout.folder("quarantine_keys/run_epoch_ms=1000"))
+    assert as_text(keys, "customer_id", "reason") == [("99", "unknown customer_id")]
+    lines = spark.read.parquet(layout.folder("quarantine_files/run_epoch_ms=1000"))
+    assert as_text(lines, "file_name", "line")[0] == ("broken.csv", "1,soap,2023-03-01,1,1,1,1")
+    assert as_text(ledger.latest_state(ledger_events(spark, layout)), "file_name", "status") == [("march.csv", "I")]
+    assert as_text(spark.read.parquet(layout.folder("sales_rows")), "sales_month", "store_id", "total_cost")[0] == ("2023-03", "121", "100.00")
+    assert spark.read.parquet(layout.folder("customer_rows")).count() == 3
+
+
+def test_a_month_in_two_runs_is_summed_and_ranked_again(spark, shop):
+    landing, layout, dims = shop
+    put(landing, "march.csv", feed(VALID, *MARCH, sale(1, 122, "2023-02-01", 4, 10)))
+    run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000)
+    put(landing, "late.csv", feed(VALID, sale(3, 121, "2023-03-31", 2, 60)))
+    report = run_batch(spark, str(landing), layout, dims, run_epoch_ms=2000)
+    assert (report.n_good_files, report.months) == (1, ["2023-03"])
+    assert sales(spark, layout) == [
+        ("121", "1", "2023-03", "200.00", "0.0000"),
+        ("121", "2", "2023-03", "210.00", "2.1000"),
+        ("122", "4", "2023-02", "10.00", "0.1000"),
+    ]
+    again = run_batch(spark, str(landing), layout, dims, run_epoch_ms=3000)
+    assert (again.n_good_files, again.months) == (0, [])
+    with pytest.raises(ValueError, match="finished"):
+        run_batch(spark, str(landing), layout, dims, run_epoch_ms=2000)
+
+
+def test_an_interrupted_run_leaves_no_trace_in_the_marts(spark, shop, monkeypatch):
+    landing, layout, dims = shop
+    put(landing, "march.csv", feed(VALID, *MARCH))
+    with monkeypatch.context() as patch:
+        def stop(*_):
+            raise RuntimeError("lost")
+
+        patch.setattr(batch.marts, "sales_mart", stop)
+        with pytest.raises(RuntimeError, match="lost"):
+            run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000)
+    assert as_text(ledger.latest_state(ledger_events(spark, layout)), "file_name", "status") == [("march.csv", "A")]
+    with pytest.raises(RuntimeError, match="did not finish"):
+        run_batch(spark, str(landing), layout, dims, run_epoch_ms=2000, on_interrupted="fail")
+    report = run_batch(spark, str(landing), layout, dims, run_epoch_ms=2000)
+    assert report.interrupted == ["march.csv"]
+    assert sales(spark, layout) == [
+        ("121", "1", "2023-03", "200.00", "2.0000"),
+        ("121", "2", "2023-03", "150.00", "0.0000"),
+    ]
+    assert batch.closed_runs(spark, layout) == [2000]
+
+
+def test_marts_reach_the_database(spark, shop):
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", os.devnull)
+    landing, layout, dims = shop
+    database = Database("jdbc:derby:memory:batch;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    put(landing, "march.csv", feed(VALID, *MARCH))
+    run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000, database=database, keep_base_rows=False)
+    stored = spark.read.jdbc(database.url, "sales_team_data_mart", properties=database.properties)
+    assert as_text(stored) == as_text(read_mart(spark, layout, "sales_mart"))
+
+
+def test_files_without_rows_are_closed_too(spark, shop):
+    landing, layout, dims = shop
+    put(landing, "header_only.csv", VALID + "\n")
+    report = run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000)
+    assert (report.n_good_files, report.n_good_rows, report.months) == (1, 0, [])
+    assert as_text(ledger.latest_state(ledger_events(spark, layout)), "status") == [("I",)]
+    put(landing, "march.csv", feed(VALID, *MARCH))
+    assert run_batch(spark, str(landing), layout, dims, run_epoch_ms=2000).months == ["2023-03"]
+
+
+def test_repeated_dimension_keys_stop_the_run(spark, shop):
+    landing, layout, dims = shop
+    put(landing, "march.csv", feed(VALID, *MARCH))
+    doubled = Dimensions(dims.customer, dims.store.unionByName(dims.store), dims.sales_team)
+    with pytest.raises(ValueError, match="store"):
+        run_batch(spark, str(landing), layout, doubled)
+
+
+def test_stream_equals_batch_and_takes_each_file_once(spark, shop, tmp_path):
+    landing, layout, dims = shop
+    rng = random.Random(3)
+    turned = ",".join(reversed(VALID.split(",")))
+    for number in range(3):
+        rows = [
+            sale(rng.randint(1, 3), rng.choice([121, 122]), f"2023-0{rng.randint(1, 3)}-11", rng.randint(1, 4), rng.randint(1, 90))
+            for _ in range(30)
+        ]
+        if number == 1:
+            put(landing, f"f{number}.csv", feed(turned, *[",".join(reversed(r.split(","))) for r in rows]))
+        else:
+            put(landing, f"f{number}.csv", feed(VALID, *rows))
+    put(landing, "notes.txt", "x")
+    stream = Layout(str(tmp_path / "stream"))
+    ingest_available(spark, str(landing), stream, dimensions=dims, files_per_batch=2, keep_base_rows=False)
+    run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000, keep_base_rows=False)
+    columns = ["customer_id", "store_id", "sales_date", "sales_person_id", "total_cost"]
+    assert as_text(ingested_fact(spark, stream), *columns) == as_text(stored_fact(spark, layout, [1000]), *columns)
+    assert sales(spark, stream) == sales(spark, layout)
+
+    runs = batch.closed_runs(spark, stream)
+    assert len(runs) == 2
+    ingest_available(spark, str(landing), stream, dimensions=dims, files_per_batch=2, keep_base_rows=False)
+    assert batch.closed_runs(spark, stream) == runs
+    put(landing, "f9.csv", feed(VALID, sale(1, 121, "2023-03-01", 1, 5000)))
+    ingest_available(spark, str(landing), stream, dimensions=dims, files_per_batch=2, keep_base_rows=False)
+    assert len(batch.closed_runs(spark, stream)) == 3
+    assert ingested_fact(spark, stream).count() == 91
+    assert ("121", "1", "2023-03") in [row[:3] for row in sales(spark, stream) if float(row[4]) > 50]

@@ -1,3 +1,4 @@
+from conftest import frame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import (
@@ -36,21 +37,21 @@ def test_full_name_needs_both_parts(spark):
 
 
 def test_fold_keeps_order_and_skips_nulls(spark):
-    df = spark.createDataFrame([("UPI", "north"), ("UPI", None), (None, None)], "mode string, zone string")
+    df = frame(spark, [("UPI", "north"), ("UPI", None), (None, None)], "mode string, zone string")
     assert [r[0] for r in df.select(fold_columns(["zone", "mode"])).collect()] == ["north,UPI", "UPI", ""]
     assert [r[0] for r in df.select(fold_columns([])).collect()] == [None, None, None]
     assert df.select(fold_columns([])).schema[0].dataType.simpleString() == "string"
 
 
 def test_whole_numbers(spark):
-    df = spark.createDataFrame([("3",), (" 4 ",), ("5.0",), ("5.5",), ("[1, 2]",), ("x",), (None,), ("99999999999",)], "t string")
+    df = frame(spark, [("3",), (" 4 ",), ("5.0",), ("5.5",), ("[1, 2]",), ("x",), (None,), ("99999999999",)], "t string")
     got = [r[0] for r in df.select(to_whole_number(F.col("t"), "int")).collect()]
     assert got == [3, 4, 5, None, None, None, None, None]
 
 
 def test_paths(spark):
     names = ["s3a://shop/in/day 1.csv", "file:/data/x.csv", "hdfs://nn:8020/in/y.csv"]
-    df = spark.createDataFrame([(n,) for n in names], "p string")
+    df = frame(spark, [(n,) for n in names], "p string")
     assert [tuple(r) for r in df.select(base_name("p"), strip_store("p")).collect()] == [
         ("day 1.csv", "in/day 1.csv"),
         ("x.csv", "data/x.csv"),

@@ -1,4 +1,4 @@
-from conftest import as_text
+from conftest import as_text, frame
 from pyspark.sql import functions as F
 
 from tallyframe.operators import ledger
@@ -15,13 +15,13 @@ def events(spark):
         ("quick.csv", "in/quick.csv", "2023-03-03 10:00:00", 5, "I"),
         ("quick.csv", "in/quick.csv", "2023-03-03 10:00:00", 4, "A"),
     ]
-    df = spark.createDataFrame(rows, "file_name string, file_location string, t string, event_id long, status string")
+    df = frame(spark, rows, "file_name string, file_location string, t string, event_id long, status string")
     return df.select("file_name", "file_location", F.col("t").cast("timestamp").alias("event_time"), "event_id", "status")
 
 
 def landed(spark):
     names = ["done.csv", "dead.csv", "again.csv", "quick.csv", "new.csv"]
-    return spark.createDataFrame([(n,) for n in names], "file_name string")
+    return frame(spark, [(n,) for n in names], "file_name string")
 
 
 def test_latest_state(spark):
@@ -39,7 +39,7 @@ def test_active_and_pending(spark):
 
 
 def test_register_and_close(spark):
-    files = spark.createDataFrame([("a.csv", "s3a://x/a.csv")], "file_name string, path string")
+    files = frame(spark, [("a.csv", "s3a://x/a.csv")], "file_name string, path string")
     now, run = F.lit("2023-03-01 10:00:00.75").cast("timestamp"), F.lit(7000)
     both = ledger.register_files(files, now, run).unionByName(ledger.close_files(files, now, run))
     assert both.columns == LEDGER_EVENT.names

@@ -1,6 +1,6 @@
 import random
 
-from conftest import GOLDEN_FACT, LOST_FACT, as_text, fact_frame
+from conftest import GOLDEN_FACT, LOST_FACT, as_text, fact_frame, frame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -112,7 +112,7 @@ def test_split_rank_equals_window_rank(spark):
     amounts = [None, "0.00", "0.05", "-0.05", "-12.30", "9.99", "10.00", "99.99", "100.00", "100.01", "123456.78"]
     # One group holds most rows, and one amount most rows of the group.
     rows = [("hot" if rng.random() < 0.7 else rng.choice(["a", "b", None]), rng.choice([*amounts, *["7.77"] * 9])) for _ in range(900)]
-    df = spark.createDataFrame(rows, "g string, v string").selectExpr("g", "cast(v as decimal(18,2)) as v")
+    df = frame(spark, rows, "g string, v string").selectExpr("g", "cast(v as decimal(18,2)) as v")
     window = Window.partitionBy("g").orderBy(F.desc("v"))
     expected = df.withColumn("rnk", F.rank().over(window).cast("long"))
     assert as_text(rank_descending(df, ["g"], "v", "rnk").selectExpr("coalesce(g,'-')", "coalesce(string(v),'-')", "rnk")) == as_text(
@@ -142,5 +142,5 @@ def test_fact_is_scanned_once_for_the_sales_mart(spark, star, tmp_path):
 
 
 def test_repeated_keys(spark):
-    df = spark.createDataFrame([(1,), (2,), (2,)], "id long")
+    df = frame(spark, [(1,), (2,), (2,)], "id long")
     assert as_text(repeated_keys(df, "id")) == [("2", "2")]

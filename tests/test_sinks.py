@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import as_text
+from conftest import as_text, frame
 
 from tallyframe.operators.metrics import load_metrics
 from tallyframe.sinks.files import (
@@ -16,7 +16,7 @@ from tallyframe.sources.jdbc import keep_table, read_table
 
 
 def months(spark, *rows):
-    return spark.createDataFrame(rows, "sales_month string, store_id long, total long")
+    return frame(spark, rows, "sales_month string, store_id long, total long")
 
 
 def test_plain_write(spark, tmp_path):
@@ -89,5 +89,5 @@ def test_database_roundtrip(spark, tmp_path):
 
 
 def test_load_metrics(spark):
-    df = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "a long, b string")
+    df = frame(spark, [(1, None), (2, "x"), (None, None)], "a long, b string")
     assert as_text(load_metrics(df)) == [("a", "3", "1"), ("b", "3", "2")]
