@@ -189,16 +189,12 @@ def publish(
         marts.sales_mart(fact, *star), layout.folder("sales_mart"), ["sales_month"], touched_only=True
     )
     if keep_base_rows:
-        enriched = enrich(fact, *star)
-        write_partitioned(
-            marts.sales_base(enriched), layout.folder("sales_rows"), ["sales_month", "store_id"], touched_only=True
-        )
-        write_partitioned(
-            marts.customer_base(enriched).withColumn("sales_month", month_of("sales_date")),
-            layout.folder("customer_rows"),
-            ["sales_month"],
-            touched_only=True,
+        # Single rows do not change with later runs: only the new ones are written.
+        enriched = enrich(new_rows, *star)
+        write_snapshot(
+            marts.sales_base(enriched), layout.folder("sales_rows"), run, by=["sales_month", "store_id"]
         )
+        write_snapshot(marts.customer_base(enriched), layout.folder("customer_rows"), run)
     if database is not None:
         for name, table in (
             ("customer_mart", database.customer_table),
@@ -213,6 +209,16 @@ def publish(
     return sorted(months, key=lambda m: m or "")
 
 
+def read_base_rows(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """The enriched rows behind a mart, ``sales_rows`` or ``customer_rows``, of all finished runs."""
+    root = layout.folder(name)
+    kept = set(complete_snapshots(spark, root))
+    runs = [run for run in closed_runs(spark, layout) if run in kept]
+    if not runs:
+        raise FileNotFoundError(f"no finished run under {root}")
+    return spark.read.option("basePath", root).parquet(*[snapshot_folder(root, run) for run in runs])
+
+
 def read_mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """A published mart with its columns in mart order."""
     columns = {

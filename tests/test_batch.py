@@ -57,8 +57,13 @@ def test_one_run(spark, shop):
     lines = spark.read.parquet(layout.folder("quarantine_files/run_epoch_ms=1000"))
     assert as_text(lines, "file_name", "line")[0] == ("broken.csv", "1,soap,2023-03-01,1,1,1,1")
     assert as_text(ledger.latest_state(ledger_events(spark, layout)), "file_name", "status") == [("march.csv", "I")]
-    assert as_text(spark.read.parquet(layout.folder("sales_rows")), "sales_month", "store_id", "total_cost")[0] == ("2023-03", "121", "100.00")
-    assert spark.read.parquet(layout.folder("customer_rows")).count() == 3
+    rows = batch.read_base_rows(spark, layout, "sales_rows")
+    assert as_text(rows, "sales_month", "store_id", "total_cost", "run_epoch_ms") == [
+        ("2023-03", "121", "100.00", "1000"),
+        ("2023-03", "121", "100.00", "1000"),
+        ("2023-03", "121", "150.00", "1000"),
+    ]
+    assert batch.read_base_rows(spark, layout, "customer_rows").count() == 3
 
 
 def test_a_month_in_two_runs_is_summed_and_ranked_again(spark, shop):
@@ -73,6 +78,7 @@ def test_a_month_in_two_runs_is_summed_and_ranked_again(spark, shop):
         ("121", "2", "2023-03", "210.00", "2.1000"),
         ("122", "4", "2023-02", "10.00", "0.1000"),
     ]
+    assert batch.read_base_rows(spark, layout, "sales_rows").count() == 5
     again = run_batch(spark, str(landing), layout, dims, run_epoch_ms=3000)
     assert (again.n_good_files, again.months) == (0, [])
     with pytest.raises(ValueError, match="finished"):
