@@ -101,20 +101,25 @@ def customer_mart_window(
 
 
 def _person_totals(fact: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame) -> DataFrame:
+    """Totals with the seller's name.
+
+    Only the customer has to be looked up per sale. Store and seller are keys of the sum, so they
+    are looked up once per total.
+    """
     totals = (
         _known(fact, "customer_id", customer, "customer_id")
         .groupBy("store_id", "sales_person_id", month_of("sales_date").alias("sales_month"))
         .agg(F.sum("total_cost").cast(TOTAL).alias("total_sales"))
     )
-    # After the sum there is one row per store, seller and month left to look up.
-    return _at_known_counters(totals, store, sales_team)
-
-
-def _person_names(totals: DataFrame, sales_team: DataFrame) -> DataFrame:
-    side = sales_team.select(
-        F.col("id").alias("dim_key"), full_name("first_name", "last_name").alias("full_name")
+    stores = store.select(F.col("id").alias("dim_store_id"))
+    people = sales_team.select(
+        F.col("id").alias("dim_person_id"), full_name("first_name", "last_name").alias("full_name")
+    )
+    return (
+        totals.join(stores, F.col("store_id") == F.col("dim_store_id"), "inner")
+        .join(people, F.col("sales_person_id") == F.col("dim_person_id"), "inner")
+        .select("store_id", "sales_person_id", "full_name", "sales_month", "total_sales")
     )
-    return totals.join(side, F.col("sales_person_id") == F.col("dim_key"), "inner").drop("dim_key")
 
 
 def _with_best(totals: DataFrame) -> DataFrame:
@@ -137,18 +142,13 @@ def sales_person_month_totals(
     fact: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame
 ) -> DataFrame:
     """Sales per store, salesperson and month."""
-    return _person_names(_person_totals(fact, customer, store, sales_team), sales_team).select(
-        "store_id", "sales_person_id", "full_name", "sales_month", "total_sales"
-    )
+    return _person_totals(fact, customer, store, sales_team)
 
 
 def sales_rank(fact: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame) -> DataFrame:
     """Rank of every salesperson in the store and month by total, ties sharing a rank."""
     totals = _person_totals(fact, customer, store, sales_team)
-    ranked = rank_descending(totals, ["store_id", "sales_month"], "total_sales", "rnk")
-    return _person_names(ranked, sales_team).select(
-        "store_id", "sales_person_id", "full_name", "sales_month", "total_sales", "rnk"
-    )
+    return rank_descending(totals, ["store_id", "sales_month"], "total_sales", "rnk")
 
 
 def sales_mart(fact: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame) -> DataFrame:
@@ -157,18 +157,14 @@ def sales_mart(fact: DataFrame, customer: DataFrame, store: DataFrame, sales_tea
     Sellers that tie for the best total all earn it.
     """
     totals = _with_best(_person_totals(fact, customer, store, sales_team))
-    return (
-        _person_names(totals, sales_team)
-        .withColumn("incentive", incentive(F.col("total_sales"), F.col("is_best")))
-        .select(*SALES_MART_COLUMNS)
+    return totals.withColumn("incentive", incentive(F.col("total_sales"), F.col("is_best"))).select(
+        *SALES_MART_COLUMNS
     )
 
 
 def top_sellers(fact: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame) -> DataFrame:
     """Only the best sellers of each store and month, ties included."""
     best = _with_best(_person_totals(fact, customer, store, sales_team)).where("is_best")
-    return (
-        _person_names(best, sales_team)
-        .withColumn("incentive", incentive(F.col("total_sales"), F.col("is_best")))
-        .select(*SALES_MART_COLUMNS)
+    return best.withColumn("incentive", incentive(F.col("total_sales"), F.col("is_best"))).select(
+        *SALES_MART_COLUMNS
     )

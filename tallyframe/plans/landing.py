@@ -22,6 +22,12 @@ FEEDS = {
 }
 
 
+def land(feed: DataFrame, landing: str) -> str:
+    """Write one feed as CSV files of even size, whatever the files it was read from."""
+    write_frame(feed.hint("rebalance"), landing, "csv")
+    return landing
+
+
 def regional_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales with the region of the store; return flag N counts as not given."""
     nation = table(spark, sf_dir, "nation").select(
@@ -42,7 +48,7 @@ def land_feeds(spark: SparkSession, sf_dir: str, regions=tuple(FEEDS)) -> str:
     landing = scratch_path(spark, "landing")
     staged = scratch_path(spark, "lines")
     lines = regional_lines(spark, sf_dir).where(F.col("region").isin(*regions))
-    lines.write.partitionBy("region").parquet(staged)
+    lines.hint("rebalance").write.partitionBy("region").parquet(staged)
     stored = spark.read.schema(lines.schema).parquet(staged)
     for name in regions:
         feed = stored.where(F.col("region") == name).select(*FEEDS[name])

@@ -15,7 +15,7 @@ from tallyframe.operators.conform import accepted_rows, conform, header_groups,
 from tallyframe.operators.contract import check_files
 from tallyframe.operators.metrics import load_metrics
 from tallyframe.plans.batch import Layout
-from tallyframe.plans.landing import land_feeds, regional_lines
+from tallyframe.plans.landing import land, land_feeds, regional_lines
 from tallyframe.plans.tables import (
     FACT_ORDER,
     customer_table,
@@ -46,8 +46,7 @@ from tallyframe.streaming.ingest import ingest_available, ingested_fact
 
 
 def csv_scan_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing = scratch_path(spark, "landing")
-    write_frame(sales_fact(spark, sf_dir), landing, "csv")
+    landing = land(sales_fact(spark, sf_dir), scratch_path(spark, "landing"))
     return conform(spark, check_files(list_files(spark, landing)))
 
 
@@ -98,16 +97,14 @@ def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("quantity").cast("string"))
         .alias("quantity"),
     )
-    landing = scratch_path(spark, "landing")
-    write_frame(feed, landing, "csv")
+    landing = land(feed, scratch_path(spark, "landing"))
     rejected = rejected_rows(parse_files(spark, header_groups(check_files(list_files(spark, landing)))))
-    raw = F.from_json("raw_record", ", ".join(f"{c} string" for c in FACT_ORDER))
-    return rejected.select("reason", raw.alias("raw")).select("reason", "raw.*")
+    return rejected.select("reason", F.json_tuple("raw_record", *FACT_ORDER).alias(*FACT_ORDER))
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing = scratch_path(spark, "landing")
-    write_frame(sales_lines(spark, sf_dir).select(*FACT_ORDER, "payment_mode"), landing, "csv")
+    feed = sales_lines(spark, sf_dir).select(*FACT_ORDER, "payment_mode")
+    landing = land(feed, scratch_path(spark, "landing"))
     layout = Layout(scratch_path(spark, "store"))
     ingest_available(spark, landing, layout)
     return ingested_fact(spark, layout).select(*SALES_FACT.names)
@@ -257,7 +254,7 @@ def partitioned_mart_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "partitioned")
     rows = sales_mart_base(spark, sf_dir)
     write_partitioned(rows, path, ["sales_month", "store_id"])
-    return spark.read.parquet(path).select(*[c for c in rows.columns if c != "store_id"], F.col("store_id").cast("bigint"))
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,8 @@ def build_session(app_name: str = "tallyframe", master: str | None = None, **con
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Looking up the Python line of every column operation costs more than planning does.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master is not None:
         builder = builder.master(master)
