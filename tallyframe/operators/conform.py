@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tallyframe.functions import fold_columns, to_whole_number
 from tallyframe.operators.contract import good_files
 from tallyframe.schema import ADDITIONAL_COLUMN, SALES_CONTRACT, SALES_FACT
-from tallyframe.sources.files import plain_path_column
+from tallyframe.sources.files import exact_paths, plain_path_column
 
 
 @dataclass
@@ -79,7 +79,7 @@ def _parse_group(spark: SparkSession, group: HeaderGroup) -> DataFrame:
         .option("header", True)
         # Renamed headers (blank or repeated cells) differ from the file on purpose.
         .option("enforceSchema", group.cells != group.header)
-        .csv(group.paths)
+        .csv(exact_paths(group.paths))
     )
     extra = [name for name in group.header if name not in SALES_CONTRACT.names]
     misfit = {

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.schema import MANDATORY_COLUMNS
-from tallyframe.sources.files import read_headers
+from tallyframe.sources.files import exact_paths, read_headers
 
 OK = "ok"
 ERROR = "error"
@@ -107,7 +107,7 @@ def quarantine_lines(checked: DataFrame) -> DataFrame | None:
         by_reason.setdefault(row.reason, []).append(row.path)
     lines = None
     for reason, paths in sorted(by_reason.items()):
-        part = spark.read.text(paths).select(
+        part = spark.read.text(exact_paths(paths)).select(
             F.col("_metadata.file_name").alias("file_name"),
             F.lit(reason).alias("reason"),
             F.col("value").alias("line"),

@@ -30,6 +30,7 @@ from tallyframe.sinks.files import (
 )
 from tallyframe.sinks.jdbc import replace_table
 from tallyframe.sources.files import list_files
+from tallyframe.sources.jdbc import keep_table, read_table
 
 STORED_FACT = T.StructType(
     [
@@ -73,12 +74,18 @@ class Dimensions:
 
 @dataclass(frozen=True)
 class Database:
-    """Where the marts go besides the files; the credentials come from the caller."""
+    """Where the dimensions come from and the marts go besides the files.
+
+    The properties hold driver and credentials and come from the caller.
+    """
 
     url: str
     properties: Mapping[str, str]
-    customer_table: str = "customers_data_mart"
-    sales_table: str = "sales_team_data_mart"
+    customer_table: str = "customer"
+    store_table: str = "store"
+    sales_team_table: str = "sales_team"
+    customer_mart_table: str = "customers_data_mart"
+    sales_mart_table: str = "sales_team_data_mart"
 
 
 @dataclass
@@ -88,10 +95,25 @@ class RunReport:
     n_bad_files: int = 0
     n_good_rows: int = 0
     n_bad_rows: int = 0
+    n_unmatched_rows: int = 0
     months: list[str | None] = field(default_factory=list)
     interrupted: list[str] = field(default_factory=list)
 
 
+def load_dimensions(spark: SparkSession, database: Database, layout: Layout) -> Dimensions:
+    """Copy the dimension tables to the store, a large one in key ranges, and go on with the copy."""
+
+    def copy(table: str, key: str) -> DataFrame:
+        source = read_table(spark, database.url, table, database.properties, key=key)
+        return keep_table(source, f"{layout.folder('dimensions')}/{table}")
+
+    return Dimensions(
+        customer=copy(database.customer_table, "customer_id"),
+        store=copy(database.store_table, "id"),
+        sales_team=copy(database.sales_team_table, "id"),
+    )
+
+
 def ledger_events(spark: SparkSession, layout: Layout) -> DataFrame:
     """All complete ledger events."""
     folders = [
@@ -197,8 +219,8 @@ def publish(
         write_snapshot(marts.customer_base(enriched), layout.folder("customer_rows"), run)
     if database is not None:
         for name, table in (
-            ("customer_mart", database.customer_table),
-            ("sales_mart", database.sales_table),
+            ("customer_mart", database.customer_mart_table),
+            ("sales_mart", database.sales_mart_table),
         ):
             replace_table(read_mart(spark, layout, name), database.url, table, database.properties)
 
@@ -257,6 +279,8 @@ def run_batch(
     report.interrupted = interrupted
     if report.n_good_files:
         report.months = publish(spark, layout, dimensions, run, database, keep_base_rows)
+        lost = snapshot_folder(layout.folder("quarantine_keys"), run)
+        report.n_unmatched_rows = spark.read.parquet(lost).count()
     return report
 
 

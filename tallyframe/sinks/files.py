@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,14 +24,30 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], touched_only:
     the same columns would give that folder to one task. With ``touched_only`` the folders
     that the frame has no rows for stay as they are, otherwise the whole table is replaced.
     """
-    (
+    writer = (
         df.hint("rebalance", *by)
         .write.format("parquet")
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if touched_only else "static")
         .partitionBy(*by)
-        .save(path)
     )
+    with _all_cores_for_small_data(df.sparkSession):
+        writer.save(path)
+
+
+@contextmanager
+def _all_cores_for_small_data(spark: SparkSession) -> Iterator[None]:
+    """Let adaptive execution use every core below 1 MB per task too.
+
+    Little data in many folders takes its time for the files, not for the bytes.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def snapshot_folder(root: str, run_epoch_ms: int) -> str:

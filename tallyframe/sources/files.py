@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,13 +16,21 @@ HEADER_LINE = "path string, header_line string"
 
 
 def plain_path(path: str) -> str:
-    """One spelling per file: decoded, and ``file:///`` for local paths."""
-    path = unquote(path)
+    """One spelling per file: ``file:///`` for local paths."""
     if path.startswith("file:/"):
         return "file:///" + path[len("file:") :].lstrip("/")
     return path
 
 
+def exact_paths(paths: Iterable[str]) -> list[str]:
+    """Paths for a Spark reader, which takes ``[``, ``{``, ``*`` and ``?`` as patterns otherwise."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]
+
+
+def as_uri(path: str) -> str:
+    return quote(path, safe="/:@")
+
+
 def plain_path_column(path: Column) -> Column:
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     return F.regexp_replace(decoded, "^file:/+", "file:///")
@@ -44,7 +53,7 @@ def list_files(spark: SparkSession, location: str) -> DataFrame:
     )
     if not paths:
         raise FileNotFoundError(f"no files under {location}")
-    return files_frame(spark, paths)
+    return files_frame(spark, [unquote(path) for path in paths])
 
 
 def read_headers(files: DataFrame, how: str = "auto") -> DataFrame:
@@ -66,7 +75,7 @@ def _arrow_opens(path: str) -> bool:
     from pyarrow import fs
 
     try:
-        store, key = fs.FileSystem.from_uri(path)
+        store, key = fs.FileSystem.from_uri(as_uri(path))
         with store.open_input_stream(key):
             return True
     except Exception:
@@ -76,11 +85,13 @@ def _arrow_opens(path: str) -> bool:
 def _open_headers(paths: DataFrame) -> DataFrame:
     def first_lines(batches):
         # Nested, so that it travels by value and workers need no copy of the package.
+        from urllib.parse import quote
+
         import pyarrow as pa
         from pyarrow import fs
 
         def first_line(path):
-            store, key = fs.FileSystem.from_uri(path.replace("%", "%25").replace(" ", "%20"))
+            store, key = fs.FileSystem.from_uri(quote(path, safe="/:@"))
             pending = b""
             with store.open_input_stream(key) as stream:
                 while True:
@@ -110,7 +121,7 @@ def _scan_headers(paths: DataFrame) -> DataFrame:
     if not names:
         return spark.createDataFrame([], HEADER_LINE)
     first = (
-        spark.read.text(names)
+        spark.read.text(exact_paths(names))
         .where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
         .select(
             plain_path_column(F.col("_metadata.file_path")).alias("path"),

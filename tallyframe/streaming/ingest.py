@@ -21,14 +21,15 @@ def start_ingest(
     database: Database | None = None,
     files_per_batch: int | None = None,
     archive: str | None = None,
+    checkpoint: str | None = None,
     keep_base_rows: bool = True,
     **trigger,
 ) -> StreamingQuery:
     """Stream the paths of new files and hand each micro-batch to the batch intake.
 
     The stream carries paths only: files with another column order need their own header,
-    which a stream with one fixed layout would ignore. The checkpoint under the layout remembers
-    the files, and the batch number names the run, so that a replayed batch overwrites its
+    which a stream with one fixed layout would ignore. The checkpoint, by default under the
+    layout, remembers the files, and the batch number names the run, so that a replayed batch overwrites its
     own output. With ``archive`` Spark moves finished files there when a later batch ends; a
     file that is still in the landing folder may therefore be processed already.
     """
@@ -48,7 +49,7 @@ def start_ingest(
         reader.load(landing)
         .select("path", "length")
         .writeStream.foreachBatch(handle)
-        .option("checkpointLocation", layout.folder("stream_checkpoint"))
+        .option("checkpointLocation", checkpoint or layout.folder("stream_checkpoint"))
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -5,9 +5,11 @@ import pytest
 from conftest import as_text
 from feeds import VALID, feed, put
 
+from tallyframe.__main__ import main
 from tallyframe.operators import ledger
 from tallyframe.plans import batch
-from tallyframe.plans.batch import Database, Dimensions, Layout, ledger_events, read_mart, run_batch, stored_fact
+from tallyframe.plans.batch import Dimensions, Layout, ledger_events, read_mart, run_batch, stored_fact
+from tallyframe.sinks.jdbc import replace_table
 from tallyframe.streaming.ingest import ingest_available, ingested_fact
 
 
@@ -107,14 +109,20 @@ def test_an_interrupted_run_leaves_no_trace_in_the_marts(spark, shop, monkeypatc
     assert batch.closed_runs(spark, layout) == [2000]
 
 
-def test_marts_reach_the_database(spark, shop):
+def test_job_from_database_to_database(spark, star, tmp_path):
     spark._jvm.java.lang.System.setProperty("derby.stream.error.file", os.devnull)
-    landing, layout, dims = shop
-    database = Database("jdbc:derby:memory:batch;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
-    put(landing, "march.csv", feed(VALID, *MARCH))
-    run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000, database=database, keep_base_rows=False)
-    stored = spark.read.jdbc(database.url, "sales_team_data_mart", properties=database.properties)
-    assert as_text(stored) == as_text(read_mart(spark, layout, "sales_mart"))
+    url, driver = "jdbc:derby:memory:job;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    for name, frame in zip(("customer", "store", "sales_team"), star, strict=True):
+        replace_table(frame, url, name, {"driver": driver})
+    put(tmp_path, "landing/march.csv", feed(VALID, *MARCH))
+    layout = Layout(str(tmp_path / "store"))
+    report = main(
+        ["--landing", str(tmp_path / "landing"), "--store", layout.root, "--jdbc-url", url, "--jdbc-driver", driver]
+    )
+    assert (report.n_good_rows, report.n_bad_rows, report.n_unmatched_rows) == (4, 1, 1)
+    for table, mart in (("sales_team_data_mart", "sales_mart"), ("customers_data_mart", "customer_mart")):
+        stored = spark.read.jdbc(url, table, properties={"driver": driver})
+        assert stored.count() and as_text(stored) == as_text(read_mart(spark, layout, mart))
 
 
 def test_files_without_rows_are_closed_too(spark, shop):
@@ -165,3 +173,24 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, shop, tmp_path):
     assert len(batch.closed_runs(spark, stream)) == 3
     assert ingested_fact(spark, stream).count() == 91
     assert ("121", "1", "2023-03") in [row[:3] for row in sales(spark, stream) if float(row[4]) > 50]
+
+
+def test_a_replayed_micro_batch_overwrites_itself(spark, shop):
+    landing, layout, _ = shop
+    put(landing, "day 1%20.csv", feed(VALID, *MARCH))
+    ingest_available(spark, str(landing), layout)
+    once = as_text(ingested_fact(spark, layout))
+    assert len(once) == 4
+    # A lost checkpoint is the worst replay: everything comes again under the same numbers.
+    ingest_available(spark, str(landing), Layout(layout.root), checkpoint=str(landing.parent / "other"))
+    assert as_text(ingested_fact(spark, layout)) == once
+
+
+def test_processed_files_are_archived(spark, shop, tmp_path):
+    landing, layout, _ = shop
+    for number in range(3):
+        put(landing, f"f{number}.csv", feed(VALID, sale(1, 121, f"2023-03-0{number + 1}", 1, 10)))
+        ingest_available(spark, str(landing), layout, archive=str(tmp_path / "archive"))
+    assert ingested_fact(spark, layout).count() == 3
+    kept, moved = list(landing.rglob("*.csv")), list((tmp_path / "archive").rglob("*.csv"))
+    assert len(kept) + len(moved) == 3 and moved

@@ -56,6 +56,18 @@ def test_names_are_those_of_the_csv_reader(spark, tmp_path):
         assert row.header == spark.read.option("header", True).csv(row.path.replace("file://", "")).columns
 
 
+def test_file_names_are_taken_literally(spark, tmp_path):
+    names = ["day [1].csv", "day 1.csv", "a{b,c}*.csv", "50% #2?+x.csv"]
+    for number, name in enumerate(names):
+        put(tmp_path, name, feed(VALID, f"{number},121,soap,2023-03-03,1,1.5,2,3.0"))
+    files = list_files(spark, str(tmp_path))
+    for how in ("open", "scan"):
+        assert read_headers(files, how).where("header_line is null").count() == 0
+    parsed = parse_files(spark, header_groups(check_files(files)))
+    found = {r.source_file.rsplit("/", 1)[1]: r.customer_id for r in accepted_rows(parsed).collect()}
+    assert found == {name: number for number, name in enumerate(names)}
+
+
 def test_listing(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         list_files(spark, str(tmp_path))

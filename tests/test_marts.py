@@ -133,6 +133,50 @@ def test_marts_do_not_depend_on_the_join_strategy(spark, star):
             spark.conf.unset(name)
 
 
+def test_a_hot_customer_is_split_in_joins_and_folded_before_them(spark, tmp_path):
+    """With most rows on one key and nothing small enough to broadcast, no task gets that key whole."""
+    rows = spark.range(0, 600_000, 1, 8).selectExpr(
+        "if(id % 3 > 0, 7, id) as customer_id",
+        "id % 2 as store_id",
+        "date_add(date'2023-01-01', cast(id % 300 as int)) as sales_date",
+        "id % 5 as sales_person_id",
+        "cast(1 as decimal(12,2)) as total_cost",
+    )
+    rows.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    customer = spark.range(600_000).selectExpr(
+        "id as customer_id", "'a' as first_name", "'b' as last_name", "'c' as address", "'d' as pincode", "'e' as phone_number"
+    )
+    store = spark.range(2).selectExpr("id", "'a' as address", "'m' as store_manager_name")
+    team = spark.range(5).selectExpr(
+        "id", "'f' as first_name", "'l' as last_name", "1 as manager_id", "'N' as is_manager",
+        "'a' as address", "'p' as pincode", "date'2020-01-01' as joining_date",
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        totals = enrich(fact, customer, store, team).agg(F.count("*"), F.sum("total_cost"))
+        assert tuple(map(int, totals.collect()[0])) == (600_000, 600_000)
+        assert "skew=true" in totals._jdf.queryExecution().executedPlan().toString()
+        mart = marts.customer_mart(fact, customer, store, team)
+        mart.collect()
+        plan = mart._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.index("[customer_id") < plan.index("HashAggregate(keys=[customer_id")
+        assert mart.agg(F.sum("total_sales")).first()[0] == 600_000
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_fact_is_scanned_once_for_the_sales_mart(spark, star, tmp_path):
     fact_frame(spark, GOLDEN_FACT).write.parquet(str(tmp_path / "fact"))
     mart = marts.sales_mart(spark.read.parquet(str(tmp_path / "fact")), *star)
