@@ -1,8 +1,9 @@
 """One run: landed files to fact, fact to marts, and the ledger around both.
 
-Every run writes its fact rows under its own folder, and a run counts only once its closing
-events are complete in the ledger. A run that dies half way leaves rows that nobody reads and
-files that are still pending, so the next run simply takes them again.
+Fact rows lie in one folder per state, month and run, so that a run reads the folders of the
+months that it touches and nothing else. A run counts only once its closing events are
+complete in the ledger. A run that dies half way leaves rows that nobody reads and files that
+are still pending, so the next run simply takes them again.
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +25,7 @@ from tallyframe.operators.dimensions import enrich, repeated_keys, unmatched
 from tallyframe.schema import LEDGER_EVENT, SALES_FACT
 from tallyframe.sinks.files import (
     complete_snapshots,
+    matching_paths,
     snapshot_folder,
     write_partitioned,
     write_snapshot,
@@ -38,11 +40,13 @@ STORED_FACT = T.StructType(
         T.StructField("source_file", T.StringType()),
         T.StructField("reason", T.StringType()),
         T.StructField("raw_record", T.StringType()),
-        T.StructField("run_epoch_ms", T.LongType()),
         T.StructField("row_state", T.StringType()),
         T.StructField("sales_month", T.StringType()),
+        T.StructField("run_epoch_ms", T.LongType()),
     ]
 )
+# Fixed value: the folder name that Spark gives to a null.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -126,20 +130,45 @@ def ledger_events(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.read.schema(LEDGER_EVENT).parquet(*folders)
 
 
-def stored_fact(spark: SparkSession, layout: Layout, runs: list[int], row_state: str = "ok") -> DataFrame:
-    """The rows of the given runs; rejected ones with ``row_state="rejected"``."""
-    return _fact_files(spark, layout, runs).where(F.col("row_state") == row_state)
+@dataclass(frozen=True)
+class FactFolder:
+    month: str | None
+    run: int
+    path: str
 
 
-def _fact_files(spark: SparkSession, layout: Layout, runs: list[int]) -> DataFrame:
-    if not runs:
+def fact_folders(
+    spark: SparkSession,
+    layout: Layout,
+    row_state: str = "ok",
+    month: str | None = "*",
+    run: int | str = "*",
+) -> list[FactFolder]:
+    """Folders of the stored fact, by default of all months and runs."""
+    name = NULL_FOLDER if month is None else month
+    pattern = f"{layout.folder('fact')}/row_state={row_state}/sales_month={name}/run_epoch_ms={run}"
+    folders = []
+    for path in matching_paths(spark, pattern):
+        *_, month_part, run_part = path.split("/")
+        value = unquote(month_part.partition("=")[2])
+        folders.append(
+            FactFolder(None if value == NULL_FOLDER else value, int(run_part.partition("=")[2]), path)
+        )
+    return folders
+
+
+def read_fact(spark: SparkSession, layout: Layout, folders: list[FactFolder]) -> DataFrame:
+    if not folders:
         return spark.createDataFrame([], STORED_FACT)
-    root = layout.folder("fact")
-    return (
-        spark.read.schema(STORED_FACT)
-        .option("basePath", root)
-        .parquet(*[snapshot_folder(root, run) for run in runs])
-    )
+    reader = spark.read.schema(STORED_FACT).option("basePath", layout.folder("fact"))
+    return reader.parquet(*[folder.path for folder in folders])
+
+
+def stored_fact(spark: SparkSession, layout: Layout, row_state: str = "ok") -> DataFrame:
+    """The rows of all finished runs; the rejected ones with ``row_state="rejected"``."""
+    runs = set(closed_runs(spark, layout))
+    folders = [f for f in fact_folders(spark, layout, row_state) if f.run in runs]
+    return read_fact(spark, layout, folders)
 
 
 def closed_runs(spark: SparkSession, layout: Layout) -> list[int]:
@@ -171,15 +200,16 @@ def take_in(spark: SparkSession, files: DataFrame, layout: Layout, run: int) ->
         parse_files(spark, header_groups(checked))
         .withColumn("row_state", F.when(F.col("fits"), "ok").otherwise("rejected"))
         .withColumn("sales_month", F.when(F.col("fits"), month_of("sales_date")))
+        .withColumn("run_epoch_ms", F.lit(run).cast("bigint"))
         .drop("fits")
     )
-    write_snapshot(parsed, layout.folder("fact"), run, by=["row_state", "sales_month"])
-    # Counts rows by folder from the footers of the new files.
-    rows = {
-        r.row_state: r["count"]
-        for r in _fact_files(spark, layout, [run]).groupBy("row_state").count().collect()
-    }
-    report.n_good_rows, report.n_bad_rows = rows.get("ok", 0), rows.get("rejected", 0)
+    by = ["row_state", "sales_month", "run_epoch_ms"]
+    write_partitioned(parsed, layout.folder("fact"), by, touched_only=True)
+    # Counted in the footers of the new files.
+    good_rows, bad_rows = (
+        read_fact(spark, layout, fact_folders(spark, layout, state, run=run)) for state in ("ok", "rejected")
+    )
+    report.n_good_rows, report.n_bad_rows = good_rows.count(), bad_rows.count()
     return report
 
 
@@ -196,11 +226,12 @@ def publish(
     A month may arrive in several runs, so each month that this run touches is summed again
     over all runs that count, and replaces the month in the marts.
     """
-    new_rows = stored_fact(spark, layout, [run])
-    months = [row.sales_month for row in new_rows.select("sales_month").distinct().collect()]
-    runs = sorted({*closed_runs(spark, layout), run})
-    fact = stored_fact(spark, layout, runs).where(_is_one_of(F.col("sales_month"), months))
-    fact = fact.drop("run_epoch_ms", "row_state", "sales_month")
+    new_folders = fact_folders(spark, layout, run=run)
+    new_rows = read_fact(spark, layout, new_folders)
+    months = sorted({folder.month for folder in new_folders}, key=lambda month: month or "")
+    runs = {*closed_runs(spark, layout), run}
+    touched = [f for month in months for f in fact_folders(spark, layout, month=month) if f.run in runs]
+    fact = read_fact(spark, layout, touched).select(*SALES_FACT.names)
     star = (dimensions.customer, dimensions.store, dimensions.sales_team)
 
     write_snapshot(unmatched(new_rows.select(*SALES_FACT.names), *star), layout.folder("quarantine_keys"), run)
@@ -224,11 +255,16 @@ def publish(
         ):
             replace_table(read_mart(spark, layout, name), database.url, table, database.properties)
 
+    close_run(spark, layout, run)
+    return months
+
+
+def close_run(spark: SparkSession, layout: Layout, run: int) -> None:
+    """Close the good files of a run. From here on its rows count."""
     closing = good_files(spark.read.parquet(snapshot_folder(layout.folder("checks"), run)))
     write_snapshot(
         ledger.close_files(closing, F.current_timestamp(), F.lit(run)), layout.folder("ledger_closed"), run
     )
-    return sorted(months, key=lambda m: m or "")
 
 
 def read_base_rows(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
@@ -292,10 +328,3 @@ def _new_run(closed: list[int], run_epoch_ms: int | None) -> int:
     while run in closed:
         run += 1000
     return run
-
-
-def _is_one_of(column: Column, values: list[str | None]) -> Column:
-    tests = [column.isin([v for v in values if v is not None])]
-    if None in values:
-        tests.append(column.isNull())
-    return reduce(Column.__or__, tests)

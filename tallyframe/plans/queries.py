@@ -14,7 +14,7 @@ from tallyframe.operators import ledger, marts
 from tallyframe.operators.conform import accepted_rows, conform, header_groups, parse_files, rejected_rows
 from tallyframe.operators.contract import check_files
 from tallyframe.operators.metrics import load_metrics
-from tallyframe.plans.batch import Layout
+from tallyframe.plans.batch import Layout, stored_fact
 from tallyframe.plans.landing import land, land_feeds, regional_lines
 from tallyframe.plans.tables import (
     FACT_ORDER,
@@ -39,7 +39,7 @@ from tallyframe.sinks.files import (
 from tallyframe.sinks.jdbc import replace_table
 from tallyframe.sources.files import list_files
 from tallyframe.sources.jdbc import read_table
-from tallyframe.streaming.ingest import ingest_available, ingested_fact
+from tallyframe.streaming.ingest import ingest_available
 
 
 # --- files ---------------------------------------------------------------------------------
@@ -107,7 +107,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = land(feed, scratch_path(spark, "landing"))
     layout = Layout(scratch_path(spark, "store"))
     ingest_available(spark, landing, layout)
-    return ingested_fact(spark, layout).select(*SALES_FACT.names)
+    return stored_fact(spark, layout).select(*SALES_FACT.names)
 
 
 # --- dimensions ----------------------------------------------------------------------------

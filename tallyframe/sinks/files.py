@@ -64,19 +64,17 @@ def write_snapshot(df: DataFrame, root: str, run_epoch_ms: int, by: Sequence[str
     return folder
 
 
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Existing paths that match a pattern; one call to the store, no file is opened."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or []]
+
+
 def complete_snapshots(spark: SparkSession, root: str) -> list[int]:
-    """Runs with a finished snapshot, oldest first. One listing of the root folder."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(root)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(path):
-        return []
-    runs = []
-    for status in store.listStatus(path):
-        name = status.getPath().getName()
-        if name.startswith("run_epoch_ms=") and store.exists(hadoop.Path(status.getPath(), "_SUCCESS")):
-            runs.append(int(name.partition("=")[2]))
-    return sorted(runs)
+    """Runs with a snapshot that was written to its end, oldest first."""
+    done = matching_paths(spark, f"{root.rstrip('/')}/run_epoch_ms=*/_SUCCESS")
+    return sorted(int(path.rsplit("run_epoch_ms=", 1)[1].partition("/")[0]) for path in done)
 
 
 def read_latest_snapshot(spark: SparkSession, root: str) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyframe.plans.batch import Database, Dimensions, Layout, publish, stored_fact, take_in
-from tallyframe.sinks.files import complete_snapshots
+from tallyframe.plans.batch import Database, Dimensions, Layout, close_run, publish, take_in
 from tallyframe.sources.files import files_frame
 
 # The layout of the binary file source; only path and length are read.
@@ -37,7 +36,11 @@ def start_ingest(
     def handle(batch: DataFrame, number: int) -> None:
         paths = [row.path for row in batch.select("path").collect()]
         report = take_in(spark, files_frame(spark, paths), layout, number)
-        if dimensions is not None and report.n_good_files:
+        if not report.n_good_files:
+            return
+        if dimensions is None:
+            close_run(spark, layout, number)
+        else:
             publish(spark, layout, dimensions, number, database, keep_base_rows)
 
     reader = spark.readStream.schema(FILE_LAYOUT).format("binaryFile").option("recursiveFileLookup", "true")
@@ -58,8 +61,3 @@ def start_ingest(
 def ingest_available(spark: SparkSession, landing: str, layout: Layout, **options) -> None:
     """Process all files that are new since the last call, then stop."""
     start_ingest(spark, landing, layout, **options).awaitTermination()
-
-
-def ingested_fact(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Accepted rows of every batch whose rows are complete."""
-    return stored_fact(spark, layout, complete_snapshots(spark, layout.folder("fact")))

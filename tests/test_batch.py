@@ -10,7 +10,7 @@ from tallyframe.operators import ledger
 from tallyframe.plans import batch
 from tallyframe.plans.batch import Dimensions, Layout, ledger_events, read_mart, run_batch, stored_fact
 from tallyframe.sinks.jdbc import replace_table
-from tallyframe.streaming.ingest import ingest_available, ingested_fact
+from tallyframe.streaming.ingest import ingest_available
 
 
 def sale(customer, store, day, seller, total):
@@ -53,7 +53,7 @@ def test_one_run(spark, shop):
         ("Saanvi K", "2023-03", "200.00"),
     ]
     # Every parsed row is in the marts or in one of the reject folders.
-    assert as_text(stored_fact(spark, layout, [1000], "rejected"), "reason") == [("bad value: sales_person_id",)]
+    assert as_text(stored_fact(spark, layout, "rejected"), "reason") == [("bad value: sales_person_id",)]
     keys = spark.read.parquet(layout.folder("quarantine_keys/run_epoch_ms=1000"))
     assert as_text(keys, "customer_id", "reason") == [("99", "unknown customer_id")]
     lines = spark.read.parquet(layout.folder("quarantine_files/run_epoch_ms=1000"))
@@ -161,7 +161,7 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, shop, tmp_path):
     ingest_available(spark, str(landing), stream, dimensions=dims, files_per_batch=2, keep_base_rows=False)
     run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000, keep_base_rows=False)
     columns = ["customer_id", "store_id", "sales_date", "sales_person_id", "total_cost"]
-    assert as_text(ingested_fact(spark, stream), *columns) == as_text(stored_fact(spark, layout, [1000]), *columns)
+    assert as_text(stored_fact(spark, stream), *columns) == as_text(stored_fact(spark, layout), *columns)
     assert sales(spark, stream) == sales(spark, layout)
 
     runs = batch.closed_runs(spark, stream)
@@ -171,7 +171,7 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, shop, tmp_path):
     put(landing, "f9.csv", feed(VALID, sale(1, 121, "2023-03-01", 1, 5000)))
     ingest_available(spark, str(landing), stream, dimensions=dims, files_per_batch=2, keep_base_rows=False)
     assert len(batch.closed_runs(spark, stream)) == 3
-    assert ingested_fact(spark, stream).count() == 91
+    assert stored_fact(spark, stream).count() == 91
     assert ("121", "1", "2023-03") in [row[:3] for row in sales(spark, stream) if float(row[4]) > 50]
 
 
@@ -179,11 +179,11 @@ def test_a_replayed_micro_batch_overwrites_itself(spark, shop):
     landing, layout, _ = shop
     put(landing, "day 1%20.csv", feed(VALID, *MARCH))
     ingest_available(spark, str(landing), layout)
-    once = as_text(ingested_fact(spark, layout))
+    once = as_text(stored_fact(spark, layout))
     assert len(once) == 4
     # A lost checkpoint is the worst replay: everything comes again under the same numbers.
     ingest_available(spark, str(landing), Layout(layout.root), checkpoint=str(landing.parent / "other"))
-    assert as_text(ingested_fact(spark, layout)) == once
+    assert as_text(stored_fact(spark, layout)) == once
 
 
 def test_processed_files_are_archived(spark, shop, tmp_path):
@@ -191,6 +191,6 @@ def test_processed_files_are_archived(spark, shop, tmp_path):
     for number in range(3):
         put(landing, f"f{number}.csv", feed(VALID, sale(1, 121, f"2023-03-0{number + 1}", 1, 10)))
         ingest_available(spark, str(landing), layout, archive=str(tmp_path / "archive"))
-    assert ingested_fact(spark, layout).count() == 3
+    assert stored_fact(spark, layout).count() == 3
     kept, moved = list(landing.rglob("*.csv")), list((tmp_path / "archive").rglob("*.csv"))
     assert len(kept) + len(moved) == 3 and moved
