@@ -28,7 +28,8 @@ def exact_paths(paths: Iterable[str]) -> list[str]:
 
 
 def as_uri(path: str) -> str:
-    return quote(path, safe="/:@")
+    """The path as Arrow takes it; Hadoop's ``s3a`` and ``s3n`` are plain ``s3`` there."""
+    return quote(re.sub("^s3[an]:", "s3:", path), safe="/:@")
 
 
 def plain_path_column(path: Column) -> Column:
@@ -56,15 +57,20 @@ def list_files(spark: SparkSession, location: str) -> DataFrame:
     return files_frame(spark, [unquote(path) for path in paths])
 
 
-def read_headers(files: DataFrame, how: str = "auto") -> DataFrame:
+def read_headers(files: DataFrame, how: str | None = None) -> DataFrame:
     """First non-blank line of each file, as (path, header_line); null for a file without one.
 
     ``open`` reads the first bytes of each file in tasks spread over the files and costs the
     same for a small and a huge file, but needs a store that Arrow can open with the
     credentials of the executors. ``scan`` works on every store that Spark reads, at the price of
-    a pass over the text. ``auto`` opens where one of the files can be opened, and else scans.
+    a pass over the text. ``auto`` opens where the driver can open one of the files, and else
+    scans. Without an argument the setting ``spark.tallyframe.headers`` decides, by default ``auto``.
     """
     paths = files.select("path")
+    if how is None:
+        how = files.sparkSession.conf.get("spark.tallyframe.headers", "auto")
+    if how not in ("auto", "open", "scan"):
+        raise ValueError(f"headers are read by 'auto', 'open' or 'scan', not {how!r}")
     if how == "auto":
         probe = paths.first()
         how = "open" if probe is None or _arrow_opens(probe.path) else "scan"
@@ -85,13 +91,14 @@ def _arrow_opens(path: str) -> bool:
 def _open_headers(paths: DataFrame) -> DataFrame:
     def first_lines(batches):
         # Nested, so that it travels by value and workers need no copy of the package.
+        import re
         from urllib.parse import quote
 
         import pyarrow as pa
         from pyarrow import fs
 
         def first_line(path):
-            store, key = fs.FileSystem.from_uri(quote(path, safe="/:@"))
+            store, key = fs.FileSystem.from_uri(quote(re.sub("^s3[an]:", "s3:", path), safe="/:@"))
             pending = b""
             with store.open_input_stream(key) as stream:
                 while True:

@@ -8,7 +8,7 @@ from feeds import VALID, feed, put
 from tallyframe.operators.conform import accepted_rows, conform, header_groups, parse_files, rejected_rows
 from tallyframe.operators.contract import bad_files, check_files, quarantine_lines
 from tallyframe.schema import SALES_FACT
-from tallyframe.sources.files import list_files, read_headers
+from tallyframe.sources.files import _arrow_opens, as_uri, list_files, read_headers
 
 
 def variants(tmp_path):
@@ -68,6 +68,22 @@ def test_file_names_are_taken_literally(spark, tmp_path):
     assert found == {name: number for number, name in enumerate(names)}
 
 
+def test_choice_of_the_header_read(spark, tmp_path):
+    put(tmp_path, "a.csv", VALID + "\n")
+    files = list_files(spark, str(tmp_path))
+    assert _arrow_opens(files.first().path) and not _arrow_opens("nostore://shop/a.csv")
+    assert as_uri("s3a://shop/in/a b.csv") == "s3://shop/in/a%20b.csv"
+    spark.conf.set("spark.tallyframe.headers", "scan")
+    try:
+        plan = read_headers(files)._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" not in plan and check_files(files).first().verdict == "ok"
+    finally:
+        spark.conf.unset("spark.tallyframe.headers")
+    assert "MapInArrow" in read_headers(files)._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(ValueError):
+        read_headers(files, "guess")
+
+
 def test_listing(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         list_files(spark, str(tmp_path))
