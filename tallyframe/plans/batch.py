@@ -1,9 +1,9 @@
 """One run: landed files to fact, fact to marts, and the ledger around both.
 
 Fact rows lie in one folder per state, month and run, so that a run reads the folders of the
-months that it touches and nothing else. A run counts only once its closing events are
-complete in the ledger. A run that dies half way leaves rows that nobody reads and files that
-are still pending, so the next run simply takes them again.
+months that it touches and nothing else. A run counts only once it is closed in the ledger. A
+run that dies half way leaves rows that nobody reads and files that are still pending, so the
+next run simply takes them again.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ from tallyframe.operators.contract import bad_files, check_files, good_files, qu
 from tallyframe.operators.dimensions import enrich, repeated_keys, unmatched
 from tallyframe.schema import LEDGER_EVENT, SALES_FACT
 from tallyframe.sinks.files import (
-    complete_snapshots,
     matching_paths,
     snapshot_folder,
+    write_frame,
     write_partitioned,
     write_snapshot,
 )
@@ -119,15 +119,15 @@ def load_dimensions(spark: SparkSession, database: Database, layout: Layout) ->
 
 
 def ledger_events(spark: SparkSession, layout: Layout) -> DataFrame:
-    """All complete ledger events."""
-    folders = [
-        snapshot_folder(root, run)
-        for root in (layout.folder("ledger_registered"), layout.folder("ledger_closed"))
-        for run in complete_snapshots(spark, root)
-    ]
-    if not folders:
-        return spark.createDataFrame([], LEDGER_EVENT)
-    return spark.read.schema(LEDGER_EVENT).parquet(*folders)
+    """All registrations, and the closing events of the runs that count."""
+
+    def events(name: str) -> DataFrame:
+        if not matching_paths(spark, layout.folder(name)):
+            return spark.createDataFrame([], LEDGER_EVENT)
+        return spark.read.schema(LEDGER_EVENT).parquet(layout.folder(name)).select(*LEDGER_EVENT.names)
+
+    closed = events("ledger_closed").join(_closed(spark, layout), "run_epoch_ms", "left_semi")
+    return events("ledger_registered").unionByName(closed)
 
 
 @dataclass(frozen=True)
@@ -172,7 +172,15 @@ def stored_fact(spark: SparkSession, layout: Layout, row_state: str = "ok") -> D
 
 
 def closed_runs(spark: SparkSession, layout: Layout) -> list[int]:
-    return complete_snapshots(spark, layout.folder("ledger_closed"))
+    """Numbers of the runs that count."""
+    return sorted(row.run_epoch_ms for row in _closed(spark, layout).collect())
+
+
+def _closed(spark: SparkSession, layout: Layout) -> DataFrame:
+    root, columns = layout.folder("runs_closed"), "run_epoch_ms bigint"
+    if not matching_paths(spark, root):
+        return spark.createDataFrame([], columns)
+    return spark.read.schema(columns).parquet(root).distinct()
 
 
 def take_in(spark: SparkSession, files: DataFrame, layout: Layout, run: int) -> RunReport:
@@ -260,21 +268,23 @@ def publish(
 
 
 def close_run(spark: SparkSession, layout: Layout, run: int) -> None:
-    """Close the good files of a run. From here on its rows count."""
+    """Close the good files of a run. From here on its rows count.
+
+    The events may be many. What makes them count is one row in a folder of its own, written
+    after them: a single file, which is there or not.
+    """
     closing = good_files(spark.read.parquet(snapshot_folder(layout.folder("checks"), run)))
     write_snapshot(
         ledger.close_files(closing, F.current_timestamp(), F.lit(run)), layout.folder("ledger_closed"), run
     )
+    number = spark.range(0, 1, 1, 1).select(F.lit(run).cast("bigint").alias("run_epoch_ms"))
+    write_frame(number, layout.folder("runs_closed"), mode="append")
 
 
 def read_base_rows(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """The enriched rows behind a mart, ``sales_rows`` or ``customer_rows``, of all finished runs."""
-    root = layout.folder(name)
-    kept = set(complete_snapshots(spark, root))
-    runs = [run for run in closed_runs(spark, layout) if run in kept]
-    if not runs:
-        raise FileNotFoundError(f"no finished run under {root}")
-    return spark.read.option("basePath", root).parquet(*[snapshot_folder(root, run) for run in runs])
+    rows = spark.read.parquet(layout.folder(name))
+    return rows.where(F.col("run_epoch_ms").isin(closed_runs(spark, layout)))
 
 
 def read_mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
