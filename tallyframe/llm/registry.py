@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyframe.llm import decontamination, mixing, pii, secrets, tokens, warc
+import corpus_pipeline
+from tallyframe.llm import decontamination, mixing, neardup, neighbours, pii, quality, secrets, tokens, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": mixing.op1_mix_sources,
         "op2_secret_scan": secrets.op2_secret_scan,
+        "op3_near_duplicates": neardup.op3_near_duplicates,
         "op4_decontaminate": decontamination.op4_decontaminate,
         "op5_token_planes": tokens.op5_token_planes,
         "op6_warc_archive": warc.op6_warc_archive,
+        "op7_nearest_vectors": neighbours.op7_nearest_vectors,
         "op8_personal_data": pii.op8_personal_data,
+        "op9_quality": quality.op9_quality,
+        "op10_toxicity": toxicity.op10_toxicity,
+        "pipeline": corpus_pipeline.run,
     }
 
 
