@@ -37,7 +37,7 @@ def hashes_of(word: bytes) -> list[int]:
     return [xxhash.xxh3_64_intdigest(name) >> 1 for name in names]
 
 
-def nn_pu(rows: list[np.ndarray], positive: np.ndarray, prior: float, width: int, rounds: int = 250, rate: float = 0.1, decay: float = 3e-4) -> np.ndarray:
+def nn_pu(rows: list[np.ndarray], positive: np.ndarray, prior: float, width: int, rounds: int = 400, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
     """Weights (the last is the bias) under the non-negative risk with logistic loss:
     ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))``. Where the second part is below zero, the step
     goes back along it."""
@@ -66,6 +66,17 @@ def nn_pu(rows: list[np.ndarray], positive: np.ndarray, prior: float, width: int
     return weights
 
 
+def telling(rows: list[np.ndarray], positive: np.ndarray, width: int, errors: float = 4.5) -> np.ndarray:
+    """Features whose share among positives differs from that among unlabelled rows by so many standard errors.
+
+    All others could only add noise, in proportion to a text's length."""
+    held = [np.bincount(np.concatenate([np.unique(r) for r, p in zip(rows, positive, strict=True) if p == kind] or [np.zeros(0, int)]), minlength=width) for kind in (True, False)]
+    n = np.array([max(1, positive.sum()), max(1, (~positive).sum())])
+    share = (held[0] + held[1]) / n.sum()
+    error = np.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1])) + 1e-12
+    return np.flatnonzero(np.abs(held[0] / n[0] - held[1] / n[1]) > errors * error)
+
+
 def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: str, label: str) -> tuple[dict[int, float], float]:
     """Weight per feature hash, and the bias.
 
@@ -95,13 +106,21 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
     sample = sorted(made.collect(), key=lambda r: (r["id"], bytes(r["words"])))[: 4 * (POSITIVES + UNLABELLED)]
     words = [np.sort(np.frombuffer(r["words"], np.int64)) for r in sample]
     seen, counts = np.unique(np.concatenate([np.unique(w) for w in words]) if words else np.zeros(0, np.int64), return_counts=True)
+    positive = np.array([r["positive"] for r in sample], bool)
     seen = seen[counts >= RARE]
-    places = [np.searchsorted(seen, w) for w in words]
-    rows = [p[(p < len(seen)) & (seen[np.minimum(p, max(0, len(seen) - 1))] == w)] if len(seen) else p[:0] for p, w in zip(places, words, strict=True)]
-    weights = nn_pu(rows, np.array([r["positive"] for r in sample], bool), prior, len(seen))
+    seen = seen[telling(placed(words, seen), positive, len(seen))]
+    weights = nn_pu(placed(words, seen), positive, prior, len(seen))
     return dict(zip(seen.tolist(), weights[:-1].tolist(), strict=True)), float(weights[-1])
 
 
+def placed(words: list[np.ndarray], seen: np.ndarray) -> list[np.ndarray]:
+    """Each row's hashes as places in the sorted list ``seen``; others are left out."""
+    if not len(seen):
+        return [np.zeros(0, np.int64) for _ in words]
+    places = [np.minimum(np.searchsorted(seen, w), len(seen) - 1) for w in words]
+    return [p[seen[p] == w] for p, w in zip(places, words, strict=True)]
+
+
 class Weights(dict):
     """Weights by word, with those of its beginnings, looked up once; forgets all when it has grown."""
 

@@ -304,7 +304,7 @@ def test_toxicity_on_held_out_labels(spark):
     rows = toxicity.op10_toxicity(spark, sf).where("held_out").join(labels, "doc_id").collect()
     score, toxic = np.array([r["score"] for r in rows]), np.array([r["toxic"] for r in rows]) == 1
     auc = (score[toxic][:, None] > score[~toxic][None]).mean() + 0.5 * (score[toxic][:, None] == score[~toxic][None]).mean()
-    assert auc > 0.9 and ((score >= 0.5) == toxic).mean() > 0.9
+    assert auc > 0.92 and ((score >= 0.5) == toxic).mean() > 0.95
 
 
 def test_risk_does_not_go_below_zero():
