@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -29,6 +31,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     wanted = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n]
+    scratch = tempfile.mkdtemp(prefix="tallyframe-bench-")
     spark = build_session(
         "tallyframe-bench",
         f"local[{cpus}]",
@@ -36,6 +39,9 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": f"file://{scratch}",
+            # Little data in many folders takes its time for the files: use all cores for it here.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
             "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
         },
     )
@@ -57,6 +63,7 @@ def main() -> None:
         flush=True,
     )
     spark.stop()
+    shutil.rmtree(scratch, ignore_errors=True)
 
 
 if __name__ == "__main__":

@@ -47,4 +47,5 @@ def main(arguments: Sequence[str] | None = None) -> RunReport:
 
 
 if __name__ == "__main__":
-    main()
+    # New files of which none was good are a failure of the delivery.
+    raise SystemExit(3 if main().status == "rejected" else 0)

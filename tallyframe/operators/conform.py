@@ -37,9 +37,10 @@ def header_groups(checked: DataFrame) -> list[HeaderGroup]:
 def parse_files(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
     """All rows of the good files: the fact columns, and per row its file and its faults.
 
-    Besides the fact columns the frame has ``source_file``, ``fits``, and for rows with a value
-    that does not fit its column type ``reason`` (which columns) and ``raw_record`` (the values
-    as read, as JSON). A file is never read with the header of another one: there is one scan
+    Besides the fact columns the frame has ``source_file``, ``fits``, and for rows that do not fit
+    ``reason`` and ``raw_record`` (as JSON). A value does not fit that is no number, whole number or day
+    of its column; money with a third decimal, or a date without a day, would be changed by the cast, so they do
+    not fit either. A row with too few or too many cells does not fit as a whole: ``raw_record`` then holds its line. A file is never read with the header of another one: there is one scan
     per distinct header, and the reader compares the header of each file with it again.
     """
     parts = [_parse_group(spark, group) for group in groups]
@@ -63,7 +64,7 @@ def accepted_rows(parsed: DataFrame) -> DataFrame:
 
 
 def rejected_rows(parsed: DataFrame) -> DataFrame:
-    """Rows with a value that does not fit, as (source_file, reason, raw_record)."""
+    """Rows with a value that does not fit, or with too few or too many cells, as (source_file, reason, raw_record)."""
     return parsed.where(~F.col("fits")).select("source_file", "reason", "raw_record")
 
 
@@ -72,31 +73,45 @@ def conform(spark: SparkSession, checked: DataFrame) -> DataFrame:
     return accepted_rows(parse_files(spark, header_groups(checked))).select(*SALES_FACT.names)
 
 
+# Fixed value: the column into which the reader puts a row whose number of cells is another than the header's.
+BAD_LINE = "tallyframe_bad_line"
+
+
 def _parse_group(spark: SparkSession, group: HeaderGroup) -> DataFrame:
-    text = T.StructType([T.StructField(name, T.StringType()) for name in group.header])
+    text = T.StructType([T.StructField(name, T.StringType()) for name in [*group.header, BAD_LINE]])
     raw = (
         spark.read.schema(text)
         .option("header", True)
+        .option("columnNameOfCorruptRecord", BAD_LINE)
+        # The reader counts a row's cells only where it does not skip columns.
+        .option("columnPruning", False)
         # Renamed headers (blank or repeated cells) differ from the file on purpose.
         .option("enforceSchema", group.cells != group.header)
         .csv(exact_paths(group.paths))
     )
     extra = [name for name in group.header if name not in SALES_CONTRACT.names]
+    # Each cell is cast once, here; what follows looks at the results.
+    typed = raw.select(
+        "*",
+        plain_path_column(F.col("_metadata.file_path")).alias("source_file"),
+        *[_typed(f).alias(f"typed_{f.name}") for f in SALES_CONTRACT.fields],
+    )
     misfit = {
-        f.name: F.col(f.name).isNotNull() & _typed(f).isNull()
+        f.name: F.col(f.name).isNotNull() & F.col(f"typed_{f.name}").isNull()
         for f in SALES_CONTRACT.fields
         if not isinstance(f.dataType, T.StringType)
     }
-    fits = ~reduce(Column.__or__, misfit.values())
+    torn = F.col(BAD_LINE).isNotNull()
+    fits = ~(torn | reduce(Column.__or__, misfit.values()))
     faults = F.concat_ws(",", *[F.when(wrong, F.lit(name)) for name, wrong in misfit.items()])
     record = F.to_json(F.struct(*[F.col(f"`{n.replace('`', '``')}`") for n in group.header]))
-    return raw.select(
-        *[_typed(f).alias(f.name) for f in SALES_CONTRACT.fields],
+    return typed.select(
+        *[F.col(f"typed_{f.name}").alias(f.name) for f in SALES_CONTRACT.fields],
         fold_columns(extra).alias(ADDITIONAL_COLUMN),
-        plain_path_column(F.col("_metadata.file_path")).alias("source_file"),
+        "source_file",
         fits.alias("fits"),
-        F.when(~fits, F.concat(F.lit("bad value: "), faults)).alias("reason"),
-        F.when(~fits, record).alias("raw_record"),
+        F.when(torn, F.lit("wrong number of cells")).when(~fits, F.concat(F.lit("bad value: "), faults)).alias("reason"),
+        F.when(torn, F.to_json(F.struct(F.col(BAD_LINE).alias("line")))).when(~fits, record).alias("raw_record"),
     )
 
 
@@ -104,6 +119,9 @@ def _typed(target: T.StructField) -> Column:
     value = F.col(target.name)
     if isinstance(target.dataType, T.IntegralType):
         return to_whole_number(value, target.dataType)
-    if isinstance(target.dataType, T.StringType):
-        return value
-    return value.try_cast(target.dataType)
+    if isinstance(target.dataType, T.DecimalType):
+        exact = value.try_cast("decimal(38,18)")
+        return F.when(exact == exact.try_cast(target.dataType), exact.try_cast(target.dataType))
+    if isinstance(target.dataType, T.DateType):
+        return F.when(value.rlike(r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(\s|T|$)"), value.try_cast(target.dataType))
+    return value

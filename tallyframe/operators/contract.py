@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.schema import MANDATORY_COLUMNS
-from tallyframe.sources.files import exact_paths, read_headers
+from tallyframe.sources.files import HEADER_CHARACTERS, exact_paths, read_headers
 
 OK = "ok"
 ERROR = "error"
@@ -49,37 +49,46 @@ def check_files(
 
     Result: path, file_name, cells (header as written), header (column names), missing,
     extra (both in the order of their source), verdict ``ok`` or ``error``, and reason.
-    A file is an error when its name does not end in ``.csv``, when it has no header line, or
-    when a mandatory column is missing.
+    A file is an error when its name does not end in ``.csv`` or begins with ``_`` or ``.`` (Spark reads no
+    such file), when it has no header line or one of more than ``HEADER_CHARACTERS``, or when a mandatory
+    column is missing. A ``file_key`` in the listing is kept.
     """
-    is_csv = F.col("file_name").endswith(".csv")
+    hidden = F.col("file_name").rlike("^[_.]")
+    is_csv = F.col("file_name").endswith(".csv") & ~hidden
+    key = [c for c in files.columns if c == "file_key"]
     csv_files = files.where(is_csv)
     headers = read_headers(csv_files) if headers is None else headers
     wanted = F.array(*[F.lit(name) for name in mandatory])
 
+    long = F.coalesce(F.length("header_line") > HEADER_CHARACTERS, F.lit(False))
     checked = (
         csv_files.join(headers, "path", "left")
-        .select("path", "file_name", header_cells(F.col("header_line")).alias("cells"))
+        .select("path", "file_name", *key, long.alias("long"), F.when(~long, F.col("header_line")).alias("header_line"))
+        .select("path", "file_name", *key, "long", header_cells(F.col("header_line")).alias("cells"))
         .withColumn("header", column_names(F.col("cells")))
         .withColumn("missing", F.array_except(wanted, "header"))
         .withColumn("extra", F.array_except("header", wanted))
         .withColumn(
             "reason",
-            F.when(F.col("header").isNull(), F.lit("no header line")).when(
+            F.when(F.col("long"), F.lit(f"header line over {HEADER_CHARACTERS} characters"))
+            .when(F.col("header").isNull(), F.lit("no header line"))
+            .when(
                 F.size("missing") > 0,
                 F.concat(F.lit("missing columns: "), F.concat_ws(",", "missing")),
             ),
         )
+        .drop("long")
     )
     none = F.lit(None).cast("array<string>")
     others = files.where(~is_csv).select(
         "path",
         "file_name",
+        *key,
         none.alias("cells"),
         none.alias("header"),
         none.alias("missing"),
         none.alias("extra"),
-        F.lit("not a csv file").alias("reason"),
+        F.when(F.col("file_name").endswith(".csv"), F.lit("hidden name")).otherwise(F.lit("not a csv file")).alias("reason"),
     )
     return checked.unionByName(others).withColumn(
         "verdict", F.when(F.col("reason").isNull(), OK).otherwise(ERROR)

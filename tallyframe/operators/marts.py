@@ -14,6 +14,7 @@ from tallyframe.functions import full_name, incentive, month_of
 from tallyframe.operators.ranking import rank_descending
 from tallyframe.schema import TOTAL
 
+# The mart columns, here and of the base rows below.
 CUSTOMER_MART_COLUMNS = [
     "customer_id", "full_name", "address", "phone_number", "sales_date_month", "total_sales",
 ]

@@ -9,47 +9,45 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def value_band(amount: Column) -> Column:
-    """A coarse rank of an amount with two decimals: its length in cents and its first three digits.
-
-    A larger amount never has a smaller band, equal amounts share one, and nulls come last. The
-    band depends on the amount alone, so a recomputed task finds the same one.
-    """
-    cents = F.abs(amount * 100).cast("decimal(38,0)").cast("string")
-    size = F.length(cents) * 1000 + F.rpad(cents, 3, "0").substr(1, 3).cast("int")
-    return F.when(amount.isNull(), F.lit(-(10**6))).when(amount < 0, -size).otherwise(size)
+#: Bands that the distinct amounts of a group are cut into.
+BANDS = 64
 
 
-def rank_descending(df: DataFrame, keys: Sequence[str], amount: str, name: str) -> DataFrame:
+def rank_descending(df: DataFrame, keys: Sequence[str], amount: str, name: str, bands: int = BANDS) -> DataFrame:
     """Add ``rank() over (partition by keys order by amount desc)``, nulls last.
 
-    A plain window sorts a whole group in one task. Here equal amounts are counted first, the
-    counts are summed per band, and only the amounts inside a band are sorted; the number
-    of rows in higher bands is added from a table with one row per group and band.
+    A plain window sorts a whole group in one task. Here equal amounts are counted first. The
+    distinct amounts of each group are cut at their own quantiles, so that a band holds about
+    1/``bands`` of them however narrow their range is; the counts are summed per band, only the amounts inside
+    a band are sorted, and the number of rows in higher bands is added from a table with one row
+    per group and band. Quantiles are merged on the map side and approximate, which moves the cuts but not
+    the ranks.
     """
     keys = list(keys)
-    counted = (
-        df.groupBy(*keys, amount)
-        .agg(F.count("*").alias("n_rows"))
-        .withColumn("band", value_band(F.col(amount)))
+    counted = df.groupBy(*keys, amount).agg(F.count("*").alias("n_rows"))
+    shares = [i / bands for i in range(1, bands)]
+    cuts = counted.groupBy(*[F.col(k).alias(f"cut_{k}") for k in keys]).agg(
+        F.percentile_approx(amount, shares, 20 * bands).alias("cuts")
+    )
+    above = F.size(F.filter("cuts", lambda cut: cut < F.col(amount)))
+    counted = counted.join(cuts, _same(keys, [f"cut_{k}" for k in keys]), "inner").select(
+        *keys, amount, "n_rows", F.when(F.col(amount).isNull(), -1).otherwise(above).alias("band")
     )
     before = Window.unboundedPreceding
-    bands = (
+    sums = (
         counted.groupBy(*[F.col(k).alias(f"band_{k}") for k in keys], F.col("band").alias("band_no"))
         .agg(F.sum("n_rows").alias("band_rows"))
         .withColumn(
             "rows_above",
             F.sum("band_rows").over(
-                Window.partitionBy(*[f"band_{k}" for k in keys])
-                .orderBy(F.desc("band_no"))
-                .rowsBetween(before, -1)
+                Window.partitionBy(*[f"band_{k}" for k in keys]).orderBy(F.desc("band_no")).rowsBetween(before, -1)
             ),
         )
     )
     in_band = Window.partitionBy(*keys, "band").orderBy(F.desc(amount)).rowsBetween(before, -1)
     ranks = (
         counted.withColumn("rows_before", F.sum("n_rows").over(in_band))
-        .join(bands, _same([*keys, "band"], [*[f"band_{k}" for k in keys], "band_no"]), "inner")
+        .join(sums, _same([*keys, "band"], [*[f"band_{k}" for k in keys], "band_no"]), "inner")
         .select(
             *[F.col(k).alias(f"rank_{k}") for k in keys],
             F.col(amount).alias("rank_amount"),

@@ -1,15 +1,20 @@
 """One run: landed files to fact, fact to marts, and the ledger around both.
 
-Fact rows lie in one folder per state, month and run, so that a run reads the folders of the
-months that it touches and nothing else. A run counts only once it is closed in the ledger. A
-run that dies half way leaves rows that nobody reads and files that are still pending, so the
-next run simply takes them again.
+A run writes into folders of its own: its fact rows, its matched rows, its totals by month, the months of
+the marts that it touches. One row, written last, closes the run, and readers look at the folders of
+closed runs only: of a mart's month at those of the last closed run that touched it. A run that dies half
+way therefore shows nowhere, its files are still pending, and a run of the same number first removes what
+the attempt has left.
+
+A month that arrives in several runs is summed from the totals of these runs; no fact row is read again. What
+a run could not match stays in its quarantine and in no mart, so the rows of a run are those in the marts, the
+rejected and the unmatched.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
@@ -22,16 +27,19 @@ from tallyframe.operators import ledger, marts
 from tallyframe.operators.conform import header_groups, parse_files
 from tallyframe.operators.contract import bad_files, check_files, good_files, quarantine_lines
 from tallyframe.operators.dimensions import enrich, repeated_keys, unmatched
-from tallyframe.schema import LEDGER_EVENT, SALES_FACT
+from tallyframe.schema import LEDGER_EVENT, SALES_FACT, TOTAL
 from tallyframe.sinks.files import (
+    complete_snapshots,
+    drop_paths,
+    literal,
     matching_paths,
     snapshot_folder,
     write_frame,
     write_partitioned,
     write_snapshot,
 )
-from tallyframe.sinks.jdbc import replace_table
-from tallyframe.sources.files import list_files
+from tallyframe.sinks.jdbc import replace_months
+from tallyframe.sources.files import exact_paths, list_files
 from tallyframe.sources.jdbc import keep_table, read_table
 
 STORED_FACT = T.StructType(
@@ -45,10 +53,33 @@ STORED_FACT = T.StructType(
         T.StructField("run_epoch_ms", T.LongType()),
     ]
 )
+#: What tells files apart in the ledger: path, length and time of change.
+KEY = "file_key"
+RUN_LEDGER = T.StructType([*LEDGER_EVENT.fields, T.StructField(KEY, T.StringType())])
+# Totals of the matched sales of one run: what the marts are made of.
+TOTALS = T.StructType(
+    [
+        T.StructField("customer_id", T.LongType()),
+        T.StructField("store_id", T.LongType()),
+        T.StructField("sales_person_id", T.LongType()),
+        T.StructField("total_cost", TOTAL),
+        T.StructField("sales_month", T.StringType()),
+        T.StructField("run_epoch_ms", T.LongType()),
+    ]
+)
 # Fixed value: the folder name that Spark gives to a null.
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
+# The mart layouts.
+CUSTOMER_MART = (
+    "customer_id long, full_name string, address string, phone_number string, sales_date_month string, total_sales decimal(18,2)"
+)
+SALES_MART = (
+    "store_id long, sales_person_id long, full_name string, sales_month string, total_sales decimal(18,2), incentive decimal(18,4)"
+)
+
+
 @dataclass(frozen=True)
 class Layout:
     """Folders of one mart store, all below a root that every executor reaches."""
@@ -102,6 +133,8 @@ class RunReport:
     n_unmatched_rows: int = 0
     months: list[str | None] = field(default_factory=list)
     interrupted: list[str] = field(default_factory=list)
+    #: ``done``; ``nothing`` without new files; ``rejected`` when none of the new files was good.
+    status: str = "nothing"
 
 
 def load_dimensions(spark: SparkSession, database: Database, layout: Layout) -> Dimensions:
@@ -122,14 +155,29 @@ def ledger_events(spark: SparkSession, layout: Layout) -> DataFrame:
     """All registrations, and the closing events of the runs that count."""
 
     def events(name: str) -> DataFrame:
-        if not matching_paths(spark, layout.folder(name)):
-            return spark.createDataFrame([], LEDGER_EVENT)
-        return spark.read.schema(LEDGER_EVENT).parquet(layout.folder(name)).select(*LEDGER_EVENT.names)
+        if not matching_paths(spark, literal(layout.folder(name))):
+            return spark.createDataFrame([], RUN_LEDGER)
+        return spark.read.schema(RUN_LEDGER).parquet(layout.folder(name)).select(*RUN_LEDGER.names)
 
     closed = events("ledger_closed").join(_closed(spark, layout), "run_epoch_ms", "left_semi")
     return events("ledger_registered").unionByName(closed)
 
 
+def rejected_files(spark: SparkSession, layout: Layout) -> DataFrame:
+    """``file_key`` and ``reason`` of the files that a run has turned down; they are looked at once."""
+    root = layout.folder("files_rejected")
+    runs = complete_snapshots(spark, root)
+    if not runs:
+        return spark.createDataFrame([], f"{KEY} string, path string, reason string")
+    return spark.read.parquet(*[snapshot_folder(root, run) for run in runs])
+
+
+def pending_files(spark: SparkSession, layout: Layout, landed: DataFrame, events: DataFrame) -> DataFrame:
+    """Landed files that no run has finished or turned down."""
+    open_files = ledger.pending(landed, events, KEY)
+    return open_files.join(rejected_files(spark, layout).select(KEY), KEY, "left_anti")
+
+
 @dataclass(frozen=True)
 class FactFolder:
     month: str | None
@@ -146,7 +194,7 @@ def fact_folders(
 ) -> list[FactFolder]:
     """Folders of the stored fact, by default of all months and runs."""
     name = NULL_FOLDER if month is None else month
-    pattern = f"{layout.folder('fact')}/row_state={row_state}/sales_month={name}/run_epoch_ms={run}"
+    pattern = f"{literal(layout.folder('fact'))}/row_state={row_state}/sales_month={name}/run_epoch_ms={run}"
     folders = []
     for path in matching_paths(spark, pattern):
         *_, month_part, run_part = path.split("/")
@@ -178,7 +226,7 @@ def closed_runs(spark: SparkSession, layout: Layout) -> list[int]:
 
 def _closed(spark: SparkSession, layout: Layout) -> DataFrame:
     root, columns = layout.folder("runs_closed"), "run_epoch_ms bigint"
-    if not matching_paths(spark, root):
+    if not matching_paths(spark, literal(root)):
         return spark.createDataFrame([], columns)
     return spark.read.schema(columns).parquet(root).distinct()
 
@@ -189,6 +237,8 @@ def take_in(spark: SparkSession, files: DataFrame, layout: Layout, run: int) ->
     The text is parsed once: accepted and rejected rows go to different folders in one write.
     """
     report = RunReport(run)
+    for parts in ("fact/*/*", "totals/*", "customer_mart", "sales_mart", "matched_rows"):
+        drop_paths(spark, f"{literal(layout.root.rstrip('/'))}/{parts}/run_epoch_ms={run}")
     checks = layout.folder("checks")
     write_snapshot(check_files(files), checks, run)
     checked = spark.read.parquet(snapshot_folder(checks, run))
@@ -197,12 +247,17 @@ def take_in(spark: SparkSession, files: DataFrame, layout: Layout, run: int) ->
     lines = quarantine_lines(checked)
     if lines is not None:
         write_snapshot(lines, layout.folder("quarantine_files"), run)
+    if report.n_bad_files:
+        # After their text is kept: from here on these files are not looked at again.
+        write_snapshot(bad_files(checked).select(KEY, "path", "reason"), layout.folder("files_rejected"), run)
 
     if not report.n_good_files:
+        report.status = "rejected" if report.n_bad_files else "nothing"
         return report
+    report.status = "done"
     good = good_files(checked)
     write_snapshot(
-        ledger.register_files(good, F.current_timestamp(), F.lit(run)), layout.folder("ledger_registered"), run
+        ledger.register_files(good, F.current_timestamp(), F.lit(run), [KEY]), layout.folder("ledger_registered"), run
     )
     parsed = (
         parse_files(spark, header_groups(checked))
@@ -231,42 +286,62 @@ def publish(
 ) -> list[str | None]:
     """Bring the marts up to date with a stored run, and close the files of the run.
 
-    A month may arrive in several runs, so each month that this run touches is summed again
-    over all runs that count, and replaces the month in the marts.
+    Each month that this run touches is summed from the totals of all runs that count and of this one, and
+    becomes the newest state of the month once the run is closed.
     """
+    dimensions.check()
     new_folders = fact_folders(spark, layout, run=run)
     new_rows = read_fact(spark, layout, new_folders)
     months = sorted({folder.month for folder in new_folders}, key=lambda month: month or "")
-    runs = {*closed_runs(spark, layout), run}
-    touched = [f for month in months for f in fact_folders(spark, layout, month=month) if f.run in runs]
-    fact = read_fact(spark, layout, touched).select(*SALES_FACT.names)
     star = (dimensions.customer, dimensions.store, dimensions.sales_team)
 
     write_snapshot(unmatched(new_rows.select(*SALES_FACT.names), *star), layout.folder("quarantine_keys"), run)
-    write_partitioned(
-        marts.customer_mart(fact, *star), layout.folder("customer_mart"), ["sales_date_month"], touched_only=True
-    )
-    write_partitioned(
-        marts.sales_mart(fact, *star), layout.folder("sales_mart"), ["sales_month"], touched_only=True
-    )
+    matched = enrich(new_rows, *star).withColumn("sales_month", month_of("sales_date"))
     if keep_base_rows:
-        # Single rows do not change with later runs: only the new ones are written.
-        enriched = enrich(new_rows, *star)
-        write_snapshot(
-            marts.sales_base(enriched), layout.folder("sales_rows"), run, by=["sales_month", "store_id"]
-        )
-        write_snapshot(marts.customer_base(enriched), layout.folder("customer_rows"), run)
-    if database is not None:
-        for name, table in (
-            ("customer_mart", database.customer_mart_table),
-            ("sales_mart", database.sales_mart_table),
-        ):
-            replace_table(read_mart(spark, layout, name), database.url, table, database.properties)
+        # Written once; both sets of base rows are columns of it. Single rows do not change with later runs.
+        folder = layout.folder("matched_rows")
+        write_snapshot(matched.sortWithinPartitions("sales_month", "store_id"), folder, run)
+        matched = spark.read.schema(matched.schema).parquet(snapshot_folder(folder, run))
+    totals = matched.groupBy("customer_id", "store_id", "sales_person_id", "sales_month").agg(
+        F.sum("total_cost").cast(TOTAL).alias("total_cost")
+    )
+    totals = totals.select(*TOTALS.names[:-1]).withColumn("run_epoch_ms", F.lit(run).cast("bigint"))
+    write_partitioned(totals, layout.folder("totals"), ["sales_month", "run_epoch_ms"], touched_only=True)
 
+    fact = month_totals(spark, layout, months, {*closed_runs(spark, layout), run})
+    write_snapshot(marts.customer_mart(fact, *star), layout.folder("customer_mart"), run, by=["sales_date_month"])
+    write_snapshot(marts.sales_mart(fact, *star), layout.folder("sales_mart"), run, by=["sales_month"])
     close_run(spark, layout, run)
+    if database is not None:
+        export_months(spark, layout, database, months)
     return months
 
 
+def month_totals(spark: SparkSession, layout: Layout, months: list[str | None], runs: set[int]) -> DataFrame:
+    """The totals of some months over some runs, as a fact with the first day of each month."""
+    root, wanted, folders = layout.folder("totals"), set(months), []
+    for path in matching_paths(spark, f"{literal(root)}/sales_month=*/run_epoch_ms=*"):
+        month, run = (unquote(part.partition("=")[2]) for part in path.split("/")[-2:])
+        if (None if month == NULL_FOLDER else month) in wanted and int(run) in runs:
+            folders.append(path)
+    if folders:
+        totals = spark.read.schema(TOTALS).option("basePath", root).parquet(*exact_paths(folders))
+    else:
+        totals = spark.createDataFrame([], TOTALS)
+    day = F.concat("sales_month", F.lit("-01")).cast("date")
+    return totals.select("customer_id", "store_id", "sales_person_id", day.alias("sales_date"), "total_cost")
+
+
+def export_months(spark: SparkSession, layout: Layout, database: Database, months: list[str | None]) -> None:
+    """Bring the given months of the mart tables to the state of the files. Files are the truth: a failed
+    export is made good by calling this again."""
+    for name, table, month in (
+        ("customer_mart", database.customer_mart_table, "sales_date_month"),
+        ("sales_mart", database.sales_mart_table, "sales_month"),
+    ):
+        replace_months(read_mart(spark, layout, name), database.url, table, database.properties, month, months)
+
+
 def close_run(spark: SparkSession, layout: Layout, run: int) -> None:
     """Close the good files of a run. From here on its rows count.
 
@@ -275,7 +350,7 @@ def close_run(spark: SparkSession, layout: Layout, run: int) -> None:
     """
     closing = good_files(spark.read.parquet(snapshot_folder(layout.folder("checks"), run)))
     write_snapshot(
-        ledger.close_files(closing, F.current_timestamp(), F.lit(run)), layout.folder("ledger_closed"), run
+        ledger.close_files(closing, F.current_timestamp(), F.lit(run), [KEY]), layout.folder("ledger_closed"), run
     )
     number = spark.range(0, 1, 1, 1).select(F.lit(run).cast("bigint").alias("run_epoch_ms"))
     write_frame(number, layout.folder("runs_closed"), mode="append")
@@ -283,17 +358,28 @@ def close_run(spark: SparkSession, layout: Layout, run: int) -> None:
 
 def read_base_rows(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """The enriched rows behind a mart, ``sales_rows`` or ``customer_rows``, of all finished runs."""
-    rows = spark.read.parquet(layout.folder(name))
-    return rows.where(F.col("run_epoch_ms").isin(closed_runs(spark, layout)))
+    base = {"sales_rows": marts.sales_base, "customer_rows": marts.customer_base}[name]
+    rows = spark.read.parquet(layout.folder("matched_rows")).join(_closed(spark, layout), "run_epoch_ms", "left_semi")
+    return rows.select(*base(rows).columns, "run_epoch_ms")
 
 
 def read_mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """A published mart with its columns in mart order."""
-    columns = {
-        "customer_mart": marts.CUSTOMER_MART_COLUMNS,
-        "sales_mart": marts.SALES_MART_COLUMNS,
+    columns, month = {
+        "customer_mart": (CUSTOMER_MART, "sales_date_month"),
+        "sales_mart": (SALES_MART, "sales_month"),
     }[name]
-    return spark.read.parquet(layout.folder(name)).select(*columns)
+    layout_of = T.StructType.fromDDL(columns)
+    root, closed, newest = layout.folder(name), set(closed_runs(spark, layout)), {}
+    for path in matching_paths(spark, f"{literal(root)}/run_epoch_ms=*/{month}=*"):
+        run_part, month_part = path.split("/")[-2:]
+        run = int(run_part.partition("=")[2])
+        if run in closed and run >= newest.get(month_part, (run, ""))[0]:
+            newest[month_part] = run, path
+    if not newest:
+        return spark.createDataFrame([], layout_of)
+    paths = exact_paths(path for _, path in newest.values())
+    return spark.read.schema(layout_of).option("basePath", root).parquet(*paths).select(*layout_of.names)
 
 
 def run_batch(
@@ -317,11 +403,11 @@ def run_batch(
     dimensions.check()
     landed = list_files(spark, landing)
     events = ledger_events(spark, layout)
-    interrupted = sorted(row.file_name for row in ledger.active_landed(landed, events).collect())
+    interrupted = sorted(row.file_name for row in ledger.active_landed(landed, events, KEY).collect())
     if interrupted and on_interrupted == "fail":
         raise RuntimeError(f"the last run did not finish {len(interrupted)} files, first {interrupted[0]}")
 
-    report = take_in(spark, ledger.pending(landed, events), layout, run)
+    report = take_in(spark, pending_files(spark, layout, landed, events), layout, run)
     report.interrupted = interrupted
     if report.n_good_files:
         report.months = publish(spark, layout, dimensions, run, database, keep_base_rows)
@@ -330,6 +416,30 @@ def run_batch(
     return report
 
 
+def take_files(
+    spark: SparkSession,
+    landed: DataFrame,
+    layout: Layout,
+    dimensions: Dimensions | Callable[[], Dimensions] | None,
+    database: Database | None = None,
+    keep_base_rows: bool = True,
+) -> RunReport | None:
+    """A run over given files, as a stream hands them over: those that no run has finished or turned
+    down. Dimensions may be a function, which is asked at each run; without any the rows are only stored."""
+    files = pending_files(spark, layout, landed, ledger_events(spark, layout))
+    if files.isEmpty():
+        return None
+    run = _new_run(closed_runs(spark, layout), None)
+    report = take_in(spark, files, layout, run)
+    if report.n_good_files:
+        if dimensions is None:
+            close_run(spark, layout, run)
+        else:
+            current = dimensions() if callable(dimensions) else dimensions
+            report.months = publish(spark, layout, current, run, database, keep_base_rows)
+    return report
+
+
 def _new_run(closed: list[int], run_epoch_ms: int | None) -> int:
     """The given run number, or the current second in ms; never the number of a finished run."""
     if run_epoch_ms in closed:

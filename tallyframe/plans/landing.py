@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.plans.tables import FACT_ORDER, sales_lines, table
 from tallyframe.session import scratch_path
-from tallyframe.sinks.files import write_frame
+from tallyframe.sinks.files import literal, matching_paths, write_frame
 
 # What the file of each region looks like.
 FEEDS = {
@@ -28,6 +28,19 @@ def land(feed: DataFrame, landing: str) -> str:
     return landing
 
 
+def land_as(feed: DataFrame, landing: str, name: str) -> str:
+    """Write one feed as CSV files named ``<name>-<number>.csv``: other feeds may use the same names."""
+    land(feed, landing)
+    spark = feed.sparkSession
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    for number, part in enumerate(sorted(matching_paths(spark, f"{literal(landing)}/part-*"))):
+        source = new_path(part)
+        store = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not store.rename(source, new_path(f"{landing}/{name}-{number}.csv")):
+            raise OSError(f"{part} could not be renamed")
+    return landing
+
+
 def regional_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales with the region of the store; return flag N counts as not given."""
     nation = table(spark, sf_dir, "nation").select(

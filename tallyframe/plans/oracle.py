@@ -90,6 +90,42 @@ SELECT store_id, sales_person_id, full_name, sales_month, total_sales,
        CAST(CASE WHEN rnk = 1 THEN total_sales * 0.01 ELSE 0 END AS DECIMAL(18,4)) AS incentive
 FROM ranked"""
 
+_BOTH_MARTS = f"""WITH {_TOTALS}
+SELECT 'sales' AS mart, store_id, sales_person_id AS person_id, full_name, sales_month AS month, total_sales,
+       CAST(CASE WHEN rnk = 1 THEN total_sales * 0.01 ELSE 0 END AS DECIMAL(18,4)) AS incentive
+FROM ranked
+UNION ALL
+SELECT 'customer', CAST(NULL AS BIGINT), customer_id, first_name || ' ' || last_name, month,
+       CAST(SUM(total_cost) AS DECIMAL(18,2)), CAST(NULL AS DECIMAL(18,4))
+FROM enriched GROUP BY customer_id, first_name, last_name, month"""
+
+_HARD = (
+    _LINES
+    + """,
+hard AS (
+  SELECT CASE WHEN customer_id % 10 <> 0 THEN customer_id END AS customer_id, store_id, sales_date,
+         CASE WHEN sales_person_id % 7 <> 0 THEN sales_person_id END AS sales_person_id,
+         CASE WHEN DAY(sales_date) > 3 THEN CAST(100 AS DECIMAL(12,2)) END AS total_cost
+  FROM lines
+),
+matched AS (
+  SELECT h.*, c.first_name || ' ' || c.last_name AS customer_name, c.address, c.phone_number,
+         t.sales_person_first_name || ' ' || t.sales_person_last_name AS seller_name,
+         SUBSTR(CAST(h.sales_date AS VARCHAR), 1, 7) AS month
+  FROM hard h
+  JOIN dim_customer c ON h.customer_id = c.customer_id AND c.last_name <> 'BUILDING'
+  JOIN dim_store s ON h.store_id = s.id AND s.store_pincode <> '1'
+  JOIN dim_team t ON h.sales_person_id = t.id AND t.is_manager = 'N'
+),
+hard_ranked AS (
+  SELECT *, RANK() OVER (PARTITION BY store_id, sales_month ORDER BY total_sales DESC NULLS LAST) AS rnk
+  FROM (SELECT store_id, sales_person_id, seller_name AS full_name, month AS sales_month,
+               CAST(SUM(total_cost) AS DECIMAL(18,2)) AS total_sales
+        FROM matched GROUP BY 1, 2, 3, 4)
+)
+"""
+)
+
 _SALES_BASE = f"""WITH {_ENRICHED}
 SELECT store_id, sales_person_id, sales_person_first_name, sales_person_last_name, manager_id,
        is_manager, sales_person_address, sales_person_pincode, sales_date, total_cost,
@@ -160,6 +196,17 @@ SELECT 'bad value: ' || CONCAT_WS(',', CASE WHEN raw_flag = 'R' THEN 'sales_pers
 FROM lines WHERE raw_flag = 'R' OR payment_mode = '1-URGENT'""",
         "stream_ingest": f"""WITH {_LINES}
 SELECT {_CONTRACT}, payment_mode AS additional_column FROM lines""",
+        "batch_marts": _BOTH_MARTS,
+        "stream_marts": _BOTH_MARTS,
+        "customer_mart_partial": f"""WITH {_HARD}
+SELECT customer_id, customer_name AS full_name, address, phone_number, month AS sales_date_month,
+       CAST(SUM(total_cost) AS DECIMAL(18,2)) AS total_sales
+FROM matched GROUP BY 1, 2, 3, 4, 5""",
+        "sales_mart_partial": f"""WITH {_HARD}
+SELECT store_id, sales_person_id, full_name, sales_month, total_sales,
+       CAST(CASE WHEN rnk = 1 THEN total_sales * 0.01 ELSE 0 END AS DECIMAL(18,4)) AS incentive
+FROM hard_ranked""",
+        "sales_rank_partial": f"WITH {_HARD} SELECT * FROM hard_ranked",
         "dim_product_scan": """SELECT p_partkey AS id, p_name AS name,
        CAST(p_retailprice AS DECIMAL(12,2)) AS current_price FROM part""",
         "join_customer": f"""WITH {_LINES}
@@ -234,5 +281,7 @@ WHERE file_name NOT IN (SELECT file_name FROM latest WHERE status = 'I')""",
         "parquet_roundtrip": _SALES_BASE,
         "partitioned_mart_roundtrip": _SALES_BASE,
         "snapshot_latest": _SALES_MART,
+        "partitioned_snapshot": _SALES_BASE,
+        "customer_mart_roundtrip": _CUSTOMER_MART,
         "jdbc_roundtrip": _SALES_MART,
     }

@@ -14,8 +14,8 @@ from tallyframe.operators import ledger, marts
 from tallyframe.operators.conform import accepted_rows, conform, header_groups, parse_files, rejected_rows
 from tallyframe.operators.contract import check_files
 from tallyframe.operators.metrics import load_metrics
-from tallyframe.plans.batch import Layout, stored_fact
-from tallyframe.plans.landing import land, land_feeds, regional_lines
+from tallyframe.plans.batch import Layout, read_mart, run_batch, stored_fact
+from tallyframe.plans.landing import land, land_as, land_feeds, regional_lines
 from tallyframe.plans.tables import (
     FACT_ORDER,
     customer_table,
@@ -36,7 +36,7 @@ from tallyframe.sinks.files import (
     write_partitioned,
     write_snapshot,
 )
-from tallyframe.sinks.jdbc import replace_table
+from tallyframe.sinks.jdbc import append_table, replace_months, replace_table
 from tallyframe.sources.files import list_files
 from tallyframe.sources.jdbc import read_table
 from tallyframe.streaming.ingest import ingest_available
@@ -110,6 +110,46 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_fact(spark, layout).select(*SALES_FACT.names)
 
 
+def _published(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Both marts of a store, one below the other."""
+    none = lambda kind: F.lit(None).cast(kind)
+    by_seller = read_mart(spark, layout, "sales_mart").select(
+        F.lit("sales").alias("mart"), "store_id", F.col("sales_person_id").alias("person_id"), "full_name",
+        F.col("sales_month").alias("month"), "total_sales", "incentive",
+    )
+    by_customer = read_mart(spark, layout, "customer_mart").select(
+        F.lit("customer").alias("mart"), none("long").alias("store_id"), F.col("customer_id").alias("person_id"),
+        "full_name", F.col("sales_date_month").alias("month"), "total_sales", none("decimal(18,4)").alias("incentive"),
+    )
+    return by_seller.unionByName(by_customer)
+
+
+def batch_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs that share all months, from files of the same names in different folders."""
+    landing, layout = scratch_path(spark, "landing"), Layout(scratch_path(spark, "store"))
+    feed = sales_lines(spark, sf_dir).select(*FACT_ORDER)
+    even = F.col("store_id") % 2 == 0
+    for run, rows in ((1_000, feed.where(even)), (2_000, feed.where(~even))):
+        land_as(rows, f"{landing}/day{run}", "sales")
+        run_batch(spark, landing, layout, dimensions(spark, sf_dir), run_epoch_ms=run, keep_base_rows=False)
+    return _published(spark, layout)
+
+
+def stream_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream in several micro-batches, then a new checkpoint over the same store and one more file."""
+    landing, layout = scratch_path(spark, "landing"), Layout(scratch_path(spark, "store"))
+    feed = sales_lines(spark, sf_dir).select(*FACT_ORDER)
+    late = F.col("sales_date") >= F.lit("1998-01-01").cast("date")
+    load = lambda: dimensions(spark, sf_dir)
+    for day, (rows, checkpoint) in enumerate(((feed.where(~late), "first"), (feed.where(late), "second"))):
+        land_as(rows, f"{landing}/day{day}", "sales")
+        ingest_available(
+            spark, landing, layout, dimensions=load, files_per_batch=2, keep_base_rows=False,
+            checkpoint=layout.folder(f"checkpoint_{checkpoint}"),
+        )
+    return _published(spark, layout)
+
+
 # --- dimensions ----------------------------------------------------------------------------
 
 
@@ -155,6 +195,36 @@ def sales_mart_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.sales_base(enrich_star(spark, sf_dir))
 
 
+def hard_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The star with orphans in all dimensions, null keys, null totals, and totals so coarse that sellers tie."""
+    d = dimensions(spark, sf_dir)
+    fact = sales_keys(spark, sf_dir).select(
+        F.when(F.col("customer_id") % 10 != 0, F.col("customer_id")).alias("customer_id"),
+        "store_id",
+        "sales_date",
+        F.when(F.col("sales_person_id") % 7 != 0, F.col("sales_person_id")).alias("sales_person_id"),
+        F.when(F.dayofmonth("sales_date") > 3, F.lit(100).cast("decimal(12,2)")).alias("total_cost"),
+    )
+    return (
+        fact,
+        d.customer.where(F.col("last_name") != "BUILDING"),
+        d.store.where(F.col("store_pincode") != "1"),
+        d.sales_team.where(F.col("is_manager") == "N"),
+    )
+
+
+def customer_mart_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.customer_mart(*hard_star(spark, sf_dir))
+
+
+def sales_mart_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.sales_mart(*hard_star(spark, sf_dir))
+
+
+def sales_rank_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.sales_rank(*hard_star(spark, sf_dir))
+
+
 def month_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         sales_keys(spark, sf_dir)
@@ -267,6 +337,22 @@ def snapshot_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest_snapshot(spark, root)
 
 
+def partitioned_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two snapshots of the sales rows by month; the newest is read back."""
+    root = scratch_path(spark, "snapshots")
+    rows = sales_mart_base(spark, sf_dir)
+    for run, part in ((1_000, rows.where(F.col("store_id") < 5)), (2_000, rows)):
+        write_snapshot(part, root, run, by=["sales_month"])
+    return read_latest_snapshot(spark, root).select(*rows.columns)
+
+
+def customer_mart_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "customer-mart")
+    rows = customer_mart(spark, sf_dir)
+    write_partitioned(rows, path, ["sales_date_month"])
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales mart to a database table and back.
 
@@ -284,7 +370,12 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
     properties = {"driver": driver} if driver else {}
     rows = marts.sales_mart(*star(spark, sf_dir))
-    replace_table(rows, url, "sales_team_data_mart", properties)
+    months = [r[0] for r in rows.select("sales_month").distinct().collect()]
+    # The first months come by an append, and are replaced together with all others by what holds.
+    replace_table(rows.limit(0), url, "sales_team_data_mart", properties)
+    early = rows.where(F.col("sales_month") < "1994-01").withColumn("total_sales", F.col("total_sales") + 1)
+    append_table(early, url, "sales_team_data_mart", properties)
+    replace_months(rows, url, "sales_team_data_mart", properties, "sales_month", months)
     stored = read_table(spark, url, "sales_team_data_mart", properties, key="sales_person_id", rows_per_task=20_000)
     return stored.select(*marts.SALES_MART_COLUMNS)
 
@@ -297,6 +388,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "union_files": union_files,
         "quarantine_rows": quarantine_rows,
         "stream_ingest": stream_ingest,
+        "batch_marts": batch_marts,
+        "stream_marts": stream_marts,
         "dim_product_scan": dim_product_scan,
         "join_customer": join_customer,
         "join_store": join_store,
@@ -311,6 +404,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "customer_mart_window": customer_mart_window,
         "sales_person_month_total": sales_person_month_total,
         "sales_rank": sales_rank,
+        "customer_mart_partial": customer_mart_partial,
+        "sales_mart_partial": sales_mart_partial,
+        "sales_rank_partial": sales_rank_partial,
         "sales_mart": sales_mart,
         "top_seller": top_seller,
         "distinct_rows": distinct_rows,
@@ -322,5 +418,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parquet_roundtrip": parquet_roundtrip,
         "partitioned_mart_roundtrip": partitioned_mart_roundtrip,
         "snapshot_latest": snapshot_latest,
+        "partitioned_snapshot": partitioned_snapshot,
+        "customer_mart_roundtrip": customer_mart_roundtrip,
         "jdbc_roundtrip": jdbc_roundtrip,
     }

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,23 +31,7 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], touched_only:
         .option("partitionOverwriteMode", "dynamic" if touched_only else "static")
         .partitionBy(*by)
     )
-    with _all_cores_for_small_data(df.sparkSession):
-        writer.save(path)
-
-
-@contextmanager
-def _all_cores_for_small_data(spark: SparkSession) -> Iterator[None]:
-    """Let adaptive execution use every core below 1 MB per task too.
-
-    Little data in many folders takes its time for the files, not for the bytes.
-    """
-    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "16k")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    writer.save(path)
 
 
 def snapshot_folder(root: str, run_epoch_ms: int) -> str:
@@ -71,9 +55,21 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found or []]
 
 
+def literal(path: str) -> str:
+    """The path for use inside of a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def drop_paths(spark: SparkSession, pattern: str) -> None:
+    """Remove what an unfinished attempt has left."""
+    for found in matching_paths(spark, pattern):
+        path = spark._jvm.org.apache.hadoop.fs.Path(found)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def complete_snapshots(spark: SparkSession, root: str) -> list[int]:
     """Runs with a snapshot that was written to its end, oldest first."""
-    done = matching_paths(spark, f"{root.rstrip('/')}/run_epoch_ms=*/_SUCCESS")
+    done = matching_paths(spark, f"{literal(root.rstrip('/'))}/run_epoch_ms=*/_SUCCESS")
     return sorted(int(path.rsplit("run_epoch_ms=", 1)[1].partition("/")[0]) for path in done)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from datetime import datetime, timezone
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -13,13 +14,11 @@ from pyspark.sql import functions as F
 from tallyframe.functions import base_name, strip_store
 
 HEADER_LINE = "path string, header_line string"
-
-
-def plain_path(path: str) -> str:
-    """One spelling per file: ``file:///`` for local paths."""
-    if path.startswith("file:/"):
-        return "file:///" + path[len("file:") :].lstrip("/")
-    return path
+# The layout of the binary file source; only path, length and time are read.
+FILE_LAYOUT = "path string, modificationTime timestamp, length bigint, content binary"
+#: Characters after which a first line counts as no header, and folders below the landing folder that are looked into for
+#: names that Spark hides.
+HEADER_CHARACTERS, HIDDEN_DEPTH = 65_536, 6
 
 
 def exact_paths(paths: Iterable[str]) -> list[str]:
@@ -37,24 +36,55 @@ def plain_path_column(path: Column) -> Column:
     return F.regexp_replace(decoded, "^file:/+", "file:///")
 
 
-def files_frame(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    names = pa.table({"path": pa.array([plain_path(p) for p in paths], pa.string())})
-    return spark.createDataFrame(names).select(
-        "path", base_name("path").alias("file_name"), strip_store("path").alias("object_key")
+def files_frame(statuses: DataFrame) -> DataFrame:
+    """(path, file_name, object_key, file_key) from (path, length, modificationTime).
+
+    ``file_key`` tells files apart: one of the same name in another folder, or one that was replaced,
+    is another file.
+    """
+    path = F.regexp_replace("path", "^file:/+", "file:///")
+    modified = F.unix_millis("modificationTime").cast("string")
+    return statuses.select(path.alias("path"), "length", modified.alias("modified")).select(
+        "path",
+        base_name("path").alias("file_name"),
+        strip_store("path").alias("object_key"),
+        F.concat_ws("|", "path", F.col("length").cast("string"), "modified").alias("file_key"),
     )
 
 
 def list_files(spark: SparkSession, location: str) -> DataFrame:
-    """(path, file_name, object_key) of every file under a location, empty files included.
+    """(path, file_name, object_key, file_key) of every file under a location, empty files included.
 
-    Only the names that Spark's own file index already holds are used; no content is read.
+    Names, lengths and times come from the file source, which lists in parallel and opens no file for
+    them. It shows empty files by name only, so these have length 0 and no time. Spark does not show names that begin with ``_`` or ``.``, nor could it read such files; sales files
+    among them are added by name, up to ``HIDDEN_DEPTH`` folders down, so that they are judged like any other.
     """
-    paths = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location).inputFiles()
-    )
-    if not paths:
+    source = spark.read.schema(FILE_LAYOUT).format("binaryFile").option("recursiveFileLookup", "true").load(location)
+    names = [re.sub("^file:/+", "file:///", unquote(path)) for path in source.inputFiles()]
+    levels = ",".join("*/" * depth + "[_.]*.csv" for depth in range(HIDDEN_DEPTH + 1))
+    hidden = hidden_files(spark, location, levels)
+    if not names and not hidden:
         raise FileNotFoundError(f"no files under {location}")
-    return files_frame(spark, [unquote(path) for path in paths])
+    known = source.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "length", "modificationTime")
+    all_names = spark.createDataFrame(pa.table({"path": pa.array(names, pa.string())}))
+    listed = files_frame(all_names.join(known, "path", "left").withColumn("length", F.coalesce("length", F.lit(0))))
+    if hidden:
+        kinds = "path string, length long, modificationTime timestamp"
+        listed = listed.unionByName(files_frame(spark.createDataFrame(hidden, kinds)))
+    return listed
+
+
+def hidden_files(spark: SparkSession, location: str, levels: str) -> list[tuple]:
+    """Status of the files that match one of the relative patterns."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(location)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    literal = exact_paths([store.makeQualified(root).toString()])[0]
+    found = store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{literal}/{{{levels}}}"))
+    return [
+        (s.getPath().toString(), s.getLen(), datetime.fromtimestamp(s.getModificationTime() / 1000, timezone.utc))
+        for s in found or []
+        if s.isFile()
+    ]
 
 
 def read_headers(files: DataFrame, how: str | None = None) -> DataFrame:
@@ -63,32 +93,24 @@ def read_headers(files: DataFrame, how: str | None = None) -> DataFrame:
     ``open`` reads the first bytes of each file in tasks spread over the files and costs the
     same for a small and a huge file, but needs a store that Arrow can open with the
     credentials of the executors. ``scan`` works on every store that Spark reads, at the price of
-    a pass over the text. ``auto`` opens where the driver can open one of the files, and else
-    scans. Without an argument the setting ``spark.tallyframe.headers`` decides, by default ``auto``.
+    a pass over the text. Which of them it is depends on the argument or the setting
+    ``spark.tallyframe.headers`` alone, by default ``open``: a store that Arrow cannot open stops the
+    read with a message, since a scan would silently read everything twice.
+
+    Both end lines at LF, CR LF or CR, skip lines of white space, and give the first
+    ``HEADER_CHARACTERS`` + 1 characters of a longer line, which the contract check turns down.
     """
     paths = files.select("path")
     if how is None:
-        how = files.sparkSession.conf.get("spark.tallyframe.headers", "auto")
-    if how not in ("auto", "open", "scan"):
-        raise ValueError(f"headers are read by 'auto', 'open' or 'scan', not {how!r}")
-    if how == "auto":
-        probe = paths.first()
-        how = "open" if probe is None or _arrow_opens(probe.path) else "scan"
+        how = files.sparkSession.conf.get("spark.tallyframe.headers", "open")
+    if how not in ("open", "scan"):
+        raise ValueError(f"headers are read by 'open' or 'scan', not {how!r}")
     return _open_headers(paths) if how == "open" else _scan_headers(paths)
 
 
-def _arrow_opens(path: str) -> bool:
-    from pyarrow import fs
-
-    try:
-        store, key = fs.FileSystem.from_uri(as_uri(path))
-        with store.open_input_stream(key):
-            return True
-    except Exception:
-        return False
-
-
 def _open_headers(paths: DataFrame) -> DataFrame:
+    most = HEADER_CHARACTERS
+
     def first_lines(batches):
         # Nested, so that it travels by value and workers need no copy of the package.
         import re
@@ -98,19 +120,27 @@ def _open_headers(paths: DataFrame) -> DataFrame:
         from pyarrow import fs
 
         def first_line(path):
-            store, key = fs.FileSystem.from_uri(quote(re.sub("^s3[an]:", "s3:", path), safe="/:@"))
-            pending = b""
-            with store.open_input_stream(key) as stream:
+            try:
+                store, key = fs.FileSystem.from_uri(quote(re.sub("^s3[an]:", "s3:", path), safe="/:@"))
+                stream = store.open_input_stream(key, compression=None)
+            except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as error:
+                raise RuntimeError(f"Arrow has no access to {path}; set spark.tallyframe.headers to scan") from error
+            # A character has four bytes at most, so the line ends or is too long within a fixed length.
+            pending, first = b"", True
+            with stream:
                 while True:
                     block = stream.read(16384)
-                    *lines, rest = (pending + block).split(b"\n")
+                    *lines, rest = re.split(b"[\r\n]", pending + block)
                     for line in lines if block else [*lines, rest]:
-                        text = line.decode("utf-8-sig", errors="replace").rstrip("\r")
+                        text = line.decode("utf-8-sig" if first else "utf-8", errors="replace")
+                        first = False
                         if text.strip():
-                            return text
+                            return text[: most + 1]
                     if not block:
                         return None
-                    pending = rest
+                    if len(rest) > 4 * most and rest.strip():
+                        return rest.decode("utf-8-sig", errors="replace")[: most + 1]
+                    pending = rest if rest.strip() else b""
 
         for batch in batches:
             names = batch.column("path").to_pylist()
@@ -129,10 +159,10 @@ def _scan_headers(paths: DataFrame) -> DataFrame:
         return spark.createDataFrame([], HEADER_LINE)
     first = (
         spark.read.text(exact_paths(names))
-        .where((F.col("_metadata.file_block_start") == 0) & (F.trim("value") != ""))
+        .where((F.col("_metadata.file_block_start") == 0) & F.col("value").rlike(r"\S"))
         .select(
             plain_path_column(F.col("_metadata.file_path")).alias("path"),
-            F.rtrim(F.col("value"), F.lit("\r")).alias("value"),
+            F.substring("value", 1, HEADER_CHARACTERS + 1).alias("value"),
             F.monotonically_increasing_id().alias("line"),
         )
         .groupBy("path")

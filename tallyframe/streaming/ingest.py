@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyframe.plans.batch import Database, Dimensions, Layout, close_run, publish, take_in
-from tallyframe.sources.files import files_frame
-
-# The layout of the binary file source; only path and length are read.
-FILE_LAYOUT = "path string, modificationTime timestamp, length bigint, content binary"
+from tallyframe.plans.batch import Database, Dimensions, Layout, take_files
+from tallyframe.sources.files import FILE_LAYOUT, files_frame
 
 
 def start_ingest(
     spark: SparkSession,
     landing: str,
     layout: Layout,
-    dimensions: Dimensions | None = None,
+    dimensions: Dimensions | Callable[[], Dimensions] | None = None,
     database: Database | None = None,
     files_per_batch: int | None = None,
     archive: str | None = None,
@@ -24,24 +23,19 @@ def start_ingest(
     keep_base_rows: bool = True,
     **trigger,
 ) -> StreamingQuery:
-    """Stream the paths of new files and hand each micro-batch to the batch intake.
-
-    The stream carries paths only: files with another column order need their own header,
-    which a stream with one fixed layout would ignore. The checkpoint, by default under the
-    layout, remembers the files, and the batch number names the run, so that a replayed batch overwrites its
-    own output. With ``archive`` Spark moves finished files there when a later batch ends; a
-    file that is still in the landing folder may therefore be processed already.
+    """Stream the status of new files and hand each micro-batch to the batch intake.
+
+    The stream carries no content: files with another column order need their own header,
+    which a stream with one fixed layout would ignore. A micro-batch is a run like any other: it takes what the
+    ledger of the store does not hold yet, under a number of its own. A replayed batch, a new checkpoint and a
+    batch run on the same store therefore take no file twice. ``dimensions`` may be a function that loads
+    them; it is asked for every micro-batch. With ``archive`` Spark moves finished files there when a later
+    batch ends; a file that is still in the landing folder may therefore be processed already.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        paths = [row.path for row in batch.select("path").collect()]
-        report = take_in(spark, files_frame(spark, paths), layout, number)
-        if not report.n_good_files:
-            return
-        if dimensions is None:
-            close_run(spark, layout, number)
-        else:
-            publish(spark, layout, dimensions, number, database, keep_base_rows)
+        statuses = batch.select("path", "length", "modificationTime")
+        take_files(spark, files_frame(statuses), layout, dimensions, database, keep_base_rows)
 
     reader = spark.readStream.schema(FILE_LAYOUT).format("binaryFile").option("recursiveFileLookup", "true")
     if files_per_batch is not None:
@@ -50,7 +44,7 @@ def start_ingest(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return (
         reader.load(landing)
-        .select("path", "length")
+        .select("path", "length", "modificationTime")
         .writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint or layout.folder("stream_checkpoint"))
         .trigger(**(trigger or {"availableNow": True}))

@@ -13,7 +13,9 @@ from tallyframe.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    # Scratch tables of a session go where pytest keeps, and later removes, its own folders.
+    scratch = tmp_path_factory.mktemp("scratch")
     session = build_session(
         "tallyframe-tests",
         "local[8]",
@@ -22,6 +24,8 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": f"file://{scratch}",
+            "spark.sql.warehouse.dir": f"file://{scratch}/warehouse",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -43,9 +47,9 @@ def star(spark):
     customer = frame(
         spark,
         [
-            (1, "Saanvi", "K", "Delhi", "110001", "91-1"),
-            (2, "Dhanush", "S", "Agra", "282001", "91-2"),
-            (3, "Yasmin", None, "Pune", "411001", "91-3"),
+            (1, "Pavo", "K", "Delhi", "110001", "91-1"),
+            (2, "Orla", "S", "Agra", "282001", "91-2"),
+            (3, "Quill", None, "Pune", "411001", "91-3"),
         ],
         "customer_id long, first_name string, last_name string, address string, pincode string, phone_number string",
     )

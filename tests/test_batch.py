@@ -49,8 +49,8 @@ def test_one_run(spark, shop):
         ("121", "2", "2023-03", "150.00", "0.0000"),
     ]
     assert as_text(read_mart(spark, layout, "customer_mart"), "full_name", "sales_date_month", "total_sales") == [
-        ("Dhanush S", "2023-03", "150.00"),
-        ("Saanvi K", "2023-03", "200.00"),
+        ("Orla S", "2023-03", "150.00"),
+        ("Pavo K", "2023-03", "200.00"),
     ]
     # Every parsed row is in the marts or in one of the reject folders.
     assert as_text(stored_fact(spark, layout, "rejected"), "reason") == [("bad value: sales_person_id",)]
@@ -175,6 +175,92 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, shop, tmp_path):
     assert ("121", "1", "2023-03") in [row[:3] for row in sales(spark, stream) if float(row[4]) > 50]
 
 
+def test_equal_names_in_two_folders_are_two_files(spark, shop):
+    landing, layout, dims = shop
+    put(landing, "day1/sales.csv", feed(VALID, sale(1, 121, "2023-03-01", 1, 10)))
+    run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000)
+    put(landing, "day2/sales.csv", feed(VALID, sale(1, 121, "2023-03-02", 1, 20)))
+    assert run_batch(spark, str(landing), layout, dims, run_epoch_ms=2000).n_good_files == 1
+    assert [row[3] for row in sales(spark, layout)] == ["30.00"]
+
+
+def test_a_crash_between_the_marts_shows_in_neither(spark, shop, monkeypatch):
+    landing, layout, dims = shop
+    put(landing, "s.csv", feed(VALID, sale(1, 121, "2023-03-01", 1, 10)))
+    with monkeypatch.context() as patch:
+        patch.setattr(batch.marts, "sales_mart", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000)
+    assert read_mart(spark, layout, "customer_mart").count() == 0
+    put(landing, "s.csv", feed(VALID, sale(1, 121, "2023-04-01", 1, 10)))
+    run_batch(spark, str(landing), layout, dims, run_epoch_ms=2000)
+    assert as_text(read_mart(spark, layout, "customer_mart"), "sales_date_month") == [("2023-04",)]
+    assert [row[2] for row in sales(spark, layout)] == ["2023-04"]
+
+
+def test_a_run_number_tried_again_counts_once(spark, shop, monkeypatch):
+    landing, layout, dims = shop
+    put(landing, "s.csv", feed(VALID, sale(1, 121, "2023-03-01", 1, 10)))
+    with monkeypatch.context() as patch:
+        patch.setattr(batch, "close_run", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000)
+    put(landing, "s.csv", feed(VALID, sale(1, 121, "2023-04-01", 1, 10)))
+    run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000)
+    assert stored_fact(spark, layout).count() == 1 and len(sales(spark, layout)) == 1
+    assert batch.read_base_rows(spark, layout, "customer_rows").count() == 1
+
+
+def test_a_later_run_reads_no_fact_row_of_an_earlier_one(spark, shop):
+    landing, layout, dims = shop
+    put(landing, "a.csv", feed(VALID, sale(1, 121, "2023-03-01", 1, 10)))
+    run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000)
+    batch.drop_paths(spark, f"{layout.root}/fact/*/*/run_epoch_ms=1000")
+    put(landing, "b.csv", feed(VALID, sale(1, 121, "2023-03-02", 1, 5)))
+    run_batch(spark, str(landing), layout, dims, run_epoch_ms=2000)
+    assert [row[3] for row in sales(spark, layout)] == ["15.00"]
+
+
+def test_rejected_files_are_looked_at_once(spark, shop):
+    landing, layout, dims = shop
+    broken = put(landing, "s.csv", feed("a,b", "1,2"))
+    reports = [run_batch(spark, str(landing), layout, dims, run_epoch_ms=run) for run in (1000, 2000, 3000)]
+    assert [(r.n_bad_files, r.status) for r in reports] == [(1, "rejected"), (0, "nothing"), (0, "nothing")]
+    assert spark.read.parquet(layout.folder("quarantine_files")).count() == 2
+    put(landing, "s.csv", feed(VALID, sale(1, 121, "2023-03-01", 1, 10)))
+    os.utime(broken, (2_000_000_000, 2_000_000_000))
+    assert run_batch(spark, str(landing), layout, dims, run_epoch_ms=4000).status == "done"
+
+
+def test_rows_of_a_run_are_in_the_marts_rejected_or_unmatched(spark, star, shop):
+    landing, layout, dims = shop
+    put(landing, "a.csv", feed(VALID, *MARCH))
+    run_batch(spark, str(landing), layout, dims, run_epoch_ms=1000)
+    known = dims.customer.unionByName(dims.customer.limit(1).selectExpr("99L as customer_id", "first_name", "last_name", "address", "pincode", "phone_number"))
+    put(landing, "b.csv", feed(VALID, sale(99, 121, "2023-03-09", 2, 1)))
+    run_batch(spark, str(landing), layout, Dimensions(known, dims.store, dims.sales_team), run_epoch_ms=2000)
+    assert sum(float(row[3]) for row in sales(spark, layout)) == 351
+    assert batch.read_base_rows(spark, layout, "sales_rows").count() == 4
+    assert spark.read.parquet(layout.folder("quarantine_keys")).count() == 1
+
+
+def test_new_checkpoints_and_batches_on_one_store_take_no_file_twice(spark, shop):
+    landing, layout, dims = shop
+    for number in range(3):
+        put(landing, f"f{number}.csv", feed(VALID, sale(1, 121, f"2023-03-0{number + 1}", 1, 10)))
+    asked = []
+    load = lambda: asked.append(1) or dims
+    ingest_available(spark, str(landing), layout, dimensions=load, files_per_batch=1)
+    assert len(asked) == 3 and [row[3] for row in sales(spark, layout)] == ["30.00"]
+    ingest_available(spark, str(landing), layout, dimensions=load, checkpoint=str(landing.parent / "other"))
+    assert run_batch(spark, str(landing), layout, dims).status == "nothing"
+    assert [row[3] for row in sales(spark, layout)] == ["30.00"]
+    doubled = Dimensions(dims.customer, dims.store.unionByName(dims.store), dims.sales_team)
+    put(landing, "f9.csv", feed(VALID, sale(1, 121, "2023-03-09", 1, 10)))
+    with pytest.raises(Exception, match="store"):
+        ingest_available(spark, str(landing), layout, dimensions=doubled)
+
+
 def test_a_replayed_micro_batch_overwrites_itself(spark, shop):
     landing, layout, _ = shop
     put(landing, "day 1%20.csv", feed(VALID, *MARCH))

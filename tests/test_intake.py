@@ -8,7 +8,7 @@ from feeds import VALID, feed, put
 from tallyframe.operators.conform import accepted_rows, conform, header_groups, parse_files, rejected_rows
 from tallyframe.operators.contract import bad_files, check_files, quarantine_lines
 from tallyframe.schema import SALES_FACT
-from tallyframe.sources.files import _arrow_opens, as_uri, list_files, read_headers
+from tallyframe.sources.files import HEADER_CHARACTERS, as_uri, list_files, read_headers
 
 
 def variants(tmp_path):
@@ -71,7 +71,6 @@ def test_file_names_are_taken_literally(spark, tmp_path):
 def test_choice_of_the_header_read(spark, tmp_path):
     put(tmp_path, "a.csv", VALID + "\n")
     files = list_files(spark, str(tmp_path))
-    assert _arrow_opens(files.first().path) and not _arrow_opens("nostore://shop/a.csv")
     assert as_uri("s3a://shop/in/a b.csv") == "s3://shop/in/a%20b.csv"
     spark.conf.set("spark.tallyframe.headers", "scan")
     try:
@@ -169,3 +168,52 @@ def test_a_file_with_another_header_than_checked_stops_the_read(spark, tmp_path)
     put(tmp_path, "a.csv", feed(",".join(reversed(VALID.split(","))), "30,3,10,4,2023-04-01,oil,122,2"))
     with pytest.raises(Exception, match="CSV header does not conform|FAILED_READ_FILE|Header"):
         parse_files(spark, groups).collect()
+
+
+@pytest.mark.parametrize("how", ["open", "scan"])
+def test_both_header_readers_agree(spark, tmp_path, how):
+    put(tmp_path, "tab.csv", "\t\n \t \n" + VALID + "\n1,2")
+    (tmp_path / "cr.csv").write_bytes((VALID + "\r1,121,soap,2023-03-03,1,1,1,1\r").encode())
+    (tmp_path / "crlf.csv").write_bytes(("\r\n" + VALID + "\r\n").encode())
+    put(tmp_path, "no_end.csv", VALID)
+    put(tmp_path, "bom.csv", "\ufeff" + VALID + "\n")
+    put(tmp_path, "long.csv", "é" * (HEADER_CHARACTERS + 1))
+    put(tmp_path, "fits.csv", VALID + "," + "é" * (HEADER_CHARACTERS - len(VALID) - 1) + "\n")
+    files = list_files(spark, str(tmp_path))
+    lines = {r.path.rsplit("/", 1)[1]: r.header_line for r in read_headers(files, how).collect()}
+    assert {n: line for n, line in lines.items() if n not in ("long.csv", "fits.csv")} == dict.fromkeys(
+        ["tab.csv", "cr.csv", "crlf.csv", "no_end.csv", "bom.csv"], VALID
+    )
+    assert len(lines["fits.csv"]) == HEADER_CHARACTERS and len(lines["long.csv"]) == HEADER_CHARACTERS + 1
+    checked = check_files(files, headers=read_headers(files, how))
+    verdict = {r.file_name: (r.verdict, r.reason) for r in checked.collect()}
+    assert verdict["long.csv"] == ("error", f"header line over {HEADER_CHARACTERS} characters")
+    assert {v for n, (v, _) in verdict.items() if n != "long.csv"} == {"ok"}
+
+
+def test_rows_that_a_cast_would_change_are_set_apart(spark, tmp_path):
+    good = "1,121,soap,2023-03-03,1,1.50,2,3.0"
+    put(
+        tmp_path,
+        "rows.csv",
+        feed(
+            VALID, good, good + ",surplus", "1,121,soap,2023-03-03,1,1.5,2",
+            "1,121,soap,2023-03-03,1,1.555,2,3.0", "1,121,soap,2023,1,1.5,2,3.0", "1,121,soap,2023-03,1,1.5,2,3.0",
+        ),
+    )
+    parsed = parse_files(spark, header_groups(check_files(list_files(spark, str(tmp_path)))))
+    assert accepted_rows(parsed).count() == 1
+    assert as_text(rejected_rows(parsed), "reason") == [
+        ("bad value: price",), ("bad value: sales_date",), ("bad value: sales_date",),
+        ("wrong number of cells",), ("wrong number of cells",),
+    ]
+    torn = rejected_rows(parsed).where("reason like 'wrong%'").selectExpr("get_json_object(raw_record, '$.line') as line")
+    assert as_text(torn) == [("1,121,soap,2023-03-03,1,1.5,2",), (good + ",surplus",)]
+
+
+def test_hidden_names_are_judged(spark, tmp_path):
+    for name in ("_x.csv", "day/.y.csv", "seen.csv"):
+        put(tmp_path, name, feed(VALID, "1,121,soap,2023-03-03,1,1.5,2,3.0"))
+    put(tmp_path, "_SUCCESS", "")
+    verdict = {r.file_name: r.reason for r in check_files(list_files(spark, str(tmp_path))).collect()}
+    assert verdict == {"_x.csv": "hidden name", ".y.csv": "hidden name", "seen.csv": None}
