@@ -6,9 +6,11 @@ a key are candidates. An estimate from the registers, corrected for chance colli
 pairs that are far below the threshold, and links are confirmed on the full shingle sets.
 
 Within a key not all pairs are made. All members are first compared with one pivot, the member
-whose keys gather the most documents (an original gathers its copies), then with other pivots; components of
-the confirmed links are formed, and only members of different components are compared further, in blocks,
-until every pair that shares a key is either confirmed, refuted, or within one component.
+whose keys gather the most documents (an original gathers its copies), and components of the confirmed
+links are formed. Members outside of a key's largest component are then compared with all members of other
+components, in blocks and without making pairs, on two bytes of every shingle: that bounds an intersection from
+above, so only pairs that are linked, or nearly so, come out and go to the full sets. In the end every
+pair that shares a key is confirmed, refuted, or within one component.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from tallyframe.llm.components import components
 #: Registers of a band, bands, mantissa bits; at 80% a pair shares no band with probability 5e-9.
 ROWS, BANDS, MANTISSA = 5, 48, 10
 REGISTERS = ROWS * BANDS
-#: Rounds with other pivots before members of a key are compared in blocks, and members of a block.
-PIVOTS, BLOCK = 3, 256
+#: Members of a block, and outsiders that meet a block at a time.
+BLOCK, OUTSIDERS = 512, 2_048
 #: Standard errors by which an estimate may miss the threshold without being dropped.
 ERRORS = 6.0
 # Small letters for capitals on UTF-8 bytes; constants of a 64-bit finalizer; the share of
@@ -108,20 +110,21 @@ def _hashed(size: int, whole: bool):
             if len(hashes) > 1_000_000:
                 hashes.clear()
             at = batch.schema.get_field_index("text")
-            counts, prints, sketches, sets = [], [], [], []
+            counts, prints, sketches, sets, shorts = [], [], [], [], []
             for text in batch.column(at):
                 words = (text.as_py() or "").encode("utf-8", "surrogatepass").translate(OCTETS).split()
                 shingles = shingle_set(words, size, hashes)
                 data = shingles.tobytes()
                 if whole:
                     sets.append(data)
+                    shorts.append(shingles.astype("<u2").tobytes())
                     continue
                 counts.append(len(shingles))
                 prints.append(hashlib.blake2b(data, digest_size=16).digest() if data else None)
                 sketches.append(sketch(shingles).tobytes() if data else None)
             kept = [(n, batch.column(k)) for k, n in enumerate(batch.schema.names) if k != at]
             if whole:
-                kept.append(("shingles", pa.array(sets, pa.binary())))
+                kept += [("shingles", pa.array(sets, pa.binary())), ("short", pa.array(shorts, pa.binary()))]
             else:
                 kept += [("n", pa.array(counts, pa.int32())), ("print", pa.array(prints, pa.binary())), ("sketch", pa.array(sketches, pa.binary()))]
             yield pa.RecordBatch.from_arrays([c for _, c in kept], [n for n, _ in kept])
@@ -158,24 +161,17 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str, shingle: int = 5, p
     sketches = written(involved.select("node", "n", "sketch"), "nd-sketches")
     wanted = involved.select("node", F.col("id").alias("of_id"), F.col("h").alias("of_h"))
     texts = held.join(wanted, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("h") == F.col("of_h")), "inner").select("node", "text")
-    sets = written(texts.dropDuplicates(["node"]).mapInArrow(_hashed(shingle, True), "node long, shingles binary"), "nd-sets")
+    sets = written(texts.dropDuplicates(["node"]).mapInArrow(_hashed(shingle, True), "node long, shingles binary, short binary"), "nd-sets")
 
     weight = members.groupBy("node").agg(F.sum("held").alias("weight"))
     ranked = members.select("key", "node").join(weight, "node")
-    links = written(_confirmed(_stars(ranked), sketches, sets, percent), "nd-links")
+    full = sets.select("node", "shingles")
+    links = written(_confirmed(_stars(ranked), sketches, full, percent), "nd-links")
     labels = components(links)
-    for turn in range(1, PIVOTS + 1):
-        open_ = written(_open(members, labels), "nd-open")
-        if open_.isEmpty():
-            break
-        if turn < PIVOTS:
-            pairs = _stars(open_.withColumn("weight", F.xxhash64(F.lit(turn), "node")))
-        else:
-            pairs = _cross(open_, sketches, percent)
-        found = written(_confirmed(pairs, sketches, sets, percent), "nd-links")
-        if not found.isEmpty():
-            links = links.unionAll(found)
-            labels = components(links)
+    rest = _cross(written(_open(members, labels), "nd-open"), sets.select("node", "short"), percent)
+    more = written(_confirmed(rest, sketches, full, percent), "nd-links")
+    if not more.isEmpty():
+        labels = components(links.unionAll(more))
 
     grouped = classes.join(labels, "node", "left").select("print", "first_id", "node", F.coalesce("root", "node").alias("root"))
     grouped = written(grouped, "nd-grouped")
@@ -191,47 +187,66 @@ def near_duplicates(docs: DataFrame, doc_id: str, text: str, shingle: int = 5, p
 
 
 def _stars(ranked: DataFrame) -> DataFrame:
-    """Pairs of every member of a key with the key's heaviest; ``label``, if there, has to differ."""
-    best = ranked.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"), *[c for c in ranked.columns if c == "label"])).alias("best"))
-    pairs = ranked.join(best.withColumnRenamed("key", "of"), F.col("key") == F.col("of")).withColumn("pivot", -F.col("best.minus"))
-    differ = F.col("node") != F.col("pivot")
-    if "label" in ranked.columns:
-        differ = differ & (F.col("label") != F.col("best.label"))
-    return pairs.where(differ).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+    """Pairs of every member of a key with the key's heaviest, of equal ones that of smallest number."""
+    best = ranked.groupBy(F.col("key").alias("of")).agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("best"))
+    pairs = ranked.join(best, F.col("key") == F.col("of")).select("node", (-F.col("best.minus")).alias("pivot"))
+    return pairs.where(F.col("node") != F.col("pivot")).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the keys that hold more than one component: ``key``, ``node``, ``label``."""
+    """Members of the keys that hold more than one component: ``key``, ``node``, ``label``, and of the key
+    ``held`` (members), ``top`` (label of its largest component) and ``outside`` (members of others)."""
     named = members.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("root", "node").alias("label"))
-    mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("held"))
-    return named.join(mixed.where(F.col("low") != F.col("high")).select("key", "held"), "key")
-
-
-def _cross(open_: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a key between components that the estimate lets pass. A key's members are dealt into
-    blocks, and each pair of blocks is a group, so no group exceeds two blocks by much."""
-    count = F.ceil(F.col("held") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("node"), count).cast("int")
-    other = F.explode(F.sequence(F.lit(0), count - 1))
-    dealt = open_.select("key", "node", "label", mine.alias("mine"), other.alias("other")).select(
-        "key", "node", "label", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")
+    parts = named.groupBy("key", "label").agg(F.count("*").alias("part"))
+    of_key = parts.groupBy(F.col("key").alias("of")).agg(
+        F.sum("part").alias("held"), F.max(F.struct("part", "label")).alias("most")
     )
+    mixed = of_key.select("of", "held", F.col("most.label").alias("top"), (F.col("held") - F.col("most.part")).alias("outside"))
+    return named.join(mixed.where(F.col("outside") > 0), F.col("key") == F.col("of")).drop("of")
+
+
+def _cross(open_: DataFrame, shorts: DataFrame, percent: int) -> DataFrame:
+    """The pairs between an outsider of a key and members of other components that may be linked.
+
+    Members are dealt into blocks and outsiders into portions; a group holds one of each, so its size is
+    bounded, and all that it gives are pairs that reach the threshold on two bytes of every shingle.
+    """
+    blocks, portions = F.ceil(F.col("held") / BLOCK).cast("int"), F.ceil(F.col("outside") / OUTSIDERS).cast("int")
+    place = F.xxhash64("node")
+    outside = F.col("label") != F.col("top")
+    members = open_.select(
+        "key", "node", "label", outside.alias("outside"), F.lit(False).alias("asks"),
+        F.pmod(place, blocks).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), portions - 1)).alias("j"),
+    )
+    asking = open_.where(outside).select(
+        "key", "node", "label", F.lit(True).alias("outside"), F.lit(True).alias("asks"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"), F.pmod(place, portions).cast("int").alias("j"),
+    )
 
     def compare(frame):
-        sketch = np.frombuffer(b"".join(frame["sketch"]), "<u2").reshape(-1, REGISTERS)
-        node, label, n, block = (frame[c].to_numpy() for c in ("node", "label", "n", "mine"))
-        inner = frame["i"].iloc[0] == frame["j"].iloc[0]
-        found_a, found_b = [], []
-        for x in range(len(node)):
-            y = np.flatnonzero((label != label[x]) & (node > node[x] if inner else block > block[x]))
-            y = y[may_reach(sketch[x], sketch[y], n[x], n[y], percent)]
-            found_a.append(np.minimum(node[x], node[y]))
-            found_b.append(np.maximum(node[x], node[y]))
         import pandas as pd
 
+        asks = frame["asks"].to_numpy()
+        node, label, outside = (frame[c].to_numpy() for c in ("node", "label", "outside"))
+        mine = np.flatnonzero(~asks)
+        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        short = [np.frombuffer(x, "<u2") for x in frame["short"]]
+        if len(mine):
+            n = np.array([len(short[k]) for k in mine])
+            flat, starts = np.concatenate([short[k] for k in mine]), np.cumsum(n) - n
+            for x in np.flatnonzero(asks):
+                known = np.zeros(1 << 16, bool)
+                known[short[x]] = True
+                both = np.add.reduceat(known[flat], starts, dtype=np.int64)
+                both = np.minimum(both, len(short[x]))
+                # A pair of two outsiders is met from both sides; one is enough.
+                near = (100 * both >= percent * (n + len(short[x]) - both)) & (label[mine] != label[x]) & (~outside[mine] | (node[mine] > node[x]))
+                y = node[mine[near]]
+                found_a.append(np.minimum(y, node[x]))
+                found_b.append(np.maximum(y, node[x]))
         return pd.DataFrame({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
 
-    return dealt.join(sketches, "node").groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    return members.unionAll(asking).join(shorts, "node").groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
 def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
