@@ -259,6 +259,10 @@ SELECT DISTINCT customer_id, store_id, SUBSTR(CAST(sales_date AS VARCHAR), 1, 7)
 FROM lines""",
         "load_metrics": f"WITH {_LINES}\n"
         + "\nUNION ALL ".join(_metric(c.strip()) for c in f"{_CONTRACT}, payment_mode, return_flag".split(",")),
+        "object_paths": """WITH named AS (
+  SELECT 'in/' || c_mktsegment || '/cust ' || c_custkey || '.csv' AS object_key, c_custkey FROM customer)
+SELECT CASE WHEN c_custkey % 2 = 0 THEN 's3a://shop/' ELSE 'file:///' END || object_key AS path, object_key,
+       'cust ' || c_custkey || '.csv' AS file_name FROM named""",
         "ledger_events": """WITH files AS (
   SELECT 'cust_' || CAST(o_custkey AS VARCHAR) AS file_name, MIN(o_orderdate) AS begin_time,
          MAX(o_orderdate) AS end_time

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions import fold_columns, full_name, month_of
+from tallyframe.functions import base_name, fold_columns, full_name, month_of, strip_store
 from tallyframe.operators import dimensions as dims
 from tallyframe.operators import ledger, marts
 from tallyframe.operators.conform import accepted_rows, conform, header_groups, parse_files, rejected_rows
@@ -27,6 +27,7 @@ from tallyframe.plans.tables import (
     sales_keys,
     sales_lines,
     star,
+    table,
 )
 from tallyframe.schema import SALES_FACT
 from tallyframe.session import scratch_path
@@ -281,6 +282,17 @@ def load_metrics_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_metrics(regional_lines(spark, sf_dir).select(*FACT_ORDER, "payment_mode", "return_flag"))
 
 
+def object_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of the customers' files in two stores, cut to key and name."""
+    name = F.concat(F.lit("in/"), F.col("c_mktsegment"), F.lit("/cust "), F.col("c_custkey").cast("string"), F.lit(".csv"))
+    store = F.when(F.col("c_custkey") % 2 == 0, F.lit("s3a://shop/")).otherwise(F.lit("file:///"))
+    return (
+        table(spark, sf_dir, "customer")
+        .select(F.concat(store, name).alias("path"))
+        .select("path", strip_store("path").alias("object_key"), base_name("path").alias("file_name"))
+    )
+
+
 # --- ledger --------------------------------------------------------------------------------
 
 
@@ -411,6 +423,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_seller": top_seller,
         "distinct_rows": distinct_rows,
         "load_metrics": load_metrics_query,
+        "object_paths": object_paths,
         "ledger_events": ledger_events,
         "ledger_latest": ledger_latest,
         "ledger_active_landed": ledger_active_landed,
