@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import table, written
+from tallyframe.llm.common import sampled, table, written
 
 #: Rows of each kind that the classifier is trained on, at most, chosen by hash; words rarer than this are left out.
 POSITIVES, UNLABELLED, RARE = 3_000, 9_000, 6
@@ -91,8 +91,11 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
     held = docs.select(docs[doc_id].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
     ids = docs.select(docs[doc_id].alias("id")).where("id is not null")
     place = F.xxhash64(F.lit("sample"), "id")
-    positives = marks.where(F.col("mark") == 1).select(F.col("marked").alias("of")).orderBy(F.xxhash64(F.lit("sample"), "of"), "of").limit(POSITIVES)
-    others = ids.join(marks.where(F.col("mark") == 1), F.col("id") == F.col("marked"), "left_anti").orderBy(place, "id").limit(UNLABELLED)
+    toxic_ids = marks.where(F.col("mark") == 1).select(F.col("marked").alias("of"))
+    of = F.xxhash64(F.lit("sample"), "of")
+    positives = sampled(toxic_ids, of, POSITIVES, toxic).orderBy(of, "of").limit(POSITIVES)
+    others = sampled(ids, place, UNLABELLED, ids.count()).join(toxic_ids, F.col("id") == F.col("of"), "left_anti").distinct()
+    others = others.orderBy(place, "id").limit(UNLABELLED)
     chosen = written(positives.select("of", F.lit(True).alias("positive")).unionAll(others.select("id", F.lit(False))), "toxic-sample")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
