@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import table, written
+from tallyframe.llm.common import sampled, table, written
 
 #: Hash space of features; rows the scorer is trained on, at most, chosen by hash; score from which a document stays.
 FEATURES, TRAIN_ROWS, KEEP = 1 << 14, 12_000, 0.5
@@ -166,7 +166,10 @@ def fit(docs: DataFrame, text: str, train_rows: int = TRAIN_ROWS) -> np.ndarray:
     counted = np.array([tuple(r) for r in labelled.groupBy("code").count().collect()], np.int64).reshape(-1, 2)
     patterns = (counted[:, :1] // _CODES) % 3 - 1
     good = dict(zip(counted[:, 0].tolist(), label_model(patterns, counted[:, 1]).tolist(), strict=True))
-    sample = labelled.orderBy("h", "code").limit(train_rows).collect()
+    # Equal texts are one row of the sample, however many copies there are.
+    drawn = sampled(labelled, F.col("h"), train_rows, int(counted[:, 1].sum()))
+    drawn = drawn.groupBy("h").agg(F.min("code").alias("code"), F.min("features").alias("features"))
+    sample = drawn.orderBy("h").limit(train_rows).collect()
     return train_linear([np.frombuffer(r["features"], np.int32) for r in sample], np.array([good[r["code"]] for r in sample]))
 
 
