@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import table, written
+from tallyframe.llm.common import sampled, table, written
 
 #: Trees, bits of a string, vectors of a shard, queries of a block (bound of what is broadcast).
 TREES, BITS, SHARD, BLOCK = 24, 62, 1 << 16, 20_000
@@ -101,7 +101,8 @@ def nearest(vectors: DataFrame, vec_id: str, vector: str, is_query, k: int = 10,
     rows = vectors.select(vectors[vec_id].cast("long").alias("vec_id"), vectors[vector].cast("array<double>").alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable())
     schema = "query_id long, vec_id long, score double"
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).collect()
+    place, held = F.xxhash64("vec_id"), rows.count()
+    sample = sampled(rows, place, FIT_ROWS, held).orderBy(place, "vec_id").limit(FIT_ROWS).collect()
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim = len(sample[0]["vector"])
