@@ -8,6 +8,8 @@ that the classifier does not learn to call all positives it has not been told ab
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, islice
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import sampled, table, written
 
-#: Rows of each kind that the classifier is trained on, at most, chosen by hash; words rarer than this are left out.
+#: Rows of each kind that the weights are fitted on, at most, chosen by hash; features of fewer documents, of all, are left out.
 POSITIVES, UNLABELLED, RARE = 3_000, 9_000, 6
 #: Lengths of word beginnings.
 STEMS = (4, 5, 7)
@@ -30,11 +32,17 @@ def words_of(text: str) -> set[bytes]:
     return set(text.lower().encode("utf-8", "surrogatepass").translate(OCTETS).split())
 
 
-def hashes_of(word: bytes) -> list[int]:
-    """Hashes of a word's features: itself, and how it begins, so that inflected forms are known by their stem."""
+def stems_of(word: bytes) -> list[bytes]:
+    """How a word begins, so that inflected forms are known by their stem. No word holds the sign before it."""
+    if word.isascii():
+        return [b"^" + word[:n] for n in STEMS if len(word) > n]
     letters = word.decode("utf-8", "replace")
-    names = [word, *(f"^{letters[:n]}".encode() for n in STEMS if len(letters) > n)]
-    return [xxhash.xxh3_64_intdigest(name) >> 1 for name in names]
+    return [f"^{letters[:n]}".encode() for n in STEMS if len(letters) > n]
+
+
+def hashes_of(word: bytes) -> list[int]:
+    """Hashes of a word's features: itself, and its beginnings."""
+    return [xxhash.xxh3_64_intdigest(name) >> 1 for name in (word, *stems_of(word))]
 
 
 def nn_pu(rows: list[np.ndarray], positive: np.ndarray, prior: float, width: int, rounds: int = 400, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
@@ -66,22 +74,89 @@ def nn_pu(rows: list[np.ndarray], positive: np.ndarray, prior: float, width: int
     return weights
 
 
-def telling(rows: list[np.ndarray], positive: np.ndarray, width: int, errors: float = 4.5) -> np.ndarray:
-    """Features whose share among positives differs from that among unlabelled rows by so many standard errors.
+def telling(p: Column, u: Column, positives: int, unlabelled: int, errors: float = 4.5) -> Column:
+    """Whether a feature's share among positives (``p`` of them hold it) differs from that among unlabelled documents
+    (``u`` hold it) by so many standard errors: the signed root of the likelihood ratio, which equals the difference in
+    standard errors for large counts and also holds for a word of few documents where one kind is far larger.
 
     All others could only add noise, in proportion to a text's length."""
-    held = [np.bincount(np.concatenate([np.unique(r) for r, p in zip(rows, positive, strict=True) if p == kind] or [np.zeros(0, int)]), minlength=width) for kind in (True, False)]
-    n = np.array([max(1, positive.sum()), max(1, (~positive).sum())])
-    share = (held[0] + held[1]) / n.sum()
-    error = np.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1])) + 1e-12
-    return np.flatnonzero(np.abs(held[0] / n[0] - held[1] / n[1]) > errors * error)
+    n, m = float(max(1, positives)), float(max(1, unlabelled))
+    share = (p + u) / F.lit(n + m)
+    part = lambda x, of: F.when(x > 0, x * F.log(x / of)).otherwise(0.0)
+    ratio = part(p, share * n) + part(n - p, (1 - share) * n) + part(u, share * m) + part(m - u, (1 - share) * m)
+    return 2 * ratio > errors**2
+
+
+class Places(dict):
+    """Names in the order in which they came."""
+
+    def __missing__(self, name: bytes) -> int:
+        self[name] = place = len(self)
+        return place
+
+
+class Tally:
+    """In how many positive and other texts each word and beginning occurs, once per text."""
+
+    def __init__(self):
+        #: The beginnings of each word, as their places; -1 for none.
+        self.words, self.stems, self.begins = Places(), Places(), np.zeros((0, len(STEMS)), np.int64)
+        self.held = [np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64)]
+
+    def add(self, texts: list[set[bytes]], positive: np.ndarray) -> None:
+        known = len(self.words)
+        word = np.fromiter(map(self.words.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
+        row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        fresh = [[self.stems[s] for s in stems_of(w)] for w in islice(self.words, known, None)]
+        fresh = np.array([x + [-1] * (len(STEMS) - len(x)) for x in fresh], np.int64).reshape(-1, len(STEMS))
+        self.begins = np.concatenate([self.begins, fresh])
+        self._sum(0, word, positive[row], len(self.words))
+        for length in range(len(STEMS)):
+            stem = self.begins[word, length]
+            # Words of a text that begin alike count once.
+            pair = np.unique((row * len(self.stems) + stem)[stem >= 0])
+            self._sum(1, pair % max(1, len(self.stems)), positive[pair // max(1, len(self.stems))], len(self.stems))
+
+    def _sum(self, kind: int, place: np.ndarray, positive: np.ndarray, size: int) -> None:
+        fresh = np.bincount(place * 2 + (~positive).astype(np.int64), minlength=2 * size).reshape(-1, 2)
+        fresh[: len(self.held[kind])] += self.held[kind]
+        self.held[kind] = fresh
+
+    def batch(self) -> pa.RecordBatch:
+        names = chain(self.words, self.stems)
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(n) >> 1 for n in names), np.int64, len(self.words) + len(self.stems))
+        held = np.concatenate(self.held)
+        return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(held[:, 0].copy()), pa.array(held[:, 1].copy())], ["hash", "p", "u"])
+
+
+def counted(texts: DataFrame) -> DataFrame:
+    """``hash``, ``p``, ``u``: how many positive and other rows of (positive, text) hold a feature; -1 counts all rows.
+    Tasks send sums, so a word of all texts is no large group."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally, rows = Tally(), np.zeros(2, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                positive = np.array(part.column("positive").to_pylist(), bool)
+                tally.add([words_of(t) for t in part.column("text").to_pylist()], positive)
+                rows += [positive.sum(), (~positive).sum()]
+                if len(tally.words) > 300_000:
+                    yield tally.batch()
+                    tally = Tally()
+        yield tally.batch()
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (-1, *rows.tolist())], ["hash", "p", "u"])
+
+    parts = texts.select("positive", "text").mapInArrow(count, "hash long, p long, u long")
+    return parts.groupBy("hash").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
 
 
 def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: str, label: str) -> tuple[dict[int, float], float]:
     """Weight per feature hash, and the bias.
 
     ``labels`` holds confirmed marks (1 or 0; null counts as none; of several marks of an id the largest holds). The
-    class prior is the share of 1 among the marks. Texts of positives, and of other rows as unlabelled, are
+    class prior is the share of 1 among the marks. Texts of positives, and of all other rows (those without id too) as
+    unlabelled, are counted by feature; the counts tell which features are used. For the weights, texts of both kinds are
     sampled by hash of their id up to the documented bounds; negative marks are not used otherwise.
     """
     marks = labels.where(labels[label].isNotNull() & labels[label_id].isNotNull()).groupBy(labels[label_id].alias("marked")).agg(F.max(label).alias("mark"))
@@ -89,39 +164,42 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
     n, toxic = marks.agg(F.count("*"), F.coalesce(F.sum(F.when(F.col("mark") == 1, 1)), F.lit(0))).first()
     prior = min(0.95, max(0.005, toxic / n)) if n else 0.05
     held = docs.select(docs[doc_id].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    toxic_ids = marks.where(F.col("mark") == 1).select(F.col("marked").alias("of"))
+    sums = written(counted(held.join(toxic_ids, F.col("id") == F.col("of"), "left").select(F.col("of").isNotNull().alias("positive"), "text")).where((F.col("p") + F.col("u") >= RARE) | (F.col("hash") < 0)), "toxic-counts")
+    found = sums.where("hash < 0").first()
+    positives, unlabelled = found["p"], found["u"]
+    used = sums.where("hash >= 0").where(telling(F.col("p"), F.col("u"), positives, unlabelled)).select("hash").collect()
+    seen = np.array(sorted(r["hash"] for r in used), np.int64)
+
     ids = docs.select(docs[doc_id].alias("id")).where("id is not null")
     place = F.xxhash64(F.lit("sample"), "id")
-    toxic_ids = marks.where(F.col("mark") == 1).select(F.col("marked").alias("of"))
     of = F.xxhash64(F.lit("sample"), "of")
-    positives = sampled(toxic_ids, of, POSITIVES, toxic).orderBy(of, "of").limit(POSITIVES)
+    chosen = sampled(toxic_ids, of, POSITIVES, toxic).orderBy(of, "of").limit(POSITIVES)
     others = sampled(ids, place, UNLABELLED, ids.count()).join(toxic_ids, F.col("id") == F.col("of"), "left_anti").distinct()
     others = others.orderBy(place, "id").limit(UNLABELLED)
-    chosen = written(positives.select("of", F.lit(True).alias("positive")).unionAll(others.select("id", F.lit(False))), "toxic-sample")
+    chosen = written(chosen.select("of", F.lit(True).alias("positive")).unionAll(others.select("id", F.lit(False))), "toxic-sample")
+    shared = docs.sparkSession.sparkContext.broadcast(seen)
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [np.array([h for w in words_of(t.as_py()) for h in hashes_of(w)], np.int64).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("positive"), pa.array(rows, pa.binary())], ["id", "positive", "words"])
+            rows = [placed(np.unique(np.array([h for w in words_of(t.as_py()) for h in hashes_of(w)], np.int64)), shared.value).tobytes() for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "positive", "h")), pa.array(rows, pa.binary())], ["id", "positive", "h", "places"])
 
-    texts = held.join(chosen, F.col("id") == F.col("of")).select("id", "positive", "text")
-    made = texts.mapInArrow(hashed, texts.select("id", "positive", F.lit(b"").alias("words")).schema)
+    texts = held.join(chosen, F.col("id") == F.col("of")).select("id", "positive", F.xxhash64("text").alias("h"), "text")
+    made = texts.mapInArrow(kept, texts.select("id", "positive", "h", F.lit(b"").alias("places")).schema)
     # Ids may repeat; the order of rows has to be the same in each run.
-    sample = sorted(made.collect(), key=lambda r: (r["id"], bytes(r["words"])))[: 4 * (POSITIVES + UNLABELLED)]
-    words = [np.sort(np.frombuffer(r["words"], np.int64)) for r in sample]
-    seen, counts = np.unique(np.concatenate([np.unique(w) for w in words]) if words else np.zeros(0, np.int64), return_counts=True)
-    positive = np.array([r["positive"] for r in sample], bool)
-    seen = seen[counts >= RARE]
-    seen = seen[telling(placed(words, seen), positive, len(seen))]
-    weights = nn_pu(placed(words, seen), positive, prior, len(seen))
+    sample = sorted(made.collect(), key=lambda r: (r["id"], r["h"]))[: 4 * (POSITIVES + UNLABELLED)]
+    rows = [np.frombuffer(r["places"], np.int64) for r in sample]
+    weights = nn_pu(rows, np.array([r["positive"] for r in sample], bool), prior, len(seen))
     return dict(zip(seen.tolist(), weights[:-1].tolist(), strict=True)), float(weights[-1])
 
 
-def placed(words: list[np.ndarray], seen: np.ndarray) -> list[np.ndarray]:
-    """Each row's hashes as places in the sorted list ``seen``; others are left out."""
+def placed(words: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Hashes as places in the sorted list ``seen``; others are left out."""
     if not len(seen):
-        return [np.zeros(0, np.int64) for _ in words]
-    places = [np.minimum(np.searchsorted(seen, w), len(seen) - 1) for w in words]
-    return [p[seen[p] == w] for p, w in zip(places, words, strict=True)]
+        return np.zeros(0, np.int64)
+    places = np.minimum(np.searchsorted(seen, words), len(seen) - 1)
+    return places[seen[places] == words]
 
 
 class Weights(dict):
@@ -145,7 +223,8 @@ def score_toxicity(docs: DataFrame, text: str, model: tuple[dict[int, float], fl
         for batch in batches:
             if len(weights) > 500_000:
                 weights.clear()
-            z = [bias + sum(map(weights.__getitem__, sorted(words_of(t.as_py() or "")))) for t in batch.column("text")]
+            # An exact sum: the order of a set is another in each worker.
+            z = [bias + fsum(map(weights.__getitem__, words_of(t or ""))) for t in batch.column("text").to_pylist()]
             scores = 1 / (1 + np.exp(-np.clip(np.array(z, np.float64), -40, 40)))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores)], ["row", "score"])
 

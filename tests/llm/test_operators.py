@@ -355,3 +355,28 @@ def test_pipeline_stages_against_plain_versions(spark):
 
 def test_hash_of_the_archive_names_is_stable():
     assert warc.record_urn(1, "ab") == warc.record_urn(1, "ab") != warc.record_urn(2, "ab")
+
+
+def test_toxic_words_are_told_by_all_documents(make, monkeypatch):
+    # Each word is in 40 of 1,000 toxic documents, so in about two of a sample of 50.
+    monkeypatch.setattr(toxicity, "POSITIVES", 50)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 150)
+    docs = make(DOCS, [(i, f"plain prose w{i % 25}x" if i < 1000 else f"plain prose v{i % 25}x") for i in range(4000)])
+    labels = make("doc_id:long toxic:int", [(i, int(i < 1000)) for i in range(0, 4000)])
+    model, _ = toxicity.fit(docs, "doc_id", "text", labels, "doc_id", "toxic")
+    assert set(model) >= {toxicity.hashes_of(f"w{k}x".encode())[0] for k in range(25)}
+    assert not set(model) & set(toxicity.hashes_of(b"plain"))
+
+
+def test_tally_counts_each_feature_once_per_text():
+    tally = toxicity.Tally()
+    texts, positive = ["shining shine shiny über-überall", "shining", "shiny x", ""], np.array([True, False, False, True])
+    for at in (0, 2):
+        tally.add([toxicity.words_of(t) for t in texts[at : at + 2]], positive[at : at + 2])
+    got = {h: (p, u) for h, p, u in zip(*(c.to_pylist() for c in tally.batch().columns))}
+    plain = {}
+    for text, kind in zip(texts, positive):
+        for h in {h for w in toxicity.words_of(text) for h in toxicity.hashes_of(w)}:
+            p, u = plain.get(h, (0, 0))
+            plain[h] = (p + kind, u + (not kind))
+    assert got == plain
