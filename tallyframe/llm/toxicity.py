@@ -157,7 +157,7 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
     ``labels`` holds confirmed marks (1 or 0; null counts as none; of several marks of an id the largest holds). The
     class prior is the share of 1 among the marks. Texts of positives, and of all other rows (those without id too) as
     unlabelled, are counted by feature; the counts tell which features are used. For the weights, texts of both kinds are
-    sampled by hash of their id up to the documented bounds; negative marks are not used otherwise.
+    sampled by hash of their id up to the documented bounds, one text for an id; negative marks are not used otherwise.
     """
     marks = labels.where(labels[label].isNotNull() & labels[label_id].isNotNull()).groupBy(labels[label_id].alias("marked")).agg(F.max(label).alias("mark"))
     marks = written(marks, "toxic-marks")
@@ -171,11 +171,11 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
     used = sums.where("hash >= 0").where(telling(F.col("p"), F.col("u"), positives, unlabelled)).select("hash").collect()
     seen = np.array(sorted(r["hash"] for r in used), np.int64)
 
-    ids = docs.select(docs[doc_id].alias("id")).where("id is not null")
+    ids = docs.select(docs[doc_id].alias("id")).where("id is not null").distinct()
     place = F.xxhash64(F.lit("sample"), "id")
     of = F.xxhash64(F.lit("sample"), "of")
     chosen = sampled(toxic_ids, of, POSITIVES, toxic).orderBy(of, "of").limit(POSITIVES)
-    others = sampled(ids, place, UNLABELLED, ids.count()).join(toxic_ids, F.col("id") == F.col("of"), "left_anti").distinct()
+    others = sampled(ids, place, UNLABELLED, ids.count()).join(toxic_ids, F.col("id") == F.col("of"), "left_anti")
     others = others.orderBy(place, "id").limit(UNLABELLED)
     chosen = written(chosen.select("of", F.lit(True).alias("positive")).unionAll(others.select("id", F.lit(False))), "toxic-sample")
     shared = docs.sparkSession.sparkContext.broadcast(seen)
@@ -187,9 +187,10 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
 
     texts = held.join(chosen, F.col("id") == F.col("of")).select("id", "positive", F.xxhash64("text").alias("h"), "text")
     made = texts.mapInArrow(kept, texts.select("id", "positive", "h", F.lit(b"").alias("places")).schema)
-    # Ids may repeat; the order of rows has to be the same in each run.
-    sample = sorted(made.collect(), key=lambda r: (r["id"], r["h"]))[: 4 * (POSITIVES + UNLABELLED)]
-    rows = [np.frombuffer(r["places"], np.int64) for r in sample]
+    # An id may repeat, with any number of texts: the one of smallest hash stands for it.
+    sample = made.groupBy("id", "positive").agg(F.min(F.struct("h", "places")).alias("row")).collect()
+    sample.sort(key=lambda r: r["id"])
+    rows = [np.frombuffer(r["row"]["places"], np.int64) for r in sample]
     weights = nn_pu(rows, np.array([r["positive"] for r in sample], bool), prior, len(seen))
     return dict(zip(seen.tolist(), weights[:-1].tolist(), strict=True)), float(weights[-1])
 

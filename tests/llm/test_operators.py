@@ -380,3 +380,14 @@ def test_tally_counts_each_feature_once_per_text():
             p, u = plain.get(h, (0, 0))
             plain[h] = (p + kind, u + (not kind))
     assert got == plain
+
+
+def test_a_repeated_id_leaves_the_others_in_the_toxic_sample(make, monkeypatch):
+    monkeypatch.setattr(toxicity, "POSITIVES", 10)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 30)
+    # The ids of smallest hash, which the sample draws first.
+    first = [r[0] for r in make("id:long", [(i,) for i in range(1000)]).selectExpr("id", "xxhash64('sample', id) as place").orderBy("place").limit(21).collect()]
+    rows = [(first[0], f"plain prose {i}") for i in range(400)] + [(i, "plain prose") for i in first[1:]] + [(i, "vile prose") for i in range(1000, 1020)]
+    labels = make("doc_id:long toxic:int", [(i, int(i >= 1000)) for i in [*first[1:], *range(1000, 1020)]])
+    model, _ = toxicity.fit(make(DOCS, rows), "doc_id", "text", labels, "doc_id", "toxic")
+    assert model[toxicity.hashes_of(b"vile")[0]] > 0.5
