@@ -166,8 +166,8 @@ def fit(docs: DataFrame, text: str, train_rows: int = TRAIN_ROWS) -> np.ndarray:
     counted = np.array([tuple(r) for r in labelled.groupBy("code").count().collect()], np.int64).reshape(-1, 2)
     patterns = (counted[:, :1] // _CODES) % 3 - 1
     good = dict(zip(counted[:, 0].tolist(), label_model(patterns, counted[:, 1]).tolist(), strict=True))
-    # Equal texts are one row of the sample, however many copies there are.
-    drawn = sampled(labelled, F.col("h"), train_rows, int(counted[:, 1].sum()))
+    # Equal texts are one row of the sample, however many copies there are, so the bound is set from the distinct texts.
+    drawn = sampled(labelled, F.col("h"), train_rows, labelled.select("h").distinct().count())
     drawn = drawn.groupBy("h").agg(F.min("code").alias("code"), F.min("features").alias("features"))
     sample = drawn.orderBy("h").limit(train_rows).collect()
     return train_linear([np.frombuffer(r["features"], np.int32) for r in sample], np.array([good[r["code"]] for r in sample]))

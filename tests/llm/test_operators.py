@@ -391,3 +391,11 @@ def test_a_repeated_id_leaves_the_others_in_the_toxic_sample(make, monkeypatch):
     labels = make("doc_id:long toxic:int", [(i, int(i >= 1000)) for i in [*first[1:], *range(1000, 1020)]])
     model, _ = toxicity.fit(make(DOCS, rows), "doc_id", "text", labels, "doc_id", "toxic")
     assert model[toxicity.hashes_of(b"vile")[0]] > 0.5
+
+
+def test_copies_do_not_shrink_the_quality_sample(make, monkeypatch):
+    rows = [(i, f"Text number {i} is here. It has some words.") for i in range(300)] + [(i, "A copy. It is long enough.") for i in range(300, 3000)]
+    sizes = []
+    monkeypatch.setattr(quality, "train_linear", lambda rows, target: sizes.append(len(rows)))
+    quality.fit(make(DOCS, rows), "text", train_rows=200)
+    assert sizes == [200]
