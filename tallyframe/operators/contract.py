@@ -110,7 +110,9 @@ def quarantine_lines(checked: DataFrame) -> DataFrame | None:
     need not be text.
     """
     spark = checked.sparkSession
-    rejected = bad_files(checked).where(F.col("header").isNotNull())
+    # Spark reads no hidden name; a file without a header line has no text to keep.
+    text = F.col("header").isNotNull() | F.col("reason").startswith("header line over")
+    rejected = bad_files(checked).where(text)
     by_reason: dict[str, list[str]] = {}
     for row in rejected.select("reason", "path").collect():
         by_reason.setdefault(row.reason, []).append(row.path)

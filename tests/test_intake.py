@@ -217,3 +217,10 @@ def test_hidden_names_are_judged(spark, tmp_path):
     put(tmp_path, "_SUCCESS", "")
     verdict = {r.file_name: r.reason for r in check_files(list_files(spark, str(tmp_path))).collect()}
     assert verdict == {"_x.csv": "hidden name", ".y.csv": "hidden name", "seen.csv": None}
+
+
+def test_text_of_a_file_with_a_long_header_is_kept(spark, tmp_path):
+    put(tmp_path, "long.csv", "é" * (HEADER_CHARACTERS + 1) + "\n1,2\n")
+    put(tmp_path, "_long.csv", "é" * (HEADER_CHARACTERS + 1) + "\n1,2\n")
+    lines = quarantine_lines(check_files(list_files(spark, str(tmp_path)))).collect()
+    assert {r.file_name for r in lines} == {"long.csv"} and sorted(len(r.line) for r in lines) == [3, HEADER_CHARACTERS + 1]
