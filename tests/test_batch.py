@@ -2,7 +2,7 @@ import os
 import random
 
 import pytest
-from conftest import as_text
+from helpers import as_text
 from feeds import VALID, feed, put
 
 from tallyframe.__main__ import main

@@ -1,4 +1,4 @@
-from conftest import frame
+from helpers import frame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import (

@@ -2,7 +2,7 @@ import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import as_text
+from helpers import as_text
 from feeds import VALID, feed, put
 
 from tallyframe.operators.conform import accepted_rows, conform, header_groups, parse_files, rejected_rows

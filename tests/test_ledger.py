@@ -1,4 +1,4 @@
-from conftest import as_text, frame
+from helpers import as_text, frame
 from pyspark.sql import functions as F
 
 from tallyframe.operators import ledger

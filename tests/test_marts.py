@@ -1,6 +1,6 @@
 import random
 
-from conftest import GOLDEN_FACT, LOST_FACT, as_text, fact_frame, frame
+from helpers import GOLDEN_FACT, LOST_FACT, as_text, fact_frame, frame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import as_text, frame
+from helpers import as_text, frame
 
 from tallyframe.operators.metrics import load_metrics
 from tallyframe.sinks.files import (
