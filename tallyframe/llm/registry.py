@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyframe.llm import decontamination, mixing, neardup, neighbours, pii, quality, secrets, tokens, toxicity, warc
+from tallyframe.llm import (
+    conversations,
+    decontamination,
+    mixing,
+    neardup,
+    neighbours,
+    pii,
+    quality,
+    rules,
+    secrets,
+    tokens,
+    toxicity,
+    vectorcodes,
+    warc,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +36,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_personal_data": pii.op8_personal_data,
         "op9_quality": quality.op9_quality,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_vector_codes": vectorcodes.op11_vector_codes,
+        "op12_quality_rules": rules.op12_quality_rules,
+        "op13_repair_conversations": conversations.op13_repair_conversations,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -33,4 +50,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_decontaminate": decontamination.OP4_SQL,
         "op6_warc_archive": warc.OP6_SQL,
         "op8_personal_data": pii.OP8_SQL,
+        "op11_vector_codes": vectorcodes.OP11_SQL,
+        "op13_repair_conversations": conversations.OP13_SQL,
     }
