@@ -8,14 +8,14 @@ that the classifier does not learn to call all positives it has not been told ab
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain, islice
-from math import fsum
+from itertools import islice
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.llm.common import sampled, table, written
 
@@ -23,6 +23,10 @@ from tallyframe.llm.common import sampled, table, written
 POSITIVES, UNLABELLED, RARE = 3_000, 9_000, 6
 #: Lengths of word beginnings.
 STEMS = (4, 5, 7)
+#: Places that features are hashed to: the bound of what a task sends, of what is learned, and of what is broadcast.
+WIDTH = 1 << 21
+#: Bits of the filter that tells which documents may be positive.
+FILTER = 1 << 25
 #: Bytes that part words: all but letters, digits and bytes of other scripts.
 OCTETS = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -32,17 +36,76 @@ def words_of(text: str) -> set[bytes]:
     return set(text.lower().encode("utf-8", "surrogatepass").translate(OCTETS).split())
 
 
-def stems_of(word: bytes) -> list[bytes]:
-    """How a word begins, so that inflected forms are known by their stem. No word holds the sign before it."""
-    if word.isascii():
-        return [b"^" + word[:n] for n in STEMS if len(word) > n]
-    letters = word.decode("utf-8", "replace")
-    return [f"^{letters[:n]}".encode() for n in STEMS if len(letters) > n]
+def places_of(words: list[bytes]) -> np.ndarray:
+    """Places of the features of each word, a row each: itself, and how it begins, so that inflected forms are known by their
+    stem. -1 where a word is no longer than the beginning would be."""
+    out = np.full((len(words), 1 + len(STEMS)), -1, np.int64)
+    out[:, 0] = np.fromiter(map(crc32, words), np.int64, len(words)) % WIDTH
+    # The longest beginning and one more letter, of four bytes at most each. No word holds a zero byte.
+    wide = 4 * (max(STEMS) + 1)
+    octets = np.array(words, f"S{wide}").view(np.uint8).reshape(-1, wide)
+    letter = np.cumsum((octets & 0xC0 != 0x80) & (octets > 0), axis=1)
+    powers = np.cumprod(np.full(wide, 0x9E3779B97F4A7C15, np.uint64))
+    terms = (octets.astype(np.uint64) + np.uint64(1)) * powers * (octets > 0)
+    for column, length in enumerate(STEMS, 1):
+        sums = (terms * (letter <= length)).sum(axis=1, dtype=np.uint64)
+        sums = (sums ^ sums >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        out[:, column] = np.where(letter[:, -1] > length, (sums >> np.uint64(32)).astype(np.int64) % WIDTH, -1)
+    return out
 
 
 def hashes_of(word: bytes) -> list[int]:
-    """Hashes of a word's features: itself, and its beginnings."""
-    return [xxhash.xxh3_64_intdigest(name) >> 1 for name in (word, *stems_of(word))]
+    return [p for p in places_of([word])[0].tolist() if p >= 0]
+
+
+class Numbers(dict):
+    """Words, numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+class Features:
+    """Places of the words of texts, worked out once for each word; forgets all when it has grown.
+
+    ``used`` gives places other numbers, or -1 for those that are left out."""
+
+    def __init__(self, used: np.ndarray | None = None, most: int = 400_000):
+        self.used, self.most = used, most
+        self.numbers, self.places = Numbers(), np.zeros((0, 1 + len(STEMS)), np.int32)
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Row and place of every feature of some texts, each once per text, in order."""
+        if len(self.numbers) > self.most:
+            self.numbers, self.places = Numbers(), self.places[:0]
+        ids = []
+        for text in texts:
+            words = words_of(text)
+            ids.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+        if fresh := list(islice(self.numbers, len(self.places), None)):
+            places = places_of(fresh)
+            if self.used is not None:
+                places = np.where(places >= 0, self.used[places], -1)
+            self.places = np.concatenate([self.places, places.astype(np.int32)])
+        found = self.places[np.concatenate([*ids, np.zeros(0, np.int64)])]
+        row = np.repeat(np.arange(len(texts)), [len(x) for x in ids])[:, None] * WIDTH + found
+        # Sorting is far faster than numpy's unique, which hashes.
+        keys = np.sort(row[found >= 0])
+        keys = keys[np.diff(keys, prepend=-1) > 0]
+        return keys // WIDTH, keys % WIDTH
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], most: int = 1 << 21) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Batches in parts of a few MB of text, or of one text; null is empty."""
+    for batch in batches:
+        texts, size, first = [], 0, 0
+        for i, value in enumerate(batch.column("text")):
+            texts.append(value.as_py() or "")
+            size += len(texts[-1])
+            if size > most or len(texts) == 500 or i == batch.num_rows - 1:
+                yield batch.slice(first, len(texts)), texts
+                texts, size, first = [], 0, i + 1
 
 
 def nn_pu(rows: list[np.ndarray], positive: np.ndarray, prior: float, width: int, rounds: int = 400, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
@@ -87,77 +150,67 @@ def telling(p: Column, u: Column, positives: int, unlabelled: int, errors: float
     return 2 * ratio > errors**2
 
 
-class Places(dict):
-    """Names in the order in which they came."""
-
-    def __missing__(self, name: bytes) -> int:
-        self[name] = place = len(self)
-        return place
-
-
-class Tally:
-    """In how many positive and other texts each word and beginning occurs, once per text."""
-
-    def __init__(self):
-        #: The beginnings of each word, as their places; -1 for none.
-        self.words, self.stems, self.begins = Places(), Places(), np.zeros((0, len(STEMS)), np.int64)
-        self.held = [np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64)]
-
-    def add(self, texts: list[set[bytes]], positive: np.ndarray) -> None:
-        known = len(self.words)
-        word = np.fromiter(map(self.words.__getitem__, chain.from_iterable(texts)), np.int64, sum(map(len, texts)))
-        row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        fresh = [[self.stems[s] for s in stems_of(w)] for w in islice(self.words, known, None)]
-        fresh = np.array([x + [-1] * (len(STEMS) - len(x)) for x in fresh], np.int64).reshape(-1, len(STEMS))
-        self.begins = np.concatenate([self.begins, fresh])
-        self._sum(0, word, positive[row], len(self.words))
-        for length in range(len(STEMS)):
-            stem = self.begins[word, length]
-            # Words of a text that begin alike count once.
-            pair = np.unique((row * len(self.stems) + stem)[stem >= 0])
-            self._sum(1, pair % max(1, len(self.stems)), positive[pair // max(1, len(self.stems))], len(self.stems))
-
-    def _sum(self, kind: int, place: np.ndarray, positive: np.ndarray, size: int) -> None:
-        fresh = np.bincount(place * 2 + (~positive).astype(np.int64), minlength=2 * size).reshape(-1, 2)
-        fresh[: len(self.held[kind])] += self.held[kind]
-        self.held[kind] = fresh
-
-    def batch(self) -> pa.RecordBatch:
-        names = chain(self.words, self.stems)
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(n) >> 1 for n in names), np.int64, len(self.words) + len(self.stems))
-        held = np.concatenate(self.held)
-        return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(held[:, 0].copy()), pa.array(held[:, 1].copy())], ["hash", "p", "u"])
-
-
-def counted(texts: DataFrame) -> DataFrame:
-    """``hash``, ``p``, ``u``: how many positive and other rows of (positive, text) hold a feature; -1 counts all rows.
-    Tasks send sums, so a word of all texts is no large group."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally, rows = Tally(), np.zeros(2, np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                positive = np.array(part.column("positive").to_pylist(), bool)
-                tally.add([words_of(t) for t in part.column("text").to_pylist()], positive)
-                rows += [positive.sum(), (~positive).sum()]
-                if len(tally.words) > 300_000:
-                    yield tally.batch()
-                    tally = Tally()
-        yield tally.batch()
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (-1, *rows.tolist())], ["hash", "p", "u"])
-
-    parts = texts.select("positive", "text").mapInArrow(count, "hash long, p long, u long")
-    return parts.groupBy("hash").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+def filter_of(ids: DataFrame) -> np.ndarray:
+    """The bits of the hashes of ``of``, packed: a fixed size, whatever the number of ids."""
+    held = ids.select((F.pmod(F.xxhash64("of"), F.lit(FILTER)) + 1).alias("bit"))
+    size = 1 << 12  # Fixed value: bytes of one bitmap of Spark.
+    out = np.zeros(max(FILTER // 8, size), np.uint8)
+    bitmaps = held.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    for row in bitmaps.collect():
+        out[(row["bucket"] - 1) * size : row["bucket"] * size] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def scan(held: DataFrame, bits: np.ndarray, drawn: np.ndarray) -> DataFrame:
+    """One pass over (id, text): how many rows hold each place (``place``, ``n``; place -1 counts all rows), a sum per
+    task; and ``places`` of the rows whose id the filter ``bits`` or the hashes ``drawn`` let through, with their id and the
+    hash ``h`` of their text."""
+    rows = held.select("id", "text", F.xxhash64("id").alias("key"), F.xxhash64("text").alias("h"))
+    layout = T.StructType([held.schema["id"]]).add("h", "long").add("places", T.ArrayType(T.IntegerType())).add("place", "integer").add("n", "long")
+    shared = held.sparkSession.sparkContext.broadcast((bits, drawn))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, drawn = shared.value
+        features, sums, rows, kind = Features(), np.zeros(WIDTH, np.int64), 0, None
+        for part, texts in in_parts(batches):
+            row, place = features.of(texts)
+            np.add.at(sums, place, 1)
+            rows += len(texts)
+            key = part.column("key").to_numpy()
+            bit = key % FILTER
+            at = np.flatnonzero((bits[bit >> 3] >> (bit & 7) & 1).astype(bool) | np.isin(key, drawn))
+            kind = part.schema.field("id").type
+            if len(at):
+                sizes = np.searchsorted(row, at, "right") - np.searchsorted(row, at)
+                ends = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(place[np.isin(row, at)].astype(np.int32)))
+                nothing = [pa.nulls(len(at), pa.int32()), pa.nulls(len(at), pa.int64())]
+                some = part.take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([some.column("id"), some.column("h"), lists, *nothing], layout.names)
+        if not rows:
+            return
+        place = np.flatnonzero(sums)
+        place, number = np.append(place, -1).astype(np.int32), np.append(sums[place], rows)
+        for low in range(0, len(place), 50_000):
+            data = [pa.array(x[low : low + 50_000]) for x in (place, number)]
+            nothing = [pa.nulls(len(data[0]), t) for t in (kind, pa.int64(), pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*nothing, *data], layout.names)
+
+    return rows.mapInArrow(run, layout)
 
 
 def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: str, label: str) -> tuple[dict[int, float], float]:
-    """Weight per feature hash, and the bias.
+    """Weight per place, and the bias.
 
     ``labels`` holds confirmed marks (1 or 0; null counts as none; of several marks of an id the largest holds). The
-    class prior is the share of 1 among the marks. Texts of positives, and of all other rows (those without id too) as
-    unlabelled, are counted by feature; the counts tell which features are used. For the weights, texts of both kinds are
-    sampled by hash of their id up to the documented bounds, one text for an id; negative marks are not used otherwise.
+    class prior is the share of 1 among the marks. All texts are counted by feature in one pass, those of positives
+    once more by themselves, and the rest of the counts is that of unlabelled rows (those without id too). The counts tell
+    which features are used. For the weights, rows of both kinds are sampled by hash of their id up to the documented
+    bounds, one text for an id, that of smallest hash (ties are the same text); negative marks are not used otherwise.
+
+    Texts are never shuffled: what leaves the pass is a sum per place, and the places of rows that a filter of fixed size
+    takes for positives or that are in the sample. The filter errs to one side, and a join by id is exact. A text of any
+    length is a set of places, one with more distinct words than there are places all of them.
     """
     marks = labels.where(labels[label].isNotNull() & labels[label_id].isNotNull()).groupBy(labels[label_id].alias("marked")).agg(F.max(label).alias("mark"))
     marks = written(marks, "toxic-marks")
@@ -165,11 +218,6 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
     prior = min(0.95, max(0.005, toxic / n)) if n else 0.05
     held = docs.select(docs[doc_id].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
     toxic_ids = marks.where(F.col("mark") == 1).select(F.col("marked").alias("of"))
-    sums = written(counted(held.join(toxic_ids, F.col("id") == F.col("of"), "left").select(F.col("of").isNotNull().alias("positive"), "text")).where((F.col("p") + F.col("u") >= RARE) | (F.col("hash") < 0)), "toxic-counts")
-    found = sums.where("hash < 0").first()
-    positives, unlabelled = found["p"], found["u"]
-    used = sums.where("hash >= 0").where(telling(F.col("p"), F.col("u"), positives, unlabelled)).select("hash").collect()
-    seen = np.array(sorted(r["hash"] for r in used), np.int64)
 
     ids = docs.select(docs[doc_id].alias("id")).where("id is not null").distinct()
     place = F.xxhash64(F.lit("sample"), "id")
@@ -178,56 +226,50 @@ def fit(docs: DataFrame, doc_id: str, text: str, labels: DataFrame, label_id: st
     others = sampled(ids, place, UNLABELLED, ids.count()).join(toxic_ids, F.col("id") == F.col("of"), "left_anti")
     others = others.orderBy(place, "id").limit(UNLABELLED)
     chosen = written(chosen.select("of", F.lit(True).alias("positive")).unionAll(others.select("id", F.lit(False))), "toxic-sample")
-    shared = docs.sparkSession.sparkContext.broadcast(seen)
+    drawn = np.array([r[0] for r in chosen.select(F.xxhash64("of")).collect()], np.int64)
+
+    parts = written(scan(held, filter_of(toxic_ids), drawn), "toxic-counts")
+    rows = parts.where("place = -1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    made = parts.where("places is not null").select("id", "h", "places")
+    marked = made.join(toxic_ids, F.col("id") == F.col("of"), "left_semi")
+    positives = marked.count()
+    p = marked.select(F.explode("places").alias("place")).groupBy("place").agg(F.count("*").alias("p"))
+    sums = parts.where("place >= 0").groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= RARE)
+    sums = sums.join(p, "place", "left").select("place", "n", F.coalesce("p", F.lit(0)).alias("p"))
+    used = sums.where(telling(F.col("p"), F.col("n") - F.col("p"), positives, rows - positives)).select("place").collect()
+    seen = np.array(sorted(r["place"] for r in used), np.int32)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [placed(np.unique(np.array([h for w in words_of(t.as_py()) for h in hashes_of(w)], np.int64)), shared.value).tobytes() for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "positive", "h")), pa.array(rows, pa.binary())], ["id", "positive", "h", "places"])
+            found = [np.searchsorted(seen, np.intersect1d(x.values.to_numpy(), seen)).astype(np.int64).tobytes() for x in batch.column("places")]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "positive", "h")), pa.array(found, pa.binary())], ["id", "positive", "h", "places"])
 
-    texts = held.join(chosen, F.col("id") == F.col("of")).select("id", "positive", F.xxhash64("text").alias("h"), "text")
-    made = texts.mapInArrow(kept, texts.select("id", "positive", "h", F.lit(b"").alias("places")).schema)
+    # At most the documented number of ids.
+    texts = made.join(F.broadcast(chosen), F.col("id") == F.col("of")).select("id", "positive", "h", "places")
+    sample = texts.mapInArrow(kept, texts.select("id", "positive", "h", F.lit(b"").alias("places")).schema)
     # An id may repeat, with any number of texts: the one of smallest hash stands for it.
-    sample = made.groupBy("id", "positive").agg(F.min(F.struct("h", "places")).alias("row")).collect()
+    sample = sample.groupBy("id", "positive").agg(F.min(F.struct("h", "places")).alias("row")).collect()
     sample.sort(key=lambda r: r["id"])
-    rows = [np.frombuffer(r["row"]["places"], np.int64) for r in sample]
-    weights = nn_pu(rows, np.array([r["positive"] for r in sample], bool), prior, len(seen))
+    found = [np.frombuffer(r["row"]["places"], np.int64) for r in sample]
+    weights = nn_pu(found, np.array([r["positive"] for r in sample], bool), prior, len(seen))
     return dict(zip(seen.tolist(), weights[:-1].tolist(), strict=True)), float(weights[-1])
 
 
-def placed(words: np.ndarray, seen: np.ndarray) -> np.ndarray:
-    """Hashes as places in the sorted list ``seen``; others are left out."""
-    if not len(seen):
-        return np.zeros(0, np.int64)
-    places = np.minimum(np.searchsorted(seen, words), len(seen) - 1)
-    return places[seen[places] == words]
-
-
-class Weights(dict):
-    """Weights by word, with those of its beginnings, looked up once; forgets all when it has grown."""
-
-    def __init__(self, model: dict[int, float]):
-        self.model = model
-
-    def __missing__(self, word: bytes) -> float:
-        self[word] = value = sum(self.model.get(h, 0.0) for h in hashes_of(word))
-        return value
-
-
 def score_toxicity(docs: DataFrame, text: str, model: tuple[dict[int, float], float], keep: list[str] | None = None) -> DataFrame:
     """``row`` (the columns ``keep``, or all) and ``score``, 0 to 1, for every row; null text counts as empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    places = np.array(sorted(model[0]), np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast((places, np.array([model[0][p] for p in places.tolist()], np.float64), model[1]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_hash, bias = shared.value
-        weights = Weights(by_hash)
-        for batch in batches:
-            if len(weights) > 500_000:
-                weights.clear()
-            # An exact sum: the order of a set is another in each worker.
-            z = [bias + fsum(map(weights.__getitem__, words_of(t or ""))) for t in batch.column("text").to_pylist()]
-            scores = 1 / (1 + np.exp(-np.clip(np.array(z, np.float64), -40, 40)))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores)], ["row", "score"])
+        places, weights, bias = shared.value
+        used = np.full(WIDTH, -1, np.int32)
+        used[places] = np.arange(len(places))
+        features = Features(used, most=600_000)
+        for part, texts in in_parts(batches):
+            row, place = features.of(texts)
+            z = bias + np.bincount(row, weights[place], len(texts))
+            scores = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(scores)], ["row", "score"])
 
     held = docs.select(F.struct(*(keep or docs.columns)).alias("row"), docs[text].alias("text"))
     return held.mapInArrow(score, held.select("row", F.lit(0.0).alias("score")).schema)

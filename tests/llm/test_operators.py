@@ -5,6 +5,7 @@ import io
 import random
 import re
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -368,18 +369,51 @@ def test_toxic_words_are_told_by_all_documents(make, monkeypatch):
     assert not set(model) & set(toxicity.hashes_of(b"plain"))
 
 
-def test_tally_counts_each_feature_once_per_text():
-    tally = toxicity.Tally()
-    texts, positive = ["shining shine shiny über-überall", "shining", "shiny x", ""], np.array([True, False, False, True])
-    for at in (0, 2):
-        tally.add([toxicity.words_of(t) for t in texts[at : at + 2]], positive[at : at + 2])
-    got = {h: (p, u) for h, p, u in zip(*(c.to_pylist() for c in tally.batch().columns))}
-    plain = {}
-    for text, kind in zip(texts, positive):
-        for h in {h for w in toxicity.words_of(text) for h in toxicity.hashes_of(w)}:
-            p, u = plain.get(h, (0, 0))
-            plain[h] = (p + kind, u + (not kind))
-    assert got == plain
+def test_places_are_counted_once_per_text(make):
+    rows = [(1, "shining shine shiny über-überall"), (2, "shining"), (None, "shiny x"), (1, ""), (4, "x " * 5000), (5, " ".join(f"w{i}" for i in range(3000)))]
+    marks = make("of:long", [(1,), (5,), (7,)])
+    held = make("id:long text:string", rows)
+    got = toxicity.scan(held, toxicity.filter_of(marks), np.zeros(0, np.int64)).collect()
+    plain = Counter(p for _, t in rows for p in {h for w in toxicity.words_of(t) for h in toxicity.hashes_of(w)})
+    counts = Counter()
+    for r in got:
+        counts[r["place"]] += r["n"] or 0
+    assert counts.pop(-1) == len(rows) and counts.pop(None) == 0 and counts == plain
+    passed = [(r["id"], sorted(r["places"])) for r in got if r["places"] is not None]
+    expected = [(i, sorted({h for w in toxicity.words_of(t) for h in toxicity.hashes_of(w)})) for i, t in rows if i in (1, 5)]
+    assert sorted(passed) == sorted(expected)
+
+
+def test_toxicity_against_a_plain_version(spark, monkeypatch):
+    """Counts, choice of features, sample and scores worked out again without Spark."""
+    monkeypatch.setattr(toxicity, "UNLABELLED", 150)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
+    rows, marks = docs.collect(), {r["doc_id"]: r["toxic"] for r in labels.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5}
+    places = lambda t: {h for w in toxicity.words_of(t or "") for h in toxicity.hashes_of(w)}
+    train = {r["doc_id"]: places(r["text"]) for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 5}
+    toxic = {i for i, mark in marks.items() if mark == 1}
+    p, n = Counter(), Counter()
+    for i, found in train.items():
+        n.update(found)
+        p.update(found if i in toxic else ())
+    positives, others = len(toxic & set(train)), len(set(train) - toxic)
+
+    def tells(x, m):
+        share = (x + m) / (positives + others)
+        part = lambda k, of: k * np.log(k / of) if k > 0 else 0.0
+        ratio = part(x, share * positives) + part(positives - x, (1 - share) * positives) + part(m, share * others) + part(others - m, (1 - share) * others)
+        return 2 * ratio > 4.5**2
+
+    seen = sorted(h for h in n if n[h] >= toxicity.RARE and tells(p[h], n[h] - p[h]))
+    by_hash = {r["id"]: r["h"] for r in docs.selectExpr("doc_id as id", "xxhash64('sample', doc_id) as h").collect()}
+    drawn = sorted(set(train) - toxic, key=by_hash.get)[:150]
+    sample = sorted((toxic & set(train)) | set(drawn))
+    found = [np.array([k for k, h in enumerate(seen) if h in train[i]], np.int64) for i in sample]
+    weights = toxicity.nn_pu(found, np.array([i in toxic for i in sample]), len(toxic) / len(marks), len(seen))
+    z = {r["doc_id"]: weights[-1] + sum(weights[k] for k, h in enumerate(seen) if h in places(r["text"])) for r in rows}
+    got = {r["doc_id"]: r["score"] for r in toxicity.op10_toxicity(spark, SF).collect()}
+    assert got == pytest.approx({i: 1 / (1 + np.exp(-np.clip(x, -40, 40))) for i, x in z.items()}, abs=1e-9)
 
 
 def test_a_repeated_id_leaves_the_others_in_the_toxic_sample(make, monkeypatch):
