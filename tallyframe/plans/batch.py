@@ -1,38 +1,40 @@
 """One run: landed files to fact, fact to marts, and the ledger around both.
 
 A run writes into folders of its own: its fact rows, its matched rows, its totals by month, the months of
-the marts that it touches. One row, written last, closes the run, and readers look at the folders of
-closed runs only: of a mart's month at those of the last closed run that touched it. A run that dies half
-way therefore shows nowhere, its files are still pending, and a run of the same number first removes what
-the attempt has left.
+the marts that it touches. A commit to the store's log, written last, makes them count, and gives the run its place in
+the order of all runs. A run that dies half way shows nowhere, and its files are still pending. Run numbers are claimed
+and never used twice. A run that finds at its commit that another one has been faster sums its months again with the
+other's totals; if the other one has closed the same files, it stops.
 
 A month that arrives in several runs is summed from the totals of these runs; no fact row is read again. What
 a run could not match stays in its quarantine and in no mart, so the rows of a run are those in the marts, the
-rejected and the unmatched.
+rejected and the unmatched. Runs may also only store their rows; ``publish_stored`` then brings the marts up to date with all
+of them at once.
 """
 
 from __future__ import annotations
 
-import time
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions import month_of
 from tallyframe.operators import ledger, marts
 from tallyframe.operators.conform import header_groups, parse_files
-from tallyframe.operators.contract import bad_files, check_files, good_files, quarantine_lines
+from tallyframe.operators.contract import OK, bad_files, check_files, good_files, quarantine_lines
 from tallyframe.operators.dimensions import enrich, repeated_keys, unmatched
+from tallyframe.operators.metrics import observe_counts
+from tallyframe.plans.runlog import LINE, Line, Log, claim_run, commit, point_to_base, read_log
 from tallyframe.schema import LEDGER_EVENT, SALES_FACT, TOTAL
 from tallyframe.sinks.files import (
-    complete_snapshots,
     drop_paths,
+    list_names,
     literal,
-    matching_paths,
     snapshot_folder,
     write_frame,
     write_partitioned,
@@ -64,7 +66,6 @@ TOTALS = T.StructType(
         T.StructField("sales_person_id", T.LongType()),
         T.StructField("total_cost", TOTAL),
         T.StructField("sales_month", T.StringType()),
-        T.StructField("run_epoch_ms", T.LongType()),
     ]
 )
 # Fixed value: the folder name that Spark gives to a null.
@@ -86,8 +87,12 @@ class Layout:
 
     root: str
 
+    @property
+    def base(self) -> str:
+        return self.root.rstrip("/")
+
     def folder(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
+        return f"{self.base}/{name}"
 
 
 @dataclass(frozen=True)
@@ -151,25 +156,45 @@ def load_dimensions(spark: SparkSession, database: Database, layout: Layout) ->
     )
 
 
-def ledger_events(spark: SparkSession, layout: Layout) -> DataFrame:
+def store_log(spark: SparkSession, layout: Layout) -> Log:
+    return read_log(spark, layout.base)
+
+
+def _read(spark: SparkSession, schema: T.StructType | str, paths: list[str], root: str | None = None) -> DataFrame:
+    """The tables of some folders; without any an empty one."""
+    if not paths:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema)
+    return (reader if root is None else reader.option("basePath", root)).parquet(*exact_paths(paths))
+
+
+def ledger_events(spark: SparkSession, layout: Layout, log: Log | None = None) -> DataFrame:
     """All registrations, and the closing events of the runs that count."""
+    log = log or store_log(spark, layout)
+    # Runs that have begun and not ended are in no commit; those that were folded are only listed until they are dropped.
+    root = layout.folder("ledger_registered")
+    names = [int(name.partition("=")[2]) for name in list_names(spark, root)]
+    begun = []
+    if names:
+        numbers = spark.createDataFrame([(n,) for n in names], "run_epoch_ms long")
+        begun = [snapshot_folder(root, row[0]) for row in numbers.join(log.runs(), "run_epoch_ms", "left_anti").collect()]
+    paths = [*begun, *log.folders("ledger_registered", "ledger_closed", "ledger")]
+    return _read(spark, RUN_LEDGER, paths).select(*RUN_LEDGER.names)
 
-    def events(name: str) -> DataFrame:
-        if not matching_paths(spark, literal(layout.folder(name))):
-            return spark.createDataFrame([], RUN_LEDGER)
-        return spark.read.schema(RUN_LEDGER).parquet(layout.folder(name)).select(*RUN_LEDGER.names)
 
-    closed = events("ledger_closed").join(_closed(spark, layout), "run_epoch_ms", "left_semi")
-    return events("ledger_registered").unionByName(closed)
+REJECTED = f"{KEY} string, path string, reason string"
 
 
-def rejected_files(spark: SparkSession, layout: Layout) -> DataFrame:
+def rejected_files(spark: SparkSession, layout: Layout, log: Log | None = None) -> DataFrame:
     """``file_key`` and ``reason`` of the files that a run has turned down; they are looked at once."""
-    root = layout.folder("files_rejected")
-    runs = complete_snapshots(spark, root)
-    if not runs:
-        return spark.createDataFrame([], f"{KEY} string, path string, reason string")
-    return spark.read.parquet(*[snapshot_folder(root, run) for run in runs])
+    log = log or store_log(spark, layout)
+    return _read(spark, REJECTED, log.folders("files_rejected"))
+
+
+def quarantined_lines(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The text of the files that were turned down, of all runs that count."""
+    paths = store_log(spark, layout).folders("quarantine_files")
+    return _read(spark, "file_name string, reason string, line string", paths)
 
 
 def pending_files(spark: SparkSession, layout: Layout, landed: DataFrame, events: DataFrame) -> DataFrame:
@@ -178,102 +203,70 @@ def pending_files(spark: SparkSession, layout: Layout, landed: DataFrame, events
     return open_files.join(rejected_files(spark, layout).select(KEY), KEY, "left_anti")
 
 
-@dataclass(frozen=True)
-class FactFolder:
-    month: str | None
-    run: int
-    path: str
-
-
-def fact_folders(
-    spark: SparkSession,
-    layout: Layout,
-    row_state: str = "ok",
-    month: str | None = "*",
-    run: int | str = "*",
-) -> list[FactFolder]:
-    """Folders of the stored fact, by default of all months and runs."""
-    name = NULL_FOLDER if month is None else month
-    pattern = f"{literal(layout.folder('fact'))}/row_state={row_state}/sales_month={name}/run_epoch_ms={run}"
-    folders = []
-    for path in matching_paths(spark, pattern):
-        *_, month_part, run_part = path.split("/")
-        value = unquote(month_part.partition("=")[2])
-        folders.append(
-            FactFolder(None if value == NULL_FOLDER else value, int(run_part.partition("=")[2]), path)
-        )
-    return folders
+def written_months(spark: SparkSession, layout: Layout, part: str, run: int, folder: str) -> list[Line]:
+    """The month folders below a folder that this run has written; those of other runs are not looked at."""
+    lines = []
+    for name in list_names(spark, layout.folder(folder)):
+        if "=" in name:
+            value = unquote(name.partition("=")[2])
+            lines.append(Line(part, run, None if value == NULL_FOLDER else value, f"{folder}/{name}"))
+    return lines
 
 
-def read_fact(spark: SparkSession, layout: Layout, folders: list[FactFolder]) -> DataFrame:
-    if not folders:
-        return spark.createDataFrame([], STORED_FACT)
-    reader = spark.read.schema(STORED_FACT).option("basePath", layout.folder("fact"))
-    return reader.parquet(*[folder.path for folder in folders])
+def read_fact(spark: SparkSession, layout: Layout, folders: list[str]) -> DataFrame:
+    return _read(spark, STORED_FACT, folders, layout.folder("fact"))
 
 
 def stored_fact(spark: SparkSession, layout: Layout, row_state: str = "ok") -> DataFrame:
     """The rows of all finished runs; the rejected ones with ``row_state="rejected"``."""
-    runs = set(closed_runs(spark, layout))
-    folders = [f for f in fact_folders(spark, layout, row_state) if f.run in runs]
-    return read_fact(spark, layout, folders)
+    return read_fact(spark, layout, store_log(spark, layout).folders(f"fact_{row_state}"))
 
 
 def closed_runs(spark: SparkSession, layout: Layout) -> list[int]:
-    """Numbers of the runs that count."""
-    return sorted(row.run_epoch_ms for row in _closed(spark, layout).collect())
-
+    """Numbers of the runs that count and have taken files."""
+    return sorted(row.run_epoch_ms for row in store_log(spark, layout).runs().collect())
 
-def _closed(spark: SparkSession, layout: Layout) -> DataFrame:
-    root, columns = layout.folder("runs_closed"), "run_epoch_ms bigint"
-    if not matching_paths(spark, literal(root)):
-        return spark.createDataFrame([], columns)
-    return spark.read.schema(columns).parquet(root).distinct()
 
+def take_in(spark: SparkSession, files: DataFrame, layout: Layout, run: int) -> tuple[RunReport, list[Line]]:
+    """Check the files, register the good ones, and store their rows and the rejects; the lines of the run's commit.
 
-def take_in(spark: SparkSession, files: DataFrame, layout: Layout, run: int) -> RunReport:
-    """Check the files, register the good ones, and store their rows and the rejects.
-
-    The text is parsed once: accepted and rejected rows go to different folders in one write.
+    The text is parsed once: accepted and rejected rows go to different folders in one write. All figures of the
+    report are observed in the writes.
     """
-    report = RunReport(run)
-    for parts in ("fact/*/*", "totals/*", "customer_mart", "sales_mart", "matched_rows"):
-        drop_paths(spark, f"{literal(layout.root.rstrip('/'))}/{parts}/run_epoch_ms={run}")
-    checks = layout.folder("checks")
-    write_snapshot(check_files(files), checks, run)
+    report, lines = RunReport(run), [Line("run", run)]
+    checks, ok = layout.folder("checks"), F.col("verdict") == OK
+    counted, counts = observe_counts(check_files(files), good=ok, bad=~ok)
+    write_snapshot(counted, checks, run)
+    report.n_good_files, report.n_bad_files = counts().values()
     checked = spark.read.parquet(snapshot_folder(checks, run))
-    report.n_good_files = good_files(checked).count()
-    report.n_bad_files = bad_files(checked).count()
-    lines = quarantine_lines(checked)
-    if lines is not None:
-        write_snapshot(lines, layout.folder("quarantine_files"), run)
-    if report.n_bad_files:
-        # After their text is kept: from here on these files are not looked at again.
-        write_snapshot(bad_files(checked).select(KEY, "path", "reason"), layout.folder("files_rejected"), run)
 
+    def keep(rows: DataFrame, part: str) -> None:
+        write_snapshot(rows, layout.folder(part), run)
+        lines.append(Line(part, run, path=snapshot_folder(part, run)))
+
+    if report.n_bad_files:
+        text = quarantine_lines(checked)
+        if text is not None:
+            keep(text, "quarantine_files")
+        keep(bad_files(checked).select(KEY, "path", "reason"), "files_rejected")
     if not report.n_good_files:
         report.status = "rejected" if report.n_bad_files else "nothing"
-        return report
+        return report, lines
     report.status = "done"
-    good = good_files(checked)
-    write_snapshot(
-        ledger.register_files(good, F.current_timestamp(), F.lit(run), [KEY]), layout.folder("ledger_registered"), run
-    )
+    keep(ledger.register_files(good_files(checked), F.current_timestamp(), F.lit(run), [KEY]), "ledger_registered")
+    fits = F.col("fits")
+    parsed, counts = observe_counts(parse_files(spark, header_groups(checked)), good=fits, bad=~fits)
     parsed = (
-        parse_files(spark, header_groups(checked))
-        .withColumn("row_state", F.when(F.col("fits"), "ok").otherwise("rejected"))
-        .withColumn("sales_month", F.when(F.col("fits"), month_of("sales_date")))
-        .withColumn("run_epoch_ms", F.lit(run).cast("bigint"))
+        parsed.withColumn("row_state", F.when(fits, "ok").otherwise("rejected"))
+        .withColumn("sales_month", F.when(fits, month_of("sales_date")))
         .drop("fits")
     )
-    by = ["row_state", "sales_month", "run_epoch_ms"]
-    write_partitioned(parsed, layout.folder("fact"), by, touched_only=True)
-    # Counted in the footers of the new files.
-    good_rows, bad_rows = (
-        read_fact(spark, layout, fact_folders(spark, layout, state, run=run)) for state in ("ok", "rejected")
-    )
-    report.n_good_rows, report.n_bad_rows = good_rows.count(), bad_rows.count()
-    return report
+    folder = snapshot_folder("fact", run)
+    write_partitioned(parsed, layout.folder(folder), ["row_state", "sales_month"])
+    report.n_good_rows, report.n_bad_rows = counts().values()
+    for state in ("ok", "rejected"):
+        lines += written_months(spark, layout, f"fact_{state}", run, f"{folder}/row_state={state}")
+    return report, lines
 
 
 def publish(
@@ -281,57 +274,91 @@ def publish(
     layout: Layout,
     dimensions: Dimensions,
     run: int,
+    own: list[Line] = (),
     database: Database | None = None,
     keep_base_rows: bool = True,
-) -> list[str | None]:
-    """Bring the marts up to date with a stored run, and close the files of the run.
+) -> tuple[list[str | None], int]:
+    """Bring the marts up to date with the rows of this run and of all runs that are only stored, and commit.
 
-    Each month that this run touches is summed from the totals of all runs that count and of this one, and
-    becomes the newest state of the month once the run is closed.
+    Each month that these rows touch is summed from the totals of all runs that count and of this one. Gives the
+    months, and how many rows matched no dimension. Where another run commits first, its totals are missing in these sums, so
+    they are made again.
     """
     dimensions.check()
-    new_folders = fact_folders(spark, layout, run=run)
-    new_rows = read_fact(spark, layout, new_folders)
-    months = sorted({folder.month for folder in new_folders}, key=lambda month: month or "")
-    star = (dimensions.customer, dimensions.store, dimensions.sales_team)
+    while True:
+        log = store_log(spark, layout)
+        queue = log.unpublished()
+        stored = [layout.folder(line.path) for line in own if line.part == "fact_ok"]
+        stored += log.folders("fact_ok", runs=queue) if queue else []
+        months = sorted({_month_in(path) for path in stored}, key=lambda month: month or "")
+        lost, lines = _sum_up(spark, layout, dimensions, run, read_fact(spark, layout, stored), keep_base_rows)
+        totals = month_totals(spark, layout, log, months, [line for line in lines if line.part == "totals"])
+        star = (dimensions.customer, dimensions.store, dimensions.sales_team)
+        for part, mart, month in (("customer_mart", marts.customer_mart, "sales_date_month"), ("sales_mart", marts.sales_mart, "sales_month")):
+            write_snapshot(mart(totals, *star), layout.folder(part), run, by=[month])
+            lines += written_months(spark, layout, part, run, snapshot_folder(part, run))
+        done = {line.run_epoch_ms for line in own if line.part == "fact_ok"} | set(queue)
+        lines += [Line("publishes", run, of=number) for number in sorted(done)]
+        if close_run(spark, layout, run, log, [*own, *lines]):
+            break
+    if database is not None:
+        export_months(spark, layout, database, months)
+    return months, lost
 
-    write_snapshot(unmatched(new_rows.select(*SALES_FACT.names), *star), layout.folder("quarantine_keys"), run)
-    matched = enrich(new_rows, *star).withColumn("sales_month", month_of("sales_date"))
+
+def _month_in(path: str) -> str | None:
+    value = unquote(path.rstrip("/").rpartition("sales_month=")[2])
+    return None if value == NULL_FOLDER else value
+
+
+def _sum_up(spark: SparkSession, layout: Layout, dimensions: Dimensions, run: int, rows: DataFrame, keep_base_rows: bool) -> tuple[int, list[Line]]:
+    """Write what the rows come to: those without a dimension, matched rows, totals by month."""
+    star = (dimensions.customer, dimensions.store, dimensions.sales_team)
+    lost, counts = observe_counts(unmatched(rows.select(*SALES_FACT.names), *star), n=F.lit(True))
+    write_snapshot(lost, layout.folder("quarantine_keys"), run)
+    lines = [Line("quarantine_keys", run, path=snapshot_folder("quarantine_keys", run))]
+    matched = enrich(rows, *star).withColumn("sales_month", month_of("sales_date"))
     if keep_base_rows:
         # Written once; both sets of base rows are columns of it. Single rows do not change with later runs.
-        folder = layout.folder("matched_rows")
-        write_snapshot(matched.sortWithinPartitions("sales_month", "store_id"), folder, run)
-        matched = spark.read.schema(matched.schema).parquet(snapshot_folder(folder, run))
+        write_snapshot(matched.sortWithinPartitions("sales_month", "store_id"), layout.folder("matched_rows"), run)
+        lines.append(Line("matched_rows", run, path=snapshot_folder("matched_rows", run)))
+        matched = spark.read.schema(matched.schema).parquet(layout.folder(lines[-1].path))
     totals = matched.groupBy("customer_id", "store_id", "sales_person_id", "sales_month").agg(
         F.sum("total_cost").cast(TOTAL).alias("total_cost")
     )
-    totals = totals.select(*TOTALS.names[:-1]).withColumn("run_epoch_ms", F.lit(run).cast("bigint"))
-    write_partitioned(totals, layout.folder("totals"), ["sales_month", "run_epoch_ms"], touched_only=True)
+    folder = snapshot_folder("totals", run)
+    _write_totals(totals, layout.folder(folder))
+    return counts()["n"], lines + written_months(spark, layout, "totals", run, folder)
 
-    fact = month_totals(spark, layout, months, {*closed_runs(spark, layout), run})
-    write_snapshot(marts.customer_mart(fact, *star), layout.folder("customer_mart"), run, by=["sales_date_month"])
-    write_snapshot(marts.sales_mart(fact, *star), layout.folder("sales_mart"), run, by=["sales_month"])
-    close_run(spark, layout, run)
-    if database is not None:
-        export_months(spark, layout, database, months)
-    return months
-
-
-def month_totals(spark: SparkSession, layout: Layout, months: list[str | None], runs: set[int]) -> DataFrame:
-    """The totals of some months over some runs, as a fact with the first day of each month."""
-    root, wanted, folders = layout.folder("totals"), set(months), []
-    for path in matching_paths(spark, f"{literal(root)}/sales_month=*/run_epoch_ms=*"):
-        month, run = (unquote(part.partition("=")[2]) for part in path.split("/")[-2:])
-        if (None if month == NULL_FOLDER else month) in wanted and int(run) in runs:
-            folders.append(path)
-    if folders:
-        totals = spark.read.schema(TOTALS).option("basePath", root).parquet(*exact_paths(folders))
-    else:
-        totals = spark.createDataFrame([], TOTALS)
+
+def _write_totals(totals: DataFrame, folder: str) -> None:
+    """One folder per month. Files hold their month too, so that folders of runs and bases are read together."""
+    write_partitioned(totals.select(*TOTALS.names).withColumn("month", F.col("sales_month")), folder, ["month"])
+
+
+def month_totals(spark: SparkSession, layout: Layout, log: Log, months: list[str | None], own: list[Line]) -> DataFrame:
+    """The totals of some months over all runs that count and the own ones, as a fact with the first day of each month."""
+    folders = log.folders("totals", months=months) if months else []
+    totals = _read(spark, TOTALS, [*folders, *(layout.folder(line.path) for line in own)])
     day = F.concat("sales_month", F.lit("-01")).cast("date")
     return totals.select("customer_id", "store_id", "sales_person_id", day.alias("sales_date"), "total_cost")
 
 
+def has_stored(spark: SparkSession, layout: Layout) -> bool:
+    """Whether runs wait to be published."""
+    return bool(store_log(spark, layout).unpublished())
+
+
+def publish_stored(
+    spark: SparkSession, layout: Layout, dimensions: Dimensions, database: Database | None = None, keep_base_rows: bool = True
+) -> list[str | None]:
+    """Bring the marts up to date with all runs that are only stored: every month that they touch once, whatever their number."""
+    if not has_stored(spark, layout):
+        return []
+    run = claim_run(spark, layout.base)
+    return publish(spark, layout, dimensions, run, database=database, keep_base_rows=keep_base_rows)[0]
+
+
 def export_months(spark: SparkSession, layout: Layout, database: Database, months: list[str | None]) -> None:
     """Bring the given months of the mart tables to the state of the files. Files are the truth: a failed
     export is made good by calling this again."""
@@ -342,44 +369,45 @@ def export_months(spark: SparkSession, layout: Layout, database: Database, month
         replace_months(read_mart(spark, layout, name), database.url, table, database.properties, month, months)
 
 
-def close_run(spark: SparkSession, layout: Layout, run: int) -> None:
-    """Close the good files of a run. From here on its rows count.
+def close_run(spark: SparkSession, layout: Layout, run: int, log: Log, lines: list[Line]) -> bool:
+    """Close the good files of a run and commit. From here on its rows count; False where another run was faster.
 
-    The events may be many. What makes them count is one row in a folder of its own, written
-    after them: a single file, which is there or not.
+    The events may be many. What makes them count is the commit, a single file, which is there or not.
     """
-    closing = good_files(spark.read.parquet(snapshot_folder(layout.folder("checks"), run)))
-    write_snapshot(
-        ledger.close_files(closing, F.current_timestamp(), F.lit(run), [KEY]), layout.folder("ledger_closed"), run
-    )
-    number = spark.range(0, 1, 1, 1).select(F.lit(run).cast("bigint").alias("run_epoch_ms"))
-    write_frame(number, layout.folder("runs_closed"), mode="append")
+    lines = list(lines)
+    if any(line.part == "ledger_registered" for line in lines):
+        closing = good_files(spark.read.parquet(snapshot_folder(layout.folder("checks"), run)))
+        taken = ledger.latest_state(ledger_events(spark, layout, log), KEY).where(F.col("status") == "I")
+        if closing.join(taken, KEY, "left_semi").head(1):
+            raise RuntimeError(f"another run has closed files of run {run} meanwhile; nothing of this run counts")
+        write_snapshot(
+            ledger.close_files(closing, F.current_timestamp(), F.lit(run), [KEY]), layout.folder("ledger_closed"), run
+        )
+        lines.append(Line("ledger_closed", run, path=snapshot_folder("ledger_closed", run)))
+    return commit(spark, log.root, log.seq + 1, lines)
+
+
+def store_run(spark: SparkSession, layout: Layout, run: int, lines: list[Line]) -> None:
+    """Commit a run without publishing it."""
+    while not close_run(spark, layout, run, store_log(spark, layout), lines):
+        pass
 
 
 def read_base_rows(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    """The enriched rows behind a mart, ``sales_rows`` or ``customer_rows``, of all finished runs."""
+    """The enriched rows behind a mart, ``sales_rows`` or ``customer_rows``, of all published runs."""
     base = {"sales_rows": marts.sales_base, "customer_rows": marts.customer_base}[name]
-    rows = spark.read.parquet(layout.folder("matched_rows")).join(_closed(spark, layout), "run_epoch_ms", "left_semi")
+    paths = store_log(spark, layout).folders("matched_rows")
+    if not paths:
+        raise FileNotFoundError("no run has kept its matched rows")
+    rows = spark.read.option("basePath", layout.folder("matched_rows")).parquet(*exact_paths(paths))
     return rows.select(*base(rows).columns, "run_epoch_ms")
 
 
 def read_mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """A published mart with its columns in mart order."""
-    columns, month = {
-        "customer_mart": (CUSTOMER_MART, "sales_date_month"),
-        "sales_mart": (SALES_MART, "sales_month"),
-    }[name]
-    layout_of = T.StructType.fromDDL(columns)
-    root, closed, newest = layout.folder(name), set(closed_runs(spark, layout)), {}
-    for path in matching_paths(spark, f"{literal(root)}/run_epoch_ms=*/{month}=*"):
-        run_part, month_part = path.split("/")[-2:]
-        run = int(run_part.partition("=")[2])
-        if run in closed and run >= newest.get(month_part, (run, ""))[0]:
-            newest[month_part] = run, path
-    if not newest:
-        return spark.createDataFrame([], layout_of)
-    paths = exact_paths(path for _, path in newest.values())
-    return spark.read.schema(layout_of).option("basePath", root).parquet(*paths).select(*layout_of.names)
+    columns = {"customer_mart": CUSTOMER_MART, "sales_mart": SALES_MART}[name]
+    layout_of, root = T.StructType.fromDDL(columns), layout.folder(name)
+    return _read(spark, layout_of, store_log(spark, layout).newest(name), root).select(*layout_of.names)
 
 
 def run_batch(
@@ -399,20 +427,23 @@ def run_batch(
     """
     if on_interrupted not in ("rerun", "fail"):
         raise ValueError("on_interrupted must be 'rerun' or 'fail'")
-    run = _new_run(closed_runs(spark, layout), run_epoch_ms)
+    log = store_log(spark, layout)
+    if run_epoch_ms is not None and log.runs().where(F.col("run_epoch_ms") == run_epoch_ms).head(1):
+        raise ValueError(f"run {run_epoch_ms} is finished already")
     dimensions.check()
     landed = list_files(spark, landing)
-    events = ledger_events(spark, layout)
+    events = ledger_events(spark, layout, log)
     interrupted = sorted(row.file_name for row in ledger.active_landed(landed, events, KEY).collect())
     if interrupted and on_interrupted == "fail":
         raise RuntimeError(f"the last run did not finish {len(interrupted)} files, first {interrupted[0]}")
 
-    report = take_in(spark, pending_files(spark, layout, landed, events), layout, run)
+    run = claim_run(spark, log.root, run_epoch_ms)
+    report, lines = take_in(spark, pending_files(spark, layout, landed, events), layout, run)
     report.interrupted = interrupted
     if report.n_good_files:
-        report.months = publish(spark, layout, dimensions, run, database, keep_base_rows)
-        lost = snapshot_folder(layout.folder("quarantine_keys"), run)
-        report.n_unmatched_rows = spark.read.parquet(lost).count()
+        report.months, report.n_unmatched_rows = publish(spark, layout, dimensions, run, lines, database, keep_base_rows)
+    elif report.n_bad_files:
+        store_run(spark, layout, run, lines)
     return report
 
 
@@ -429,22 +460,72 @@ def take_files(
     files = pending_files(spark, layout, landed, ledger_events(spark, layout))
     if files.isEmpty():
         return None
-    run = _new_run(closed_runs(spark, layout), None)
-    report = take_in(spark, files, layout, run)
-    if report.n_good_files:
-        if dimensions is None:
-            close_run(spark, layout, run)
-        else:
-            current = dimensions() if callable(dimensions) else dimensions
-            report.months = publish(spark, layout, current, run, database, keep_base_rows)
+    run = claim_run(spark, layout.base)
+    report, lines = take_in(spark, files, layout, run)
+    if report.n_good_files and dimensions is not None:
+        current = dimensions() if callable(dimensions) else dimensions
+        report.months, report.n_unmatched_rows = publish(spark, layout, current, run, lines, database, keep_base_rows)
+    else:
+        store_run(spark, layout, run, lines)
     return report
 
 
-def _new_run(closed: list[int], run_epoch_ms: int | None) -> int:
-    """The given run number, or the current second in ms; never the number of a finished run."""
-    if run_epoch_ms in closed:
-        raise ValueError(f"run {run_epoch_ms} is finished already")
-    run = int(time.time()) * 1000 if run_epoch_ms is None else run_epoch_ms
-    while run in closed:
-        run += 1000
-    return run
+def compact(spark: SparkSession, layout: Layout) -> int | None:
+    """Fold all commits into a base: the ledger's state, the files that were turned down, the totals of each month, and of
+    the marts the newest folders. Gives the number of the last commit that is folded, None if there is nothing new.
+
+    Readers and runs may go on meanwhile: they use the old base and its commits until the new one is pointed to, and
+    what is folded stays until ``drop_folded``.
+    """
+    log = store_log(spark, layout)
+    if log.seq == log.base:
+        return None
+    folder = f"bases/{log.seq:020d}-{uuid.uuid4().hex}"
+    lines = log.lines.where(~F.col("part").isin("ledger_registered", "ledger_closed", "ledger", "files_rejected", "totals"))
+    newest = F.max("seq").over(Window.partitionBy("part", "month"))
+    is_mart = F.col("part").isin("customer_mart", "sales_mart")
+    lines = lines.withColumn("newest", newest).where(~is_mart | (F.col("seq") == F.col("newest"))).drop("newest")
+
+    events = _read(spark, RUN_LEDGER, log.folders("ledger_registered", "ledger_closed", "ledger"))
+    order, whole = F.struct("event_time", "event_id"), F.struct(*RUN_LEDGER.names)
+    closing = F.when(F.col("status") == "I", order)
+    # What the latest state is made of: the first, the last, and the last closing event of each file.
+    kept = F.array(F.min_by(whole, order), F.max_by(whole, order), F.max_by(whole, closing))
+    state = events.groupBy(KEY).agg(F.array_distinct(F.array_compact(kept)).alias("kept"))
+    write_frame(state.select(F.inline("kept")), layout.folder(f"{folder}/ledger"))
+    write_frame(rejected_files(spark, layout, log).distinct(), layout.folder(f"{folder}/files_rejected"))
+    totals = _read(spark, TOTALS, log.folders("totals"))
+    keys = ["customer_id", "store_id", "sales_person_id", "sales_month"]
+    totals = totals.groupBy(*keys).agg(F.sum("total_cost").cast(TOTAL).alias("total_cost"))
+    _write_totals(totals, layout.folder(f"{folder}/totals"))
+
+    fresh = [Line(part, 0, path=f"{folder}/{part}") for part in ("ledger", "files_rejected")]
+    fresh += written_months(spark, layout, "totals", 0, f"{folder}/totals")
+    rows = [(log.seq, line.run_epoch_ms, line.part, line.month, line.path, line.of) for line in fresh]
+    point_to_base(spark, log.root, log.seq, folder, lines.unionByName(spark.createDataFrame(rows, LINE)))
+    return log.seq
+
+
+def drop_folded(spark: SparkSession, layout: Layout) -> None:
+    """Remove what the base before the newest one has folded; whoever reads by that base or an older one must be done."""
+    names = [name for name in list_names(spark, layout.folder("log")) if name.endswith(".json")]
+    bases = sorted(int(name[5:-5]) for name in names if name.startswith("base-"))
+    if len(bases) < 2:
+        return
+    before = bases[-2]
+    known = store_log(spark, layout).lines
+    runs = known.where((F.col("part") == "run") | (F.col("part") == "publishes")).where(F.col("seq") <= before).select("run_epoch_ms").distinct()
+    for part in ("ledger_registered", "ledger_closed", "files_rejected", "totals"):
+        listed = [(int(name.partition("=")[2]),) for name in list_names(spark, layout.folder(part))]
+        if listed:
+            gone = spark.createDataFrame(listed, "run_epoch_ms long").join(runs, "run_epoch_ms", "left_semi").collect()
+            for row in gone:
+                drop_paths(spark, literal(snapshot_folder(layout.folder(part), row.run_epoch_ms)))
+    for name in names:
+        if (int(name[5:-5]) < before) if name.startswith("base-") else (int(name[:-5]) <= before):
+            drop_paths(spark, literal(f"{layout.folder('log')}/{name}"))
+    for name in list_names(spark, layout.folder("bases")):
+        if int(name.partition("-")[0]) < before:
+            drop_paths(spark, literal(f"{layout.folder('bases')}/{name}"))
+    for name in list_names(spark, layout.folder("runs_begun"))[:-1]:
+        drop_paths(spark, literal(f"{layout.folder('runs_begun')}/{name}"))

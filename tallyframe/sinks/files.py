@@ -55,6 +55,15 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found or []]
 
 
+def list_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder that exists or not; one call to the store. Names that begin with ``.`` or ``_`` are left out."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = store.listStatus(path) if store.exists(path) else []
+    names = (status.getPath().getName() for status in found)
+    return sorted(name for name in names if name[0] not in "._" or name.startswith("__HIVE"))
+
+
 def literal(path: str) -> str:
     """The path for use inside of a pattern."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
