@@ -7,6 +7,8 @@ from tallyframe.functions.columns import (
     run_epoch_ms,
     run_timestamp,
     strip_store,
+    to_day,
+    to_money,
     to_whole_number,
 )
 
@@ -19,5 +21,7 @@ __all__ = [
     "run_epoch_ms",
     "run_timestamp",
     "strip_store",
+    "to_day",
+    "to_money",
     "to_whole_number",
 ]

@@ -39,12 +39,25 @@ def incentive(total: Column, is_best: Column) -> Column:
 
 
 def to_whole_number(text: Column, data_type) -> Column:
-    """Text to a whole number type; ``3.0`` counts as 3, ``3.5`` and ``[1, 2]`` give null."""
-    exact = text.try_cast("decimal(28,8)")
-    return F.coalesce(
-        text.try_cast(data_type),
-        F.when(exact == F.floor(exact), F.floor(exact).cast("string").try_cast(data_type)),
-    )
+    """Text to a whole number type; ``3.0`` counts as 3, ``3.5``, ``3.000000001`` and ``[1, 2]`` give null.
+
+    The text itself is looked at, since a cast to a decimal would round first."""
+    whole = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)(\.0*)?\s*$", 1)
+    return whole.try_cast(data_type)
+
+
+def to_money(text: Column, data_type) -> Column:
+    """Text to a decimal type; more places than it has are null unless they are zeros, however many there are."""
+    places = data_type.scale
+    exact = rf"^\s*[+-]?([0-9]+(\.[0-9]{{0,{places}}}0*)?|\.[0-9]{{1,{places}}}0*)\s*$"
+    return F.when(text.rlike(exact), F.trim(text).try_cast(data_type))
+
+
+def to_day(text: Column) -> Column:
+    """Text to a day; a time may follow, and anything else after the day gives null, as does a month without a day."""
+    day = F.regexp_extract(text, r"^\s*([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})([\sT].*)?$", 1)
+    bare = text.rlike(r"^\s*[0-9-]+\s*$")
+    return F.when(bare | text.try_cast("timestamp").isNotNull(), day.try_cast("date"))
 
 
 def base_name(path: str | Column) -> Column:

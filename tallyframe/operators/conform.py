@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.functions import fold_columns, to_whole_number
+from tallyframe.functions import fold_columns, to_day, to_money, to_whole_number
 from tallyframe.operators.contract import good_files
 from tallyframe.schema import ADDITIONAL_COLUMN, SALES_CONTRACT, SALES_FACT
 from tallyframe.sources.files import exact_paths, plain_path_column
@@ -120,8 +120,7 @@ def _typed(target: T.StructField) -> Column:
     if isinstance(target.dataType, T.IntegralType):
         return to_whole_number(value, target.dataType)
     if isinstance(target.dataType, T.DecimalType):
-        exact = value.try_cast("decimal(38,18)")
-        return F.when(exact == exact.try_cast(target.dataType), exact.try_cast(target.dataType))
+        return to_money(value, target.dataType)
     if isinstance(target.dataType, T.DateType):
-        return F.when(value.rlike(r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(\s|T|$)"), value.try_cast(target.dataType))
+        return to_day(value)
     return value

@@ -183,17 +183,20 @@ SELECT {_CONTRACT},
        END AS additional_column
 FROM lines WHERE region <> 'EUROPE'""",
         "quarantine_rows": f"""WITH {_LINES}
-SELECT 'bad value: ' || CONCAT_WS(',', CASE WHEN raw_flag = 'R' THEN 'sales_person_id' END,
-                                  CASE WHEN payment_mode = '1-URGENT' THEN 'quantity' END) AS reason,
+SELECT 'bad value: ' || CONCAT_WS(',', CASE WHEN payment_mode = '3-MEDIUM' THEN 'sales_date' END,
+                                  CASE WHEN raw_flag = 'R' THEN 'sales_person_id' END,
+                                  CASE WHEN payment_mode IN ('1-URGENT', '2-HIGH') THEN 'quantity' END) AS reason,
        CAST(customer_id AS VARCHAR) AS customer_id, CAST(store_id AS VARCHAR) AS store_id,
-       product_name, CAST(sales_date AS VARCHAR) AS sales_date,
+       product_name,
+       CAST(sales_date AS VARCHAR) || CASE WHEN payment_mode = '3-MEDIUM' THEN 'T99:99' ELSE '' END AS sales_date,
        CASE WHEN raw_flag = 'R' THEN '[' || CAST(sales_person_id AS VARCHAR) || ']'
             ELSE CAST(sales_person_id AS VARCHAR) END AS sales_person_id,
        CAST(price AS VARCHAR) AS price,
        CASE WHEN payment_mode = '1-URGENT' THEN CAST(quantity AS VARCHAR) || ' pcs'
+            WHEN payment_mode = '2-HIGH' THEN CAST(quantity AS VARCHAR) || '.000000001'
             ELSE CAST(quantity AS VARCHAR) END AS quantity,
        CAST(total_cost AS VARCHAR) AS total_cost
-FROM lines WHERE raw_flag = 'R' OR payment_mode = '1-URGENT'""",
+FROM lines WHERE raw_flag = 'R' OR payment_mode IN ('1-URGENT', '2-HIGH', '3-MEDIUM')""",
         "stream_ingest": f"""WITH {_LINES}
 SELECT {_CONTRACT}, payment_mode AS additional_column FROM lines""",
         "batch_marts": _BOTH_MARTS,

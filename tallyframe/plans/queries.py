@@ -88,13 +88,18 @@ def union_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Returned goods come with a list as seller, the others of priority 1 with a wordy quantity."""
+    """Returned goods come with a list as seller; priorities 1 to 3 with a wordy quantity, one that a cast would round, and
+    a day that no time follows."""
     feed = sales_lines(spark, sf_dir).select(
-        *[c for c in FACT_ORDER if c not in ("sales_person_id", "quantity")],
+        *[c for c in FACT_ORDER if c not in ("sales_person_id", "quantity", "sales_date")],
+        F.when(F.col("payment_mode") == "3-MEDIUM", F.concat(F.col("sales_date").cast("string"), F.lit("T99:99")))
+        .otherwise(F.col("sales_date").cast("string"))
+        .alias("sales_date"),
         F.when(F.col("return_flag") == "R", F.concat(F.lit("["), F.col("sales_person_id").cast("string"), F.lit("]")))
         .otherwise(F.col("sales_person_id").cast("string"))
         .alias("sales_person_id"),
         F.when(F.col("payment_mode") == "1-URGENT", F.concat(F.col("quantity").cast("string"), F.lit(" pcs")))
+        .when(F.col("payment_mode") == "2-HIGH", F.concat(F.col("quantity").cast("string"), F.lit(".000000001")))
         .otherwise(F.col("quantity").cast("string"))
         .alias("quantity"),
     )

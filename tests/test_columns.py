@@ -1,5 +1,6 @@
 from helpers import frame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.functions import (
     base_name,
@@ -10,6 +11,8 @@ from tallyframe.functions import (
     run_epoch_ms,
     run_timestamp,
     strip_store,
+    to_day,
+    to_money,
     to_whole_number,
 )
 
@@ -71,3 +74,18 @@ def test_incentive_is_an_exact_decimal(spark):
     df = spark.range(1).select(incentive(total, F.lit(True)).alias("a"), incentive(total, F.lit(False)).alias("b"))
     assert [str(v) for v in df.first()] == ["0.3350", "0.0000"]
     assert df.schema["a"].dataType.simpleString() == "decimal(18,4)"
+
+
+def test_no_cell_is_changed_silently(spark):
+    """Cells that a cast alone would round or cut are null, exact ones keep their value."""
+    def cells(convert, kind, *texts):
+        rows = frame(spark, [(t,) for t in texts], "t string").select("t", convert(F.col("t"), kind).cast("string").alias("v"))
+        return {r.t: r.v for r in rows.collect()}
+
+    whole = cells(to_whole_number, T.LongType(), "3", " 3.000 ", "-7.", "3.000000001", "1.000000001", "3.5", "1e3", "", "99999999999999999999")
+    assert whole == {"3": "3", " 3.000 ": "3", "-7.": "-7", "3.000000001": None, "1.000000001": None, "3.5": None, "1e3": None, "": None, "99999999999999999999": None}
+    money = cells(to_money, T.DecimalType(12, 2), "1.5", ".25", "-3", "2.500000000000000000000", "1.0000000000000000001", "1.239", "12345678901.00", ".")
+    assert money == {"1.5": "1.50", ".25": "0.25", "-3": "-3.00", "2.500000000000000000000": "2.50", "1.0000000000000000001": None, "1.239": None, "12345678901.00": None, ".": None}
+    day = cells(lambda t, _: to_day(t), None, "2023-03-01", "2023-3-1", "2023-03-01 10:15:00", "2023-03-01T10:15", "2023-03-01 garbage", "2023-03-01T99:99", "2023-03", "2023-02-30", "2023-03-01x", "2023-03-01 ")
+    kept = {"2023-03-01", "2023-3-1", "2023-03-01 10:15:00", "2023-03-01T10:15", "2023-03-01 "}
+    assert day == {text: "2023-03-01" if text in kept else None for text in day}
