@@ -8,46 +8,36 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.session import scratch_path
 
-#: Bands that the distinct amounts of a group are cut into.
-BANDS = 64
 
-
-def rank_descending(df: DataFrame, keys: Sequence[str], amount: str, name: str, bands: int = BANDS) -> DataFrame:
+def rank_descending(df: DataFrame, keys: Sequence[str], amount: str, name: str, parts: int | None = None) -> DataFrame:
     """Add ``rank() over (partition by keys order by amount desc)``, nulls last.
 
-    A plain window sorts a whole group in one task. Here equal amounts are counted first. The
-    distinct amounts of each group are cut at their own quantiles, so that a band holds about
-    1/``bands`` of them however narrow their range is; the counts are summed per band, only the amounts inside
-    a band are sorted, and the number of rows in higher bands is added from a table with one row
-    per group and band. Quantiles are merged on the map side and approximate, which moves the cuts but not
-    the ranks.
+    A plain window sorts a whole group in one task. Here equal amounts are counted first, and the distinct ones are
+    cut into ``parts`` ranges of one order over all groups (by default as many as shuffles have), written with the number of their
+    range. A range holds about the same number of amounts whether they are of one group or of many. Ranks count up inside
+    of a range, and the rows of a group in earlier ranges are added from a table with one row per group and range.
     """
-    keys = list(keys)
+    keys, spark = list(keys), df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = df.groupBy(*keys, amount).agg(F.count("*").alias("n_rows"))
-    shares = [i / bands for i in range(1, bands)]
-    cuts = counted.groupBy(*[F.col(k).alias(f"cut_{k}") for k in keys]).agg(
-        F.percentile_approx(amount, shares, 20 * bands).alias("cuts")
-    )
-    above = F.size(F.filter("cuts", lambda cut: cut < F.col(amount)))
-    counted = counted.join(cuts, _same(keys, [f"cut_{k}" for k in keys]), "inner").select(
-        *keys, amount, "n_rows", F.when(F.col(amount).isNull(), -1).otherwise(above).alias("band")
-    )
+    order = [*[F.asc(k) for k in keys], F.desc(amount)]
+    # The ranges are drawn anew whenever the plan is run, so the numbers of one run are kept.
+    path = scratch_path(spark, "ranges")
+    counted.repartitionByRange(parts, *order).withColumn("range_no", F.spark_partition_id()).write.parquet(path)
+    held = spark.read.parquet(path)
     before = Window.unboundedPreceding
+    of_group = Window.partitionBy(*[f"range_{k}" for k in keys]).orderBy("of_range").rowsBetween(before, -1)
     sums = (
-        counted.groupBy(*[F.col(k).alias(f"band_{k}") for k in keys], F.col("band").alias("band_no"))
-        .agg(F.sum("n_rows").alias("band_rows"))
-        .withColumn(
-            "rows_above",
-            F.sum("band_rows").over(
-                Window.partitionBy(*[f"band_{k}" for k in keys]).orderBy(F.desc("band_no")).rowsBetween(before, -1)
-            ),
-        )
+        held.groupBy(*[F.col(k).alias(f"range_{k}") for k in keys], F.col("range_no").alias("of_range"))
+        .agg(F.sum("n_rows").alias("range_rows"))
+        .withColumn("rows_above", F.sum("range_rows").over(of_group))
     )
-    in_band = Window.partitionBy(*keys, "band").orderBy(F.desc(amount)).rowsBetween(before, -1)
+    in_range = Window.partitionBy(*keys, "range_no").orderBy(F.desc(amount)).rowsBetween(before, -1)
     ranks = (
-        counted.withColumn("rows_before", F.sum("n_rows").over(in_band))
-        .join(sums, _same([*keys, "band"], [*[f"band_{k}" for k in keys], "band_no"]), "inner")
+        held.withColumn("rows_before", F.sum("n_rows").over(in_range))
+        .join(sums, _same([*keys, "range_no"], [*[f"range_{k}" for k in keys], "of_range"]), "inner")
         .select(
             *[F.col(k).alias(f"rank_{k}") for k in keys],
             F.col(amount).alias("rank_amount"),

@@ -142,11 +142,11 @@ class RunReport:
     status: str = "nothing"
 
 
-def load_dimensions(spark: SparkSession, database: Database, layout: Layout) -> Dimensions:
+def load_dimensions(spark: SparkSession, database: Database, layout: Layout, rows_per_task: int = 1_000_000) -> Dimensions:
     """Copy the dimension tables to the store, a large one in key ranges, and go on with the copy."""
 
     def copy(table: str, key: str) -> DataFrame:
-        source = read_table(spark, database.url, table, database.properties, key=key)
+        source = read_table(spark, database.url, table, database.properties, key=key, rows_per_task=rows_per_task)
         return keep_table(source, f"{layout.folder('dimensions')}/{table}")
 
     return Dimensions(

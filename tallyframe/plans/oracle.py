@@ -253,6 +253,12 @@ SELECT customer_id, first_name || ' ' || NULLIF(last_name, 'BUILDING') AS full_n
         "sales_person_month_total": f"WITH {_TOTALS} SELECT * FROM totals",
         "sales_rank": f"WITH {_TOTALS} SELECT * FROM ranked",
         "sales_mart": _SALES_MART,
+        "database_marts": _SALES_MART,
+        "run_stamps": """SELECT user_id, event_type, strftime(MIN(ts), '%Y-%m-%d %H:%M:%S') AS run_timestamp,
+       CAST(floor(epoch_ms(MIN(ts)) / 1000) AS BIGINT) * 1000 AS run_epoch_ms
+FROM events GROUP BY 1, 2""",
+        "empty_feed": f"""WITH {_LINES}
+SELECT {_CONTRACT}, payment_mode AS additional_column FROM lines""",
         "top_seller": f"""WITH {_TOTALS}
 SELECT store_id, sales_person_id, full_name, sales_month, total_sales,
        CAST(total_sales * 0.01 AS DECIMAL(18,4)) AS incentive

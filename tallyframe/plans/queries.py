@@ -8,13 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.functions import base_name, fold_columns, full_name, month_of, strip_store
+from tallyframe.functions import base_name, fold_columns, full_name, month_of, run_epoch_ms, run_timestamp, strip_store
 from tallyframe.operators import dimensions as dims
 from tallyframe.operators import ledger, marts
 from tallyframe.operators.conform import accepted_rows, conform, header_groups, parse_files, rejected_rows
-from tallyframe.operators.contract import check_files
+from tallyframe.operators.contract import bad_files, check_files
 from tallyframe.operators.metrics import load_metrics
-from tallyframe.plans.batch import Layout, read_mart, run_batch, stored_fact
+from tallyframe.plans.batch import Database, Layout, load_dimensions, read_mart, run_batch, stored_fact
 from tallyframe.plans.landing import land, land_as, land_feeds, regional_lines
 from tallyframe.plans.tables import (
     FACT_ORDER,
@@ -370,10 +370,8 @@ def customer_mart_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales mart to a database table and back.
-
-    ``TALLYFRAME_JDBC_URL`` and ``TALLYFRAME_JDBC_DRIVER`` name the database. Without them a local
+def _database(spark: SparkSession) -> tuple[str, dict[str, str]]:
+    """``TALLYFRAME_JDBC_URL`` and ``TALLYFRAME_JDBC_DRIVER`` name the database. Without them a local
     session uses the embedded in-memory one that ships with Spark. Only the process itself sees
     that one, so a session on a cluster has to name a database that all executors reach.
     """
@@ -385,7 +383,36 @@ def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark._jvm.java.lang.System.setProperty("derby.stream.error.file", os.devnull)
         url = "jdbc:derby:memory:tallyframe;create=true"
         driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
-    properties = {"driver": driver} if driver else {}
+    return url, {"driver": driver} if driver else {}
+
+
+def database_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales mart over dimensions that are loaded from a database, each in key ranges of equal numbers of rows."""
+    url, properties = _database(spark)
+    database = Database(url, properties, "query_customer", "query_store", "query_sales_team")
+    stored = dimensions(spark, sf_dir)
+    for frame, name in ((stored.customer, database.customer_table), (stored.store, database.store_table), (stored.sales_team, database.sales_team_table)):
+        replace_table(frame, url, name, properties)
+    loaded = load_dimensions(spark, database, Layout(scratch_path(spark, "store")), rows_per_task=500)
+    return marts.sales_mart(star(spark, sf_dir)[0], loaded.customer, loaded.store, loaded.sales_team)
+
+
+def run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stamps of runs that begin with the first event of each kind and user."""
+    runs = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("user_id", "event_type").agg(F.min("ts").alias("begin"))
+    return runs.select("user_id", "event_type", run_timestamp(F.col("begin")).alias("run_timestamp"), run_epoch_ms(F.col("begin")).alias("run_epoch_ms"))
+
+
+def empty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery of which only the bad files come is an empty fact of the same layout, to which the next one is added."""
+    nothing = conform(spark, bad_files(check_files(list_files(spark, land_feeds(spark, sf_dir)))))
+    feed = sales_lines(spark, sf_dir).select(*FACT_ORDER, "payment_mode")
+    return nothing.unionByName(conform(spark, check_files(list_files(spark, land(feed, scratch_path(spark, "landing"))))))
+
+
+def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales mart to a database table and back."""
+    url, properties = _database(spark)
     rows = marts.sales_mart(*star(spark, sf_dir))
     months = [r[0] for r in rows.select("sales_month").distinct().collect()]
     # The first months come by an append, and are replaced together with all others by what holds.
@@ -439,4 +466,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "partitioned_snapshot": partitioned_snapshot,
         "customer_mart_roundtrip": customer_mart_roundtrip,
         "jdbc_roundtrip": jdbc_roundtrip,
+        "database_marts": database_marts,
+        "run_stamps": run_stamps,
+        "empty_feed": empty_feed,
     }

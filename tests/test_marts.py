@@ -190,16 +190,16 @@ def test_repeated_keys(spark):
     assert as_text(repeated_keys(df, "id")) == [("2", "2")]
 
 
-def test_rank_of_a_group_in_one_narrow_range(spark):
-    """Half a million amounts between 1,000,000.00 and 1,005,000.00: no band gets more than a share of them."""
+def test_rank_of_a_group_in_one_narrow_range(spark, monkeypatch, tmp_path):
+    """One group of 50,000 amounts between 1,000,000.00 and 1,005,000.00 is spread evenly over all ranges."""
     from pyspark.sql import functions as F
 
-    from tallyframe.operators.ranking import BANDS, rank_descending
+    from tallyframe.operators import ranking
 
+    monkeypatch.setattr(ranking, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
     df = spark.range(60_000).selectExpr("1L as store", "cast(1000000 + (id * 7919 % 50000) / 10 as decimal(18,2)) as total")
-    ranked = rank_descending(df, ["store"], "total", "rnk")
+    ranked = ranking.rank_descending(df, ["store"], "total", "rnk", parts=16)
     plain = df.withColumn("rnk", F.expr("rank() over (partition by store order by total desc)"))
     assert ranked.exceptAll(plain).isEmpty() and ranked.count() == 60_000
-    cuts = df.select("total").distinct().agg(F.percentile_approx("total", [i / BANDS for i in range(1, BANDS)], 20 * BANDS)).first()[0]
-    counts = df.select("total").distinct().select(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("total"))).alias("band")).groupBy("band").count()
-    assert counts.agg(F.max("count")).first()[0] < 2 * 50_000 / BANDS
+    sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/ranges").groupBy("range_no").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 50_000 / 16

@@ -2,6 +2,7 @@ import os
 
 import pytest
 from helpers import as_text, frame
+from pyspark.sql import functions as F
 
 from tallyframe.operators.metrics import load_metrics
 from tallyframe.sinks.files import (
@@ -91,3 +92,16 @@ def test_database_roundtrip(spark, tmp_path):
 def test_load_metrics(spark):
     df = frame(spark, [(1, None), (2, "x"), (None, None)], "a long, b string")
     assert as_text(load_metrics(df)) == [("a", "3", "1"), ("b", "3", "2")]
+
+
+def test_key_ranges_of_a_key_with_gaps_are_even(spark):
+    """Half of the keys lie in one thousandth of their range, some rows have no key."""
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", os.devnull)
+    url = "jdbc:derby:memory:gaps;create=true"
+    rows = spark.range(2000).selectExpr("case when id % 100 = 7 then null when id < 1000 then id else id * 1000000 end as k", "id")
+    rows.write.jdbc(url, "gaps", mode="overwrite", properties=DERBY)
+    read = read_table(spark, url, "gaps", DERBY, key="k", rows_per_task=250)
+    sizes = read.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) <= 270
+    assert read.agg(F.count_distinct("id")).first()[0] == read.count() == 2000
+    assert read_table(spark, url, "gaps", DERBY, key="k", rows_per_task=250, max_tasks=3).count() == 2000
