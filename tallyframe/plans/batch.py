@@ -361,12 +361,14 @@ def publish_stored(
 
 def export_months(spark: SparkSession, layout: Layout, database: Database, months: list[str | None]) -> None:
     """Bring the given months of the mart tables to the state of the files. Files are the truth: a failed
-    export is made good by calling this again."""
+    export is made good by calling this again, and one that comes late leaves what a later state has brought."""
+    log = store_log(spark, layout)
     for name, table, month in (
         ("customer_mart", database.customer_mart_table, "sales_date_month"),
         ("sales_mart", database.sales_mart_table, "sales_month"),
     ):
-        replace_months(read_mart(spark, layout, name), database.url, table, database.properties, month, months)
+        rows = read_mart(spark, layout, name, log)
+        replace_months(rows, database.url, table, database.properties, month, months, token=log.seq)
 
 
 def close_run(spark: SparkSession, layout: Layout, run: int, log: Log, lines: list[Line]) -> bool:
@@ -403,11 +405,12 @@ def read_base_rows(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return rows.select(*base(rows).columns, "run_epoch_ms")
 
 
-def read_mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+def read_mart(spark: SparkSession, layout: Layout, name: str, log: Log | None = None) -> DataFrame:
     """A published mart with its columns in mart order."""
     columns = {"customer_mart": CUSTOMER_MART, "sales_mart": SALES_MART}[name]
     layout_of, root = T.StructType.fromDDL(columns), layout.folder(name)
-    return _read(spark, layout_of, store_log(spark, layout).newest(name), root).select(*layout_of.names)
+    newest = (log or store_log(spark, layout)).newest(name)
+    return _read(spark, layout_of, newest, root).select(*layout_of.names)
 
 
 def run_batch(

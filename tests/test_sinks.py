@@ -12,7 +12,7 @@ from tallyframe.sinks.files import (
     write_partitioned,
     write_snapshot,
 )
-from tallyframe.sinks.jdbc import append_table, replace_table
+from tallyframe.sinks.jdbc import append_table, replace_months, replace_table
 from tallyframe.sources.jdbc import keep_table, read_table
 
 
@@ -105,3 +105,25 @@ def test_key_ranges_of_a_key_with_gaps_are_even(spark):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) <= 270
     assert read.agg(F.count_distinct("id")).first()[0] == read.count() == 2000
     assert read_table(spark, url, "gaps", DERBY, key="k", rows_per_task=250, max_tasks=3).count() == 2000
+
+
+def test_an_export_that_comes_late_takes_nothing_back(spark):
+    spark._jvm.java.lang.System.setProperty("derby.stream.error.file", os.devnull)
+    url = "jdbc:derby:memory:fence;create=true"
+
+    def export(token, *rows):
+        df = frame(spark, rows, "month string, total long")
+        return replace_months(df, url, "mart", DERBY, "month", [r[0] for r in rows], token)
+
+    def state():
+        return as_text(spark.read.jdbc(url, "mart", properties=DERBY))
+
+    assert export(5, ("2023-03", 10), (None, 3)) == ["2023-03", None]
+    # The older state comes after the newer one: only the month that the newer one has not touched is taken.
+    assert export(4, ("2023-03", 1), (None, 2), ("2023-04", 7)) == ["2023-04"]
+    assert state() == [(None, "3"), ("2023-03", "10"), ("2023-04", "7")]
+    assert export(5, ("2023-03", 10)) == ["2023-03"] and export(6, ("2023-04", 8)) == ["2023-04"]
+    assert state() == [(None, "3"), ("2023-03", "10"), ("2023-04", "8")]
+    # No staging table is left.
+    tables = spark.read.jdbc(url, "(SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLETYPE = 'T') t", properties=DERBY)
+    assert sorted(r[0] for r in tables.collect()) == ["MART", "MART_EXPORTS"]
