@@ -18,6 +18,8 @@ from tallyframe.llm.secrets import joined, spans_sql
 SPAN = "kind string, start int, end int, text string, score double"
 #: Code points on each side in which a context word counts.
 NEARBY = 40
+#: Elements that are summed in one walk, and code points of a page of text.
+PIECE, PAGE = 256, 1024
 
 
 @dataclass(frozen=True)
@@ -70,26 +72,66 @@ KINDS = (
 BASE = [k.name for k in KINDS[:4]]
 
 
+def held_as(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, also where ``use`` names it for every element of an array."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running_sums(widths: Column) -> Column:
+    """The sum up to each place of a non-empty array.
+
+    Sums inside of pieces, then sums of the pieces: an array that grows by one element is copied each time, so one
+    walk over all of them would cost the square of their number.
+    """
+
+    def inside(piece: Column) -> Column:
+        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("sums"))
+        add = lambda acc, w: F.struct((acc["at"] + w).alias("at"), F.concat(acc["sums"], F.array(acc["at"] + w)).alias("sums"))
+        return F.aggregate(piece, empty, add, lambda acc: acc["sums"])
+
+    def pieces(all_widths: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(all_widths) - 1) / PIECE).cast("int"))
+        return F.transform(numbers, lambda n: inside(F.slice(all_widths, n * PIECE + 1, PIECE)))
+
+    def whole(sums: Column) -> Column:
+        before = inside(F.transform(sums, lambda piece: F.element_at(piece, -1)))
+        shifted = lambda held: F.transform(sums, lambda piece, n: F.transform(piece, lambda x: x + F.when(n > 0, F.get(held, n - 1)).otherwise(0)))
+        return F.flatten(held_as(before, shifted))
+
+    return held_as(widths, lambda w: held_as(pieces(w), whole))
+
+
 def spans_of(text: Column, kind: Kind) -> Column:
-    """The confirmed spans of one kind, in order of their start."""
+    """The confirmed spans of one kind, in order of their start; the work grows with the text, whatever it matches."""
     empty = F.array().cast(f"array<struct<{SPAN}>>")
-    steps = F.arrays_zip(
-        F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("match"), F.split(text, kind.pattern, -1).alias("before")
-    )
-
-    def step(acc: Column, x: Column) -> Column:
-        match = x["match"]
-        start = acc["at"] + F.length(x["before"])
-        end = start + F.coalesce(F.length(match), F.lit(0))
-        near = F.lower(F.substr(text, F.greatest(start - NEARBY + 1, F.lit(1)), end - start + 2 * NEARBY))
-        score = F.when(near.rlike("|".join(kind.words)), kind.score + 0.3).otherwise(kind.score)
-        span = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"), match.alias("text"), score.alias("score"))
-        spans = F.when(match.isNotNull() & kind.confirms(match), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
 
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-    found = F.aggregate(steps, start, step, lambda acc: acc["spans"])
-    return found if kind.sign is None else F.when(text.contains(kind.sign), found).otherwise(empty)
+    def scored(pages: Column, found: Column) -> Column:
+        """A span's score from the words near it, which are cut from the pages of the text that hold them."""
+        first = F.greatest(found["end"] - F.length(found["match"]) - NEARBY, F.lit(0))
+        count = F.length(found["match"]) + 2 * NEARBY
+        page, last = F.floor(first / PAGE).cast("int"), F.floor((first + count - 1) / PAGE).cast("int")
+        near = F.lower(F.substr(F.array_join(F.slice(pages, page + 1, last - page + 1), ""), first - page * PAGE + 1, count))
+        score = F.when(near.rlike("|".join(kind.words)), kind.score + 0.3).otherwise(kind.score)
+        start = found["end"] - F.length(found["match"])
+        return F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), found["end"].alias("end"), found["match"].alias("text"), score.alias("score"))
+
+    def placed(matches: Column) -> Column:
+        """Matches that pass the check, with their ends: a match and the text before it are as wide as both."""
+        gaps = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(matches))
+        ends = running_sums(F.zip_with(gaps, matches, lambda g, m: F.length(g) + F.length(m)))
+        found = F.zip_with(ends, matches, lambda e, m: F.struct(e.alias("end"), m.alias("match")))
+        return F.filter(found, lambda x: kind.confirms(x["match"]))
+
+    def spans(found: Column) -> Column:
+        pages = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{PAGE}}}+"), F.lit(0))
+        whole = held_as(pages, lambda held: F.transform(found, lambda x: scored(held, x)))
+        return F.when(F.size(found) > 0, whole).otherwise(empty)
+
+    def of_matches(matches: Column) -> Column:
+        return F.when(F.size(matches) > 0, held_as(placed(matches), spans)).otherwise(empty)
+
+    whole = held_as(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), of_matches)
+    return whole if kind.sign is None else F.when(text.contains(kind.sign), whole).otherwise(empty)
 
 
 def find_personal_data(docs: DataFrame, text: str, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:

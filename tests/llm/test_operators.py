@@ -4,6 +4,7 @@ import gzip
 import io
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -265,6 +266,31 @@ def test_personal_data_scores_and_checksums(make):
     assert all(text[s["start"] : s["end"]] == s["text"] for s in spans)
 
 
+def test_personal_data_of_many_matches_equals_a_plain_walk(make):
+    rng = random.Random(3)
+    words = ["mail", "x", "\U0001F600", "1.2.3.4", "login", "999.1.1.1", "contact", "é" * 30]
+    texts = [" ".join(rng.choice([f"u{i}@ex{i % 7}.org", rng.choice(words)]) for i in range(n)) for n in (1, 40, 700, 3000)]
+    found = pii.find_personal_data(make(DOCS, list(enumerate(texts))), "text").collect()
+    ip = lambda m: all(int(x) <= 255 for x in m.split("."))
+    for row in found:
+        text, want = texts[row["row"]["doc_id"]], []
+        for kind, pattern, passes in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", bool), ("ip", r"[0-9]+(?:\.[0-9]+){3}", ip)):
+            hints, base = next((k.words, k.score) for k in pii.KINDS if k.name == kind)
+            for m in re.finditer(pattern, text):
+                if passes(m[0]):
+                    first = max(m.start() - pii.NEARBY, 0)
+                    near = text[first : first + len(m[0]) + 2 * pii.NEARBY].lower()
+                    want.append((kind, m.start(), m.end(), m[0], round(base + 0.3 * any(w in near for w in hints), 1)))
+        assert [(s["kind"], s["start"], s["end"], s["text"], round(s["score"], 1)) for s in row["spans"] if s["kind"] in ("email", "ip")] == want
+
+
+def test_personal_data_of_a_text_with_100_000_matches(make):
+    text = " ".join(f"u{i}@ex{i % 7}.org" for i in range(100_000))
+    began = time.monotonic()
+    spans = pii.find_personal_data(make(DOCS, [(1, text)]), "text").select(pii.F.size("spans"), pii.F.element_at("spans", -1)["end"]).first()
+    assert tuple(spans) == (100_000, len(text)) and time.monotonic() - began < 60
+
+
 def test_native_operators_run_no_python(spark, capsys):
     for query in (mixing.op1_mix_sources, pii.op8_personal_data):
         query(spark, SF).explain()
