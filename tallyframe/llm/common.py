@@ -32,6 +32,14 @@ def sampled(rows: DataFrame, place: Column, wanted: int, total: int) -> DataFram
     return rows.where(place < F.lit(int(-(2**63) + 2**64 * (1.2 * wanted / total))))
 
 
+def spread(files: DataFrame, order: str, size: str, per_task: int) -> DataFrame:
+    """A list of files, one per row, over as many tasks as their bytes warrant, and not more than there are files.
+
+    The number is stated, as adaptive execution would merge rows of a few KB into one task whatever they stand for."""
+    count, total = files.agg(F.count("*"), F.sum(size)).first()
+    return files.repartitionByRange(max(1, min(count, -(-(total or 0) // per_task))), order)
+
+
 def task_files(folder: str):
     """The file system of a shared folder as tasks see it, and the folder's path in it."""
     from pyarrow import fs

@@ -27,13 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import table, task_files
+from tallyframe.llm.common import spread, table, task_files
 from tallyframe.session import scratch_path
 
 #: Ids per block, compression level, the vocabulary and the id that ends a document.
 BLOCK, LEVEL, END_ID = 1 << 16, 3, 2
 #: Pieces that an encoder remembers before it starts anew: bounds the memory of a worker.
 REMEMBERED = 600_000
+#: Bytes of shards that one task reads back, as far as whole files allow.
+READ_BYTES = 4 << 20
 MAGIC = b"PLN1"
 # The texts and words of Latin-1 for which any library agrees on letters and digits, and how the
 # vocabulary's own pattern cuts such a word.
@@ -268,7 +270,7 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
     """Every document of the shards: ``doc_id``, ``start`` (ids of all documents before it), ``n_tokens``, ``ids``."""
     # One row per shard: its ids' sum is known from the manifest.
     before = F.coalesce(F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = manifest.select("file", before.cast("long").alias("start")).repartition(F.col("file"))
+    placed = spread(manifest.select("file", "bytes", before.cast("long").alias("start")), "file", "bytes", READ_BYTES)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
