@@ -69,7 +69,8 @@ def scan(versions: DataFrame, path: list[str], content: str, ledger: str, rules:
 
     ``ledger`` is a Parquet table in shared storage; it is made when missing, and appended to. A second
     call scans only contents and rule versions that are new. Null content counts as empty. Repeated rows
-    and equal contents share a blob; null paths are kept. An empty table gives no rows.
+    and equal contents share a blob; a content is scanned once, or once in each task where rows that repeat its path
+    and content too lie in several. Null paths are kept. An empty table gives no rows.
     """
     spark = versions.sparkSession
     blob = F.sha2(F.coalesce(F.col("content"), F.lit("")).cast("binary"), 256)
@@ -91,8 +92,12 @@ def scan(versions: DataFrame, path: list[str], content: str, ledger: str, rules:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = {(r.kind, r.version): (k, r, re.compile(r.pattern, re.ASCII)) for k, r in enumerate(rules)}
+        met = set()
         for batch in batches:
-            blobs, todo, texts = (batch.column(c) for c in ("blob", "todo", "content"))
+            # Rows that repeat path and content meet in one task, unless it is split for their number.
+            names = batch.column("blob").to_pylist()
+            new = [i for i, name in enumerate(names) if name not in met and not met.add(name)]
+            blobs, todo, texts = (batch.column(c).take(pa.array(new, pa.int64())) for c in ("blob", "todo", "content"))
             spans, done = [], todo.to_pylist()
             for pairs, text in zip(done, texts, strict=True):
                 chosen = [ready[p["kind"], p["version"]] for p in pairs]
