@@ -90,8 +90,8 @@ def nearest(vectors: DataFrame, vec_id: str, vector: str, is_query, k: int = 10,
 
     The forest is fitted on ``FIT_ROWS`` rows at most, chosen by hash; every row is indexed. A query ascends until its
     trees hold ``max(least, share * rows)`` entries together. Vectors null, zero or with a null or non-finite
-    component take no part, nor do rows without id, nor those of another length than the first by id order of the
-    sample. Ids are unique by contract; rows that repeat an id are not each other's neighbours. Fewer rows
+    component take no part, nor do rows without id, nor those of another length than the most frequent one (the
+    smaller of two that are). Ids are unique by contract; rows that repeat an id are not each other's neighbours. Fewer rows
     than ``k`` give all of them; no row gives none.
 
     Queries go in blocks of bounded size to all shards, so identical vectors, however many, meet in no task: a
@@ -101,15 +101,17 @@ def nearest(vectors: DataFrame, vec_id: str, vector: str, is_query, k: int = 10,
     rows = vectors.select(vectors[vec_id].cast("long").alias("vec_id"), vectors[vector].cast("array<double>").alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable())
     schema = "query_id long, vec_id long, score double"
-    place, held = F.xxhash64("vec_id"), rows.count()
-    sample = sampled(rows, place, FIT_ROWS, held).orderBy(place, "vec_id").limit(FIT_ROWS).collect()
-    if not sample:
+    lengths = rows.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("held"))
+    most = lengths.orderBy(F.col("held").desc(), "length").first()
+    if most is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim = len(sample[0]["vector"])
-    rows = rows.where(F.size("vector") == dim)
-    forest = spark.sparkContext.broadcast(Forest(np.array([r["vector"] for r in sample if len(r["vector"]) == dim])))
+    total = most["held"]
+    rows = rows.where(F.size("vector") == most["length"])
+    place = F.xxhash64("vec_id")
+    sample = sampled(rows, place, FIT_ROWS, total).orderBy(place, "vec_id").limit(FIT_ROWS).collect()
+    forest = spark.sparkContext.broadcast(Forest(np.array([r["vector"] for r in sample])))
     queries = rows.where(is_query(F.col("vec_id")))
-    total, asked = rows.agg(F.count("*"), F.count(F.when(is_query(F.col("vec_id")), 1))).first()
+    asked = queries.count()
     enough, blocks = max(least, int(share * total)), max(1, -(-asked // BLOCK))
     parts = []
     for b in range(blocks):
