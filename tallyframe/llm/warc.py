@@ -1,8 +1,9 @@
 """WARC archives: sorted by id, rolled by compressed size, committed through names and manifests.
 
-A shard is one range of record ids. Its task writes records in order, each a gzip member of its own,
-closes a file when it has grown to the given size, and gives files their final name only once they are
-whole. What belongs to the archive is what the manifest table lists; files of lost attempts have
+A shard is one range of record ids. Where ranges end follows from the rows alone: from a histogram of the records
+that a hash of their key chooses, so another run, cluster or partitioning gives the same shards and files. A shard's
+task writes records in order, each a gzip member of its own, closes a file when it has grown to the given size, and
+gives files their final name only once they are whole. What belongs to the archive is what the manifest table lists; files of lost attempts have
 temporary names, or are replaced by equal ones.
 """
 
@@ -13,22 +14,27 @@ import hashlib
 import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import table, task_files, written
+from tallyframe.llm.common import sampled, spread, table, task_files, written
 from tallyframe.session import scratch_path
 
 #: Compressed bytes at which a file is closed, and payload bytes from which equal ones are kept once.
 ROLL_BYTES, SHARED_BYTES = 64 << 20, 100
+#: Payload bytes of a shard, shards at most (each grows beyond that), records of the histogram per shard, and bytes of
+#: files that one task reads back.
+SHARD_BYTES, MOST_SHARDS, PER_SHARD, READ_BYTES = 64 << 20, 50_000, 20, 4 << 20
 #: The profile of a revisit, the date of all records unless the caller names one.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
+BOUNDS = "shard int, record_id long, payload_digest string"
 MANIFEST = "shard int, file string, records long, bytes long, sha256 string"
 RECORD = "record_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
@@ -95,22 +101,54 @@ def write_rolled(records: Iterable[bytes], folder: str, shard: int, roll_bytes:
         yield close()
 
 
-def write_archive(pages: DataFrame, folder: str, record_id: str, url: str, payload: str, roll_bytes=ROLL_BYTES, shared=SHARED_BYTES, date=DATE) -> DataFrame:
-    """Write one record per row below ``folder``; gives the manifest, which is kept beside the files.
+def bounds_of(keys: DataFrame, shard_bytes: int) -> list[tuple[int | None, str]]:
+    """The first key (id, digest) of every shard but the first, in order, nulls last.
+
+    ``keys`` has ``record_id``, ``payload_digest`` and ``payload_bytes`` of every record. Of all keys those with the
+    smallest hashes are taken, ``1.2 * PER_SHARD`` for each shard, and cut where their bytes come to a shard's part.
+    At most 1.2 million keys reach the driver.
+    """
+    rows, total = keys.agg(F.count("*"), F.sum("payload_bytes")).first()
+    shards = min(MOST_SHARDS, -(-(total or 0) // shard_bytes))
+    if shards < 2:
+        return []
+    key = ["record_id", "payload_digest"]
+    chosen = sampled(keys, F.xxhash64(*key), PER_SHARD * shards, rows).groupBy(*key).agg(F.sum("payload_bytes").alias("size")).collect()
+    chosen.sort(key=lambda r: place_of(r["record_id"], r["payload_digest"]))
+    whole, before, bounds = sum(r["size"] for r in chosen), 0, []
+    for row in chosen:
+        if before * shards >= (len(bounds) + 1) * whole:
+            bounds.append((row["record_id"], row["payload_digest"]))
+        before += row["size"]
+    return bounds
+
+
+def place_of(record_id: int | None, digest: str) -> tuple:
+    """What records are ordered by: ids, nulls last, then digests."""
+    return record_id is None, record_id or 0, digest
+
+
+def write_archive(
+    pages: DataFrame, folder: str, record_id: str, url: str, payload: str, roll_bytes=ROLL_BYTES, shared=SHARED_BYTES, date=DATE, shard_bytes=SHARD_BYTES
+) -> DataFrame:
+    """Write one record per row below ``folder``; gives the manifest, which is kept beside the files, as are the bounds
+    of the shards.
 
     Of rows with equal payloads of at least ``shared`` bytes, those with the smallest id hold the
     payload, others revisit it. Null payloads count as empty. Null ids come last and refer to the smallest id
     there is; where there is none, all of them hold the payload. A repeated row is written again, like any
     row, with the same record id. A null url leaves its header out; an empty table gives an archive of no files.
+    Equal tables give equal files. Records of one id and payload are in one shard.
     """
     spark = pages.sparkSession
     rows = pages.select(
         pages[record_id].cast("long").alias("record_id"), pages[url].alias("url"),
         F.coalesce(pages[payload], F.lit("")).cast("binary").alias("payload"),
     ).select("*", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"))
+    keys = written(rows.select("record_id", "payload_digest", "payload_bytes"), "warc-keys")
     # Digests meet, not payloads; only those that occur more than once go back to the rows.
     first = (
-        rows.where(F.col("payload_bytes") >= shared)
+        keys.where(F.col("payload_bytes") >= shared)
         .groupBy(F.col("payload_digest").alias("digest"))
         .agg(F.min("record_id").alias("first_id"), F.count("*").alias("times"))
         .where(F.col("times") > 1)
@@ -122,24 +160,38 @@ def write_archive(pages: DataFrame, folder: str, record_id: str, url: str, paylo
         "record_id", "url", F.when(~revisit, F.col("payload")).alias("payload"), "payload_bytes", "payload_digest",
         F.when(revisit, F.col("first_id")).alias("refers_to"), revisit.alias("revisit"),
     )
-    order = [F.col("record_id").asc_nulls_last(), F.col("payload_digest").asc(), F.col("url").asc()]
-    ranged = records.repartitionByRange(*order).sortWithinPartitions(*order)
+    bounds = bounds_of(keys, shard_bytes)
+    spark.createDataFrame([(n, *key) for n, key in enumerate(bounds, 1)], BOUNDS).write.parquet(f"{folder}/bounds")
+    places = spark.sparkContext.broadcast([place_of(*key) for key in bounds])
+
+    @F.arrow_udf("int")
+    def shard_of(ids: pa.Array, digests: pa.Array) -> pa.Array:
+        held = zip(ids.to_pylist(), digests.to_pylist(), strict=True)
+        return pa.array([bisect_right(places.value, place_of(*key)) for key in held], pa.int32())
+
+    order = [F.col("shard").asc(), F.col("record_id").asc_nulls_last(), F.col("payload_digest").asc(), F.col("url").asc()]
+    dealt = records.select("*", shard_of("record_id", "payload_digest").alias("shard")).repartitionById(len(bounds) + 1, "shard")
+    ranged = dealt.sortWithinPartitions(*order)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def packed():
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    row = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
-                    yield record_bytes(
-                        row["record_id"], row["url"], row["payload"], row["payload_bytes"], row["payload_digest"],
-                        row["refers_to"], row["revisit"], date,
-                    )
-
-        for entry in write_rolled(packed(), folder, TaskContext.get().partitionId(), roll_bytes):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([entry[0]], pa.int32()), pa.array([entry[1]]), pa.array([entry[2]]), pa.array([entry[3]]), pa.array([entry[4]])],
-                ["shard", "file", "records", "bytes", "sha256"],
-            )
+        rows = (
+            {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
+            for batch in batches
+            for i in range(batch.num_rows)
+        )
+        for shard, held in groupby(rows, lambda row: row["shard"]):
+            packed = (
+                record_bytes(
+                    row["record_id"], row["url"], row["payload"], row["payload_bytes"], row["payload_digest"],
+                    row["refers_to"], row["revisit"], date,
+                )
+                for row in held
+            )
+            for entry in write_rolled(packed, folder, shard, roll_bytes):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([entry[0]], pa.int32()), pa.array([entry[1]]), pa.array([entry[2]]), pa.array([entry[3]]), pa.array([entry[4]])],
+                    ["shard", "file", "records", "bytes", "sha256"],
+                )
 
     ranged.mapInArrow(write, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
@@ -172,8 +224,7 @@ def read_archive(manifest: DataFrame, folder: str, payloads: bool = True) -> Dat
                 with files.open_input_stream(f"{path}/{name}", compression=None) as stream:
                     yield from _batches(read_records(stream), payloads)
 
-    # One file per task at a time; files are of bounded size.
-    return manifest.select("file").repartition(F.col("file")).mapInArrow(read, RECORD)
+    return spread(manifest.select("file", "bytes"), "file", "bytes", READ_BYTES).mapInArrow(read, RECORD)
 
 
 def _batches(records: Iterator[tuple[dict, bytes]], payloads: bool, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -126,6 +126,26 @@ def test_recall_of_neighbours(spark):
     assert hits >= 0.9 * 10 * len(found)
 
 
+def test_neighbours_of_ragged_vectors(make):
+    rng = np.random.default_rng(2)
+    rows = [(i, list(rng.standard_normal(8))) for i in range(300)] + [(1000 + i, [1.0] * 300) for i in range(9)] + [(2000, [1.0])]
+    got = neighbours.nearest(make("vec_id:long vector:vector", rows), "vec_id", "vector", lambda i: i % 100 == 0, k=10).collect()
+    assert len(got) == 30 and {r["query_id"] for r in got} == {0, 100, 200} and max(r["vec_id"] for r in got) < 300
+
+
+def test_recall_by_the_share_of_rows_alone(make):
+    rng = np.random.default_rng(6)
+    vectors = (rng.standard_normal((200, 16))[rng.integers(0, 200, 20_000)] * 3 + rng.standard_normal((20_000, 16))).astype(np.float32)
+    rows = make("vec_id:long vector:vector", list(enumerate(vectors.tolist())))
+    got = neighbours.nearest(rows, "vec_id", "vector", lambda i: i % 400 == 0, k=10, least=0).collect()
+    true, exact = 0, vectors.astype(float)
+    for q in range(0, 20_000, 400):
+        distance = ((exact - exact[q]) ** 2).sum(1)
+        distance[q] = np.inf
+        true += len(set(np.argsort(distance)[:10]) & {r["vec_id"] for r in got if r["query_id"] == q})
+    assert len(got) == 500 and true / 500 >= 0.9
+
+
 def test_neighbours_of_identical_vectors(make):
     rows = [(i, [1.0, 2.0, 0.5]) for i in range(3000)] + [(5000 + i, [float(i), 1.0, 1.0]) for i in range(20)]
     found = neighbours.nearest(make("vec_id:long embedding:vector", rows), "vec_id", "embedding", lambda i: i == 2000, k=5).collect()
@@ -242,6 +262,47 @@ def test_archive_round_trip_and_reruns(spark, make, tmp_path):
     assert gzip.GzipFile(fileobj=io.BytesIO(data)).readline() == b"WARC/1.1\r\n"
 
 
+def pages_of(spark, rows, parts):
+    made = spark.range(rows).repartition(parts)
+    page = warc.F.concat(warc.F.lit("<p>"), warc.F.repeat(warc.F.sha2(warc.F.col("id").cast("string"), 256), 4))
+    return made.select((warc.F.col("id") * 7 % 60_013).alias("page_id"), warc.F.lit("http://x").alias("url"), page.alias("html"))
+
+
+def test_archives_of_60_000_pages_are_equal_whatever_the_partitions(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 1 << 20)
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    files = []
+    try:
+        for shuffle, parts in ((32, 3), (5, 11)):
+            spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+            folder = f"file://{tmp_path}/{shuffle}"
+            pages = pages_of(spark, 60_000, parts)
+            manifest = warc.write_archive(pages, folder, "page_id", "url", "html", roll_bytes=200_000, shard_bytes=1 << 20)
+            files.append(sorted(tuple(r) for r in manifest.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert files[0] == files[1] and sum(r[2] for r in files[0]) == 60_000
+    # Shards are even, follow each other, and are read back by as many tasks as their bytes warrant.
+    sizes = Counter()
+    for shard, _, records, _, _ in files[0]:
+        sizes[shard] += records
+    assert len(sizes) >= 10 and max(sizes.values()) < 3 * 60_000 / len(sizes)
+    back = warc.read_archive(manifest, folder, payloads=False)
+    ends = back.groupBy(warc.F.spark_partition_id()).agg(warc.F.min("record_id"), warc.F.max("record_id"), warc.F.count("*")).collect()
+    ends = sorted(tuple(r)[1:] for r in ends)
+    assert sum(n for _, _, n in ends) == 60_000 and all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+    assert len(ends) >= 0.7 * sum(r[3] for r in files[0]) / (1 << 20)
+
+
+def test_ledger_scans_repeated_rows_once(spark, make, tmp_path):
+    rows = [(p, "token: abcdefgh12345") for p in "ab"] * 500 + [(None, "token: zbcdefgh12345")] * 10
+    ledger = f"file://{tmp_path}/ledger"
+    found = secrets.scan(make("path:string text:string", rows).repartition(4), ["path"], "text", ledger).collect()
+    assert len(found) == 1010 and all(len(r["spans"]) == 1 for r in found)
+    held = spark.read.parquet(ledger).groupBy("blob").count().collect()
+    assert len(held) == 2 and max(r["count"] for r in held) <= 4
+
+
 def test_ledger_scans_only_what_is_new(spark, make, tmp_path):
     ledger = f"file://{tmp_path}/ledger"
     secret = "token: abcdefgh12345"
