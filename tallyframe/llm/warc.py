@@ -27,9 +27,9 @@ from tallyframe.session import scratch_path
 
 #: Compressed bytes at which a file is closed, and payload bytes from which equal ones are kept once.
 ROLL_BYTES, SHARED_BYTES = 64 << 20, 100
-#: Payload bytes of a shard, shards at most (each grows beyond that), records of the histogram per shard, and bytes of
-#: files that one task reads back.
-SHARD_BYTES, MOST_SHARDS, PER_SHARD, READ_BYTES = 64 << 20, 50_000, 20, 4 << 20
+#: Payload bytes of a shard, shards at most (each grows beyond that), records of the histogram per shard and in all, and
+#: bytes of files that one task reads back.
+SHARD_BYTES, MOST_SHARDS, PER_SHARD, IN_ALL, READ_BYTES = 64 << 20, 50_000, 400, 1_000_000, 4 << 20
 #: The profile of a revisit, the date of all records unless the caller names one.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
@@ -105,15 +105,15 @@ def bounds_of(keys: DataFrame, shard_bytes: int) -> list[tuple[int | None, str]]
     """The first key (id, digest) of every shard but the first, in order, nulls last.
 
     ``keys`` has ``record_id``, ``payload_digest`` and ``payload_bytes`` of every record. Of all keys those with the
-    smallest hashes are taken, ``1.2 * PER_SHARD`` for each shard, and cut where their bytes come to a shard's part.
-    At most 1.2 million keys reach the driver.
+    smallest hashes are taken, ``1.2 * PER_SHARD`` for each shard and ``1.2 * IN_ALL`` at most, and cut where their bytes
+    come to a shard's part; they bound how uneven shards are, not what is in them.
     """
     rows, total = keys.agg(F.count("*"), F.sum("payload_bytes")).first()
     shards = min(MOST_SHARDS, -(-(total or 0) // shard_bytes))
     if shards < 2:
         return []
     key = ["record_id", "payload_digest"]
-    chosen = sampled(keys, F.xxhash64(*key), PER_SHARD * shards, rows).groupBy(*key).agg(F.sum("payload_bytes").alias("size")).collect()
+    chosen = sampled(keys, F.xxhash64(*key), min(PER_SHARD * shards, IN_ALL), rows).groupBy(*key).agg(F.sum("payload_bytes").alias("size")).collect()
     chosen.sort(key=lambda r: place_of(r["record_id"], r["payload_digest"]))
     whole, before, bounds = sum(r["size"] for r in chosen), 0, []
     for row in chosen:
