@@ -1,5 +1,6 @@
 from tallyframe.functions.columns import (
     base_name,
+    fold_cells,
     fold_columns,
     full_name,
     incentive,
@@ -14,6 +15,7 @@ from tallyframe.functions.columns import (
 
 __all__ = [
     "base_name",
+    "fold_cells",
     "fold_columns",
     "full_name",
     "incentive",

@@ -33,6 +33,12 @@ def fold_columns(names: Sequence[str]) -> Column:
     return folded.alias(ADDITIONAL_COLUMN)
 
 
+def fold_cells(cells: str | Column, places: str | Column) -> Column:
+    """The cells at the given places (from 0) joined as ``fold_columns`` joins columns."""
+    held = F.col(cells) if isinstance(cells, str) else cells
+    return F.when(F.size(places) > 0, F.concat_ws(",", F.transform(places, lambda at: F.get(held, at))))
+
+
 def incentive(total: Column, is_best: Column) -> Column:
     """One percent of the total for the best seller, nothing for the others."""
     return F.when(is_best, total * F.lit(0.01).cast("decimal(3,2)")).otherwise(F.lit(0)).cast(INCENTIVE)

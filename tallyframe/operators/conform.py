@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.functions import fold_columns, to_day, to_money, to_whole_number
+from tallyframe.functions import fold_cells, to_day, to_money, to_whole_number
 from tallyframe.operators.contract import good_files
 from tallyframe.schema import ADDITIONAL_COLUMN, SALES_CONTRACT, SALES_FACT
 from tallyframe.sources.files import exact_paths, plain_path_column
@@ -17,20 +18,24 @@ from tallyframe.sources.files import exact_paths, plain_path_column
 
 @dataclass
 class HeaderGroup:
-    """Files with the same header, cell for cell."""
+    """Files with the same header, cell for cell; ``keys`` tells the state in which each file was checked."""
 
     cells: tuple[str, ...]
     header: tuple[str, ...]
     paths: list[str] = field(default_factory=list)
+    keys: list[str | None] = field(default_factory=list)
 
 
 def header_groups(checked: DataFrame) -> list[HeaderGroup]:
     """Good files by exact header. Only file names reach the driver, as for any Spark read."""
     groups: dict[tuple[str, ...], HeaderGroup] = {}
-    for row in good_files(checked).select("cells", "header", "path").collect():
+    good = good_files(checked)
+    file_key = F.col("file_key") if "file_key" in good.columns else F.lit(None).cast("string").alias("file_key")
+    for row in good.select("cells", "header", "path", file_key).collect():
         key = tuple(row.cells)
         group = groups.setdefault(key, HeaderGroup(key, tuple(row.header)))
         group.paths.append(row.path)
+        group.keys.append(row.file_key)
     return [groups[key] for key in sorted(groups)]
 
 
@@ -40,10 +45,18 @@ def parse_files(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
     Besides the fact columns the frame has ``source_file``, ``fits``, and for rows that do not fit
     ``reason`` and ``raw_record`` (as JSON). A value does not fit that is no number, whole number or day
     of its column; money with a third decimal, or a date without a day, would be changed by the cast, so they do
-    not fit either. A row with too few or too many cells does not fit as a whole: ``raw_record`` then holds its line. A file is never read with the header of another one: there is one scan
-    per distinct header, and the reader compares the header of each file with it again.
+    not fit either. A row with too few or too many cells does not fit as a whole: ``raw_record`` then holds its line.
+
+    Headers are rows of a small table, not plans: lines are read once, whatever the number of headers, and each line's
+    cells are placed by the header of its own file. A line is cut into as many cells as the widest header has, so headers
+    of very different widths go by classes of width, of which there are ``len(WIDTHS)`` at most, each with a scan of
+    its own. The read stops if a file is not in the state in which its header was checked.
     """
-    parts = [_parse_group(spark, group) for group in groups]
+    classes: dict[int, list[HeaderGroup]] = {}
+    for group in groups:
+        width = next(w for w in WIDTHS if len(group.header) <= w)
+        classes.setdefault(width, []).append(group)
+    parts = [_parse_class(spark, width, classes[width]) for width in sorted(classes)]
     if not parts:
         layout = T.StructType(
             [
@@ -73,45 +86,91 @@ def conform(spark: SparkSession, checked: DataFrame) -> DataFrame:
     return accepted_rows(parse_files(spark, header_groups(checked))).select(*SALES_FACT.names)
 
 
-# Fixed value: the column into which the reader puts a row whose number of cells is another than the header's.
-BAD_LINE = "tallyframe_bad_line"
+# Columns of a line as read, the mark after a line's last cell, a character that parts no cells, and the
+# classes of widths (a header line of bounded length has fewer cells than the last).
+LINE, BAD_LINE, END, NO_SEPARATOR = "tallyframe_line", "tallyframe_bad_line", "\x02tallyframe end\x02", "\x01"
+WIDTHS = tuple(16 * 4**k for k in range(7))
 
 
-def _parse_group(spark: SparkSession, group: HeaderGroup) -> DataFrame:
-    text = T.StructType([T.StructField(name, T.StringType()) for name in [*group.header, BAD_LINE]])
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(line, source_file, state) of every line but blank ones and each file's header."""
+    layout = T.StructType([T.StructField(LINE, T.StringType()), T.StructField(BAD_LINE, T.StringType())])
     raw = (
-        spark.read.schema(text)
+        spark.read.schema(layout)
         .option("header", True)
+        # The one column of this layout is no file's header; states are compared instead.
+        .option("enforceSchema", True)
         .option("columnNameOfCorruptRecord", BAD_LINE)
-        # The reader counts a row's cells only where it does not skip columns.
         .option("columnPruning", False)
-        # Renamed headers (blank or repeated cells) differ from the file on purpose.
-        .option("enforceSchema", group.cells != group.header)
-        .csv(exact_paths(group.paths))
+        .option("sep", NO_SEPARATOR)
+        .option("quote", "")
+        .csv(exact_paths(paths))
+    )
+    path = plain_path_column(F.col("_metadata.file_path"))
+    modified = F.unix_millis(F.col("_metadata.file_modification_time")).cast("string")
+    return raw.select(
+        # A line that does hold the character is no single cell, and kept as a whole.
+        F.coalesce(BAD_LINE, LINE).alias("line"),
+        path.alias("source_file"),
+        F.concat_ws("|", path, F.col("_metadata.file_size").cast("string"), modified).alias("state"),
+    )
+
+
+def _headers(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
+    """Per file its header, the places of the contract's columns and of the others, and its key."""
+    files = pa.table(
+        {
+            "source_file": pa.array([path for g in groups for path in g.paths], pa.string()),
+            "file_key": pa.array([key for g in groups for key in g.keys], pa.string()),
+            "number": pa.array([n for n, g in enumerate(groups) for _ in g.paths], pa.int32()),
+        }
+    )
+    headers = pa.table(
+        {
+            "number": pa.array(range(len(groups)), pa.int32()),
+            "header": pa.array([g.header for g in groups], pa.list_(pa.string())),
+            "places": pa.array([[g.header.index(n) for n in SALES_CONTRACT.names] for g in groups], pa.list_(pa.int32())),
+            "others": pa.array(
+                [[k for k, n in enumerate(g.header) if n not in SALES_CONTRACT.names] for g in groups], pa.list_(pa.int32())
+            ),
+        }
     )
-    extra = [name for name in group.header if name not in SALES_CONTRACT.names]
-    # Each cell is cast once, here; what follows looks at the results.
-    typed = raw.select(
-        "*",
-        plain_path_column(F.col("_metadata.file_path")).alias("source_file"),
-        *[_typed(f).alias(f"typed_{f.name}") for f in SALES_CONTRACT.fields],
+    return spark.createDataFrame(files).join(spark.createDataFrame(headers), "number").drop("number")
+
+
+def _parse_class(spark: SparkSession, width: int, groups: list[HeaderGroup]) -> DataFrame:
+    """The rows of files whose headers have at most ``width`` cells."""
+    cells = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(width + 1)])
+    lines = _lines(spark, [path for g in groups for path in g.paths])
+    known = lines.join(_headers(spark, groups), "source_file", "left").withColumn(
+        # The mark stands where the header ends, unless a line has fewer or more cells.
+        "parsed", F.from_csv(F.concat("line", F.lit(f",{END}")), cells.simpleString(), {"sep": ","}),
+    )
+    held = known.select("*", F.array(*[f"parsed.{n}" for n in cells.names]).alias("cells")).drop("parsed")
+    placed = held.select(
+        "*", *[F.get("cells", F.get("places", F.lit(k))).alias(name) for k, name in enumerate(SALES_CONTRACT.names)]
     )
+    # Each cell is cast once, here; what follows looks at the results. A row is generated, not projected, since a filter on
+    # what follows would be moved below a projection, and parse the line again for every column that it names.
+    typed = placed.select("*", F.explode(F.array(F.struct(*[_typed(f).alias(f.name) for f in SALES_CONTRACT.fields]))).alias("typed"))
     misfit = {
-        f.name: F.col(f.name).isNotNull() & F.col(f"typed_{f.name}").isNull()
+        f.name: F.col(f.name).isNotNull() & F.col(f"typed.{f.name}").isNull()
         for f in SALES_CONTRACT.fields
         if not isinstance(f.dataType, T.StringType)
     }
-    torn = F.col(BAD_LINE).isNotNull()
-    fits = ~(torn | reduce(Column.__or__, misfit.values()))
+    torn = ~F.get("cells", F.size("header")).eqNullSafe(F.lit(END))
+    other = F.col("header").isNull() | (F.col("file_key") != F.col("state"))
+    changed = F.concat(F.lit("Header was checked on another state of "), F.col("source_file"))
+    bad = torn | reduce(Column.__or__, misfit.values())
     faults = F.concat_ws(",", *[F.when(wrong, F.lit(name)) for name, wrong in misfit.items()])
-    record = F.to_json(F.struct(*[F.col(f"`{n.replace('`', '``')}`") for n in group.header]))
+    filled = F.filter(F.arrays_zip("header", F.slice("cells", F.lit(1), F.size("header"))), lambda x: x["1"].isNotNull())
     return typed.select(
-        *[F.col(f"typed_{f.name}").alias(f.name) for f in SALES_CONTRACT.fields],
-        fold_columns(extra).alias(ADDITIONAL_COLUMN),
+        *[F.col(f"typed.{f.name}").alias(f.name) for f in SALES_CONTRACT.fields],
+        fold_cells("cells", "others").alias(ADDITIONAL_COLUMN),
         "source_file",
-        fits.alias("fits"),
-        F.when(torn, F.lit("wrong number of cells")).when(~fits, F.concat(F.lit("bad value: "), faults)).alias("reason"),
-        F.when(torn, F.to_json(F.struct(F.col(BAD_LINE).alias("line")))).when(~fits, record).alias("raw_record"),
+        F.when(other, F.raise_error(changed).cast("boolean")).otherwise(~bad).alias("fits"),
+        F.when(torn, F.lit("wrong number of cells")).when(bad, F.concat(F.lit("bad value: "), faults)).alias("reason"),
+        F.when(torn, F.to_json(F.struct("line"))).when(bad, F.to_json(F.map_from_entries(filled))).alias("raw_record"),
     )
 
 

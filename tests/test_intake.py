@@ -224,3 +224,43 @@ def test_text_of_a_file_with_a_long_header_is_kept(spark, tmp_path):
     put(tmp_path, "_long.csv", "é" * (HEADER_CHARACTERS + 1) + "\n1,2\n")
     lines = quarantine_lines(check_files(list_files(spark, str(tmp_path)))).collect()
     assert {r.file_name for r in lines} == {"long.csv"} and sorted(len(r.line) for r in lines) == [3, HEADER_CHARACTERS + 1]
+
+
+def test_two_thousand_headers_are_one_scan(spark, tmp_path):
+    names = VALID.split(",")
+    row = dict(zip(names, "7,121,soap,2023-03-03,1,1.5,2,3.0".split(",")))
+    for number in range(2000):
+        turned = names[number % 8 :] + names[: number % 8]
+        put(tmp_path, f"{number}.csv", feed(",".join([f"extra_{number}", *turned]), ",".join([f"e{number}", *[row[n] for n in turned]])))
+    groups = header_groups(check_files(list_files(spark, str(tmp_path))))
+    fact = accepted_rows(parse_files(spark, groups))
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert len(groups) == 2000 and plan.count("- Relation [") == 1
+    assert fact.count() == 2000 and fact.drop("source_file", "additional_column").distinct().count() == 1
+    assert {r.additional_column for r in fact.collect()} == {f"e{n}" for n in range(2000)}
+
+
+def test_headers_of_very_different_widths(spark, tmp_path):
+    row = "1,121,soap,2023-03-03,1,1.5,2,3.0"
+    for wide in (0, 8, 9, 300):
+        more = "".join(f",x{k}" for k in range(wide))
+        put(tmp_path, f"w{wide}.csv", feed(VALID + more, row + "," * wide, row + ",y" * wide, row + ",y" * (wide + 1), row[:-4]))
+    parsed = parse_files(spark, header_groups(check_files(list_files(spark, str(tmp_path)))))
+    assert accepted_rows(parsed).count() == 8 and rejected_rows(parsed).where("reason = 'wrong number of cells'").count() == 8
+    folded = {r.additional_column for r in accepted_rows(parsed).collect()}
+    assert folded == {None, "", *[",".join("y" * wide) for wide in (8, 9, 300)]}
+
+
+def test_quotes_marks_and_odd_characters(spark, tmp_path):
+    lines = [
+        '1,121,"soap, ""soft""",2023-03-03,1,1.5,2,3.0', '2,121,"",2023-03-03,1,1.5,2,3.0', "3,121,a\x01b,2023-03-03,1,1.5,2,3.0",
+        "4,121,\x02tallyframe end\x02,2023-03-03,1,1.5,2,3.0", "5,121,so\"ap,2023-03-03,1,1.5,2,3.0", " 6,121, x ,2023-03-03,1,1.5,2,3.0",
+        "7,121,open,2023-03-03,1,1.5,2,\"3.0", VALID,
+    ]
+    put(tmp_path, "odd.csv", feed(VALID, *lines))
+    parsed = parse_files(spark, header_groups(check_files(list_files(spark, str(tmp_path))))).collect()
+    names = {r.customer_id: r.product_name for r in parsed if r.fits}
+    plain = spark.read.option("header", True).csv(str(tmp_path)).collect()
+    assert len(parsed) == len(plain) == 8
+    assert names == {int(r.customer_id): r.product_name for r in plain if r.customer_id.strip() in set("123456")}
+    assert sorted(r.reason.split(":")[0] for r in parsed if not r.fits) == ["bad value", "wrong number of cells"]
