@@ -16,9 +16,8 @@ from tallyframe.functions import base_name, strip_store
 HEADER_LINE = "path string, header_line string"
 # The layout of the binary file source; only path, length and time are read.
 FILE_LAYOUT = "path string, modificationTime timestamp, length bigint, content binary"
-#: Characters after which a first line counts as no header, and folders below the landing folder that are looked into for
-#: names that Spark hides.
-HEADER_CHARACTERS, HIDDEN_DEPTH = 65_536, 6
+#: Characters after which a first line counts as no header.
+HEADER_CHARACTERS = 65_536
 
 
 def exact_paths(paths: Iterable[str]) -> list[str]:
@@ -57,12 +56,11 @@ def list_files(spark: SparkSession, location: str) -> DataFrame:
 
     Names, lengths and times come from the file source, which lists in parallel and opens no file for
     them. It shows empty files by name only, so these have length 0 and no time. Spark does not show names that begin with ``_`` or ``.``, nor could it read such files; sales files
-    among them are added by name, up to ``HIDDEN_DEPTH`` folders down, so that they are judged like any other.
+    among them are added by name, however deep they lie, so that they are judged like any other.
     """
     source = spark.read.schema(FILE_LAYOUT).format("binaryFile").option("recursiveFileLookup", "true").load(location)
     names = [re.sub("^file:/+", "file:///", unquote(path)) for path in source.inputFiles()]
-    levels = ",".join("*/" * depth + "[_.]*.csv" for depth in range(HIDDEN_DEPTH + 1))
-    hidden = hidden_files(spark, location, levels)
+    hidden = hidden_files(spark, location)
     if not names and not hidden:
         raise FileNotFoundError(f"no files under {location}")
     known = source.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "length", "modificationTime")
@@ -74,15 +72,19 @@ def list_files(spark: SparkSession, location: str) -> DataFrame:
     return listed
 
 
-def hidden_files(spark: SparkSession, location: str, levels: str) -> list[tuple]:
-    """Status of the files that match one of the relative patterns."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(location)
+def hidden_files(spark: SparkSession, location: str) -> list[tuple]:
+    """Status of the sales files with names that Spark hides, level by level as long as a level has anything in it."""
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    root = to_path(location)
     store = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    literal = exact_paths([store.makeQualified(root).toString()])[0]
-    found = store.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{literal}/{{{levels}}}"))
+    level = exact_paths([store.makeQualified(root).toString()])[0]
+    found = []
+    while store.globStatus(to_path(f"{level}/*")):
+        found += store.globStatus(to_path(f"{level}/[_.]*.csv"))
+        level += "/*"
     return [
         (s.getPath().toString(), s.getLen(), datetime.fromtimestamp(s.getModificationTime() / 1000, timezone.utc))
-        for s in found or []
+        for s in found
         if s.isFile()
     ]
 

@@ -219,6 +219,15 @@ def test_hidden_names_are_judged(spark, tmp_path):
     assert verdict == {"_x.csv": "hidden name", ".y.csv": "hidden name", "seen.csv": None}
 
 
+def test_hidden_names_are_found_however_deep(spark, tmp_path):
+    put(tmp_path, "seen.csv", VALID)
+    put(tmp_path, "/".join("abcdefghi") + "/_deep.csv", VALID)
+    put(tmp_path, "[x]/.y/z/_odd.csv", VALID)
+    (tmp_path / "_folder.csv").mkdir()
+    verdict = {r.file_name: r.reason for r in check_files(list_files(spark, str(tmp_path))).collect()}
+    assert verdict == {"_deep.csv": "hidden name", "_odd.csv": "hidden name", "seen.csv": None}
+
+
 def test_text_of_a_file_with_a_long_header_is_kept(spark, tmp_path):
     put(tmp_path, "long.csv", "é" * (HEADER_CHARACTERS + 1) + "\n1,2\n")
     put(tmp_path, "_long.csv", "é" * (HEADER_CHARACTERS + 1) + "\n1,2\n")
