@@ -8,6 +8,7 @@ features, which also judges what the labellers leave open.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -24,15 +25,33 @@ from tallyframe.llm.common import sampled, table, written
 FEATURES, TRAIN_ROWS, KEEP = 1 << 14, 12_000, 0.5
 UPPER, LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 SYMBOLS = b"!#$%&*+/<=>@[\\]^_`{|}~"
-SHAPES = {c: "A" if chr(c).isupper() else "a" if chr(c).isalpha() else "0" if chr(c).isdigit() else chr(c) for c in range(0x250)}
+#: Words up to this length are remembered with their shape; longer ones are looked at anew.
+REMEMBERED = 64
+
+
+class Kinds(dict):
+    """Kind of a character, for ``str.translate``: upper case, other letter or mark, number, or the character itself."""
+
+    def __missing__(self, code: int) -> str:
+        category = unicodedata.category(chr(code))
+        self[code] = kind = "A" if category == "Lu" else "a" if category[0] in "LM" else "0" if category[0] == "N" else chr(code)
+        return kind
 
 
 class Shapes(dict):
-    """Shape of a word: its kinds of characters, runs as one; forgets all when it has grown."""
+    """Shape of a word, all of it: its kinds of characters in the order they first occur, with ``+`` where one comes
+    back after another. A text without spaces is one word, however long."""
+
+    kinds = Kinds()
 
     def __missing__(self, word: str) -> str:
-        mapped = word[:24].translate(SHAPES)
-        self[word] = shape = "".join(c for c, before in zip(mapped, " " + mapped) if c != before)[:6]
+        mapped = word.translate(self.kinds)
+        once = "".join(dict.fromkeys(mapped))
+        # Kinds that come back begin more runs than there are kinds.
+        runs = len(mapped) - sum(map(eq, mapped, mapped[1:]))
+        shape = once if runs == len(once) else once + "+"
+        if len(word) <= REMEMBERED:
+            self[word] = shape
         return shape
 
 
@@ -196,8 +215,9 @@ def score_quality(docs: DataFrame, text: str, weights: np.ndarray, keep: list[st
 def classify(docs: DataFrame, text: str, keep: list[str] | None = None) -> DataFrame:
     """``row`` and ``quality`` by a scorer that is fitted on these documents.
 
-    Null text counts as empty; an empty text is scored like any other. Repeated rows count as often as they
-    occur. An empty table gives no rows, and a scorer that answers 0.5.
+    Null text counts as empty; an empty text is scored like any other. All measures and word shapes are those of the
+    whole text, however long. Repeated rows count as often as they occur; texts that tie for the bound of the
+    sample are equal ones. Further columns of any name pass. An empty table gives no rows, and a scorer that answers 0.5.
     """
     return score_quality(docs, text, fit(docs, text), keep)
 

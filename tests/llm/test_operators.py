@@ -2,6 +2,7 @@
 
 import gzip
 import io
+import math
 import random
 import re
 import time
@@ -386,6 +387,79 @@ def test_quality_against_hand_made_labels(spark):
     assert np.mean(clean) > 0.98 and np.mean(junk) < 0.15
 
 
+def plain_shape(word):
+    kind = lambda c: "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isnumeric() else c
+    kinds, runs = [], 0
+    for i, c in enumerate(word):
+        runs += i == 0 or kind(c) != kind(word[i - 1])
+        if kind(c) not in kinds:
+            kinds.append(kind(c))
+    return "".join(kinds) + ("+" if runs > len(kinds) else "")
+
+
+def test_shapes_look_at_whole_words():
+    shapes = quality.Shapes()
+    words = ["a", "Word", "word,", "a1b2", "a" * 100_000 + "7", "x" * 24 + "Y" * 50 + "!", "größer", "don't", "0xFF", "𝒳y", "漢字", "9" * 65]
+    assert [shapes[w] for w in words] == [plain_shape(w) for w in words]
+    assert shapes["a" * 100_000 + "7"] == "a0" and shapes["漢字" * 40_000] == "a"
+    assert max(map(len, shapes)) <= quality.REMEMBERED
+
+
+def plain_quality(texts):
+    """The whole query document by document, with dictionaries: labels, posteriors, weights, scores."""
+    made, given = [], []
+    for t in texts:
+        m, words = quality.measures(t), t.split()
+        given.append(quality.votes(m))
+        names = [f"{k}:{int(math.log2(v + 1) if k == 'words' else v if k == 'length' else min(v, 1) * 16)}" for k, v in m.items()]
+        counts = {}
+        for w in words:
+            counts[plain_shape(w)] = counts.get(plain_shape(w), 0) + 1
+        names += [f"shape {k}:{int(c / len(words) * 4)}" for k, c in counts.items() if c / len(words) >= 0.03]
+        made.append(sorted({zlib.crc32(x.encode()) % quality.FEATURES for x in names}))
+    good = [1 / (1 + math.exp(-1 - v.count(1) + 4 * v.count(-1))) for v in given]
+    for _ in range(100):
+        prior = [(n - sum(good) + 1) / (n + 2) if c == 0 else (sum(good) + 1) / (n + 2) for n in [len(texts)] for c in (0, 1)]
+        share = {}
+        for j in range(quality.LABELLERS):
+            for c in (0, 1):
+                said = {a: 0.5 + sum((g if c else 1 - g) for v, g in zip(given, good) if v[j] == a) for a in (-1, 0, 1)}
+                share[j, c] = {a: x / sum(said.values()) for a, x in said.items()}
+        fresh = []
+        for v in given:
+            log = [math.log(prior[c]) + sum(math.log(share[j, c][v[j]]) for j in range(quality.LABELLERS)) for c in (0, 1)]
+            fresh.append(1 / (1 + math.exp(max(-50, min(50, log[0] - log[1])))))
+        moved, good = max(abs(a - b) for a, b in zip(fresh, good)), fresh
+        if moved < 1e-6:
+            break
+    rows = {t: (f, g) for t, f, g in zip(texts, made, good)}
+    weights, squares = {}, {}
+    used = sorted({f for fs, _ in rows.values() for f in fs} | {quality.FEATURES})
+    for _ in range(200):
+        gradient = {f: 1e-4 * weights.get(f, 0.0) for f in used}
+        for fs, g in rows.values():
+            off = 1 / (1 + math.exp(-sum(weights.get(f, 0.0) for f in [*fs, quality.FEATURES]))) - g
+            for f in [*fs, quality.FEATURES]:
+                gradient[f] += off / len(rows)
+        for f in used:
+            squares[f] = squares.get(f, 1e-8) + gradient[f] ** 2
+            weights[f] = weights.get(f, 0.0) - 0.5 * gradient[f] / math.sqrt(squares[f])
+    return [1 / (1 + math.exp(-sum(weights[f] for f in [*fs, quality.FEATURES]))) for fs in made]
+
+
+def test_quality_query_against_a_plain_version(spark, make, tmp_path):
+    rng = random.Random(8)
+    some = ["Alpha", "beta,", "gamma", "delta.", "it", "is", "so", "3.14", "We", "ran"]
+    texts = ["", "", "x" * 500, "{}|" * 80, "BUY NOW " * 20, "one line\n" * 30]
+    texts += [" ".join(rng.choices(some, k=rng.randint(3, 60))) + "." for _ in range(80)] + ["same text, here."] * 40
+    rows = [(i, t or None) for i, t in enumerate(texts)]
+    make(DOCS, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["quality"], r["kept"]) for r in quality.op9_quality(spark, str(tmp_path)).collect()}
+    want = plain_quality(texts)
+    assert [got[i][0] for i in range(len(texts))] == pytest.approx(want, abs=1e-6)
+    assert [got[i][1] for i in range(len(texts))] == [w >= quality.KEEP for w in want]
+
+
 def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
