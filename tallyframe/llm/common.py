@@ -27,9 +27,13 @@ def sampled(rows: DataFrame, place: Column, wanted: int, total: int) -> DataFram
     """About 1.2 times ``wanted`` rows of ``total``, those of smallest ``place`` (an xxhash64), by a comparison per row.
 
     A sort with a limit would have every task hand that many rows to the driver."""
-    if total <= 1.2 * wanted:
-        return rows
-    return rows.where(place < F.lit(int(-(2**63) + 2**64 * (1.2 * wanted / total))))
+    bound = below(wanted, total)
+    return rows if bound is None else rows.where(place < F.lit(bound))
+
+
+def below(wanted: int, total: int) -> int | None:
+    """The xxhash64 below which about 1.2 times ``wanted`` of ``total`` lie; none where that is all."""
+    return None if total <= 1.2 * wanted else int(-(2**63) + 2**64 * (1.2 * wanted / total))
 
 
 def spread(files: DataFrame, order: str, size: str, per_task: int) -> DataFrame:

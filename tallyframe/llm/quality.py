@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import sampled, table, written
+from tallyframe.llm.common import below, table, written
 
 #: Hash space of features; rows the scorer is trained on, at most, chosen by hash; score from which a document stays.
 FEATURES, TRAIN_ROWS, KEEP = 1 << 14, 12_000, 0.5
@@ -164,29 +164,31 @@ _CODES = 3 ** np.arange(LABELLERS)
 
 def fit(docs: DataFrame, text: str, train_rows: int = TRAIN_ROWS) -> np.ndarray:
     """The scorer's weights. Vote patterns are counted over all documents (at most 2^12 kinds reach the driver);
-    the scorer is trained on ``train_rows`` documents at most, those of smallest text hash, with the posteriors of
-    their patterns as targets."""
+    the scorer is trained on ``train_rows`` different texts at most, those of smallest hash, with the posteriors of
+    their patterns as targets. Only documents below a bound on the hash are given features; equal texts are one row of
+    the sample, however many copies there are, so the bound is set from the number of different texts."""
+    held = docs.select(F.coalesce(docs[text], F.lit("")).alias("text")).select("text", F.xxhash64("text").alias("h"))
+    bound = below(train_rows, held.select("h").distinct().count())
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes = Shapes()
         for batch in batches:
             codes, made = [], []
-            for value in batch.column("text"):
-                text = value.as_py() or ""
+            for value, h in zip(batch.column("text"), batch.column("h").to_pylist(), strict=True):
+                text = value.as_py()
                 m = measures(text)
                 codes.append(int(_CODES @ (np.array(votes(m)) + 1)))
-                made.append(features(text, m, shapes).tobytes())
+                made.append(features(text, m, shapes).tobytes() if bound is None or h < bound else None)
             if len(shapes) > 300_000:
                 shapes.clear()
-            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(codes, pa.int32()), pa.array(made)], ["h", "code", "features"])
+            columns = [batch.column("h"), pa.array(codes, pa.int32()), pa.array(made, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "code", "features"])
 
-    held = docs.select(F.coalesce(docs[text], F.lit("")).alias("text")).select("text", F.xxhash64("text").alias("h"))
     labelled = written(held.mapInArrow(label, "h long, code int, features binary"), "quality-votes")
     counted = np.array([tuple(r) for r in labelled.groupBy("code").count().collect()], np.int64).reshape(-1, 2)
     patterns = (counted[:, :1] // _CODES) % 3 - 1
     good = dict(zip(counted[:, 0].tolist(), label_model(patterns, counted[:, 1]).tolist(), strict=True))
-    # Equal texts are one row of the sample, however many copies there are, so the bound is set from the distinct texts.
-    drawn = sampled(labelled, F.col("h"), train_rows, labelled.select("h").distinct().count())
+    drawn = labelled.where(F.col("features").isNotNull())
     drawn = drawn.groupBy("h").agg(F.min("code").alias("code"), F.min("features").alias("features"))
     sample = drawn.orderBy("h").limit(train_rows).collect()
     return train_linear([np.frombuffer(r["features"], np.int32) for r in sample], np.array([good[r["code"]] for r in sample]))
