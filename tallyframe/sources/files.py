@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.functions import base_name, strip_store
+from tallyframe.session import scratch_path
 
 HEADER_LINE = "path string, header_line string"
 # The layout of the binary file source; only path, length and time are read.
@@ -30,6 +31,10 @@ def as_uri(path: str) -> str:
     return quote(re.sub("^s3[an]:", "s3:", path), safe="/:@")
 
 
+def plain_path(path: str) -> str:
+    return re.sub("^file:/+", "file:///", path)
+
+
 def plain_path_column(path: Column) -> Column:
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     return F.regexp_replace(decoded, "^file:/+", "file:///")
@@ -51,33 +56,121 @@ def files_frame(statuses: DataFrame) -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, location: str) -> DataFrame:
+def list_files(spark: SparkSession, location: str, how: str | None = None) -> DataFrame:
     """(path, file_name, object_key, file_key) of every file under a location, empty files included.
 
-    Names, lengths and times come from the file source, which lists in parallel and opens no file for
-    them. It shows empty files by name only, so these have length 0 and no time. Spark does not show names that begin with ``_`` or ``.``, nor could it read such files; sales files
-    among them are added by name, however deep they lie, so that they are judged like any other.
+    ``tasks`` expands folders level by level in tasks, as deep as they go; no name passes the driver. ``source``
+    asks Spark's file source, whose listing sits in the driver. The argument, else the setting
+    ``spark.tallyframe.listing``, says which; without either it is ``tasks`` for stores that give Arrow and Spark the same
+    times of change (local files, S3), as the time is part of what a file is known by, and ``source`` for others and
+    for a location that is a pattern. Both give the same files and keys.
+
+    Spark does not show names that begin with ``_`` or ``.``, nor could it read such files; sales files
+    among them are listed too, however deep they lie, so that they are judged like any other. Empty files have
+    length 0 and no time. A location without files raises ``FileNotFoundError``.
     """
-    source = spark.read.schema(FILE_LAYOUT).format("binaryFile").option("recursiveFileLookup", "true").load(location)
-    names = [re.sub("^file:/+", "file:///", unquote(path)) for path in source.inputFiles()]
-    hidden = hidden_files(spark, location)
-    if not names and not hidden:
+    how = how or spark.conf.get("spark.tallyframe.listing", None) or _listing_of(location)
+    if how not in ("tasks", "source"):
+        raise ValueError(f"files are listed by 'tasks' or 'source', not {how!r}")
+    statuses = _statuses_in_tasks(spark, location) if how == "tasks" else _statuses_of_source(spark, location)
+    if statuses.isEmpty():
         raise FileNotFoundError(f"no files under {location}")
+    return files_frame(statuses)
+
+
+def _listing_of(location: str) -> str:
+    scheme = re.match(r"(?:(\w+):)?", location)[1] or "file"
+    pattern = re.search(r"[*?\[{\\]", location)
+    return "tasks" if scheme in ("file", "s3", "s3a", "s3n") and not pattern else "source"
+
+
+def _qualified(spark: SparkSession, location: str) -> tuple:
+    """The location's file system and its full name there."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(location)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store, store.makeQualified(root).toString()
+
+
+def _statuses_in_tasks(spark: SparkSession, location: str) -> DataFrame:
+    """Statuses by one job per level of folders; each level is a written table, so that a lost executor lists its
+    folders of one level again. The driver knows how many folders a level has, and no names but the location's."""
+    root = plain_path(_qualified(spark, location)[1])
+    start = as_uri(root)
+
+    def entries(batches):
+        # Nested, so that it travels by value and workers need no copy of the package.
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def concealed(name, folder):
+            # The names that Spark's file sources pass over, and those of folders that they look into.
+            hides = name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+            return hides and not (folder and name.startswith(("_common_metadata", "_metadata")))
+
+        try:
+            store, top = fs.FileSystem.from_uri(start)
+        except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as error:
+            raise RuntimeError(f"Arrow has no access to {root}; set spark.tallyframe.listing to source") from error
+        top = top.rstrip("/")
+        for batch in batches:
+            for path, below_hidden in zip(batch.column("path").to_pylist(), batch.column("hidden").to_pylist(), strict=True):
+                key = top + path[len(root) :]
+                if path == root and store.get_file_info(key or "/").type == fs.FileType.File:
+                    found = [store.get_file_info(key)]
+                else:
+                    found = store.get_file_info(fs.FileSelector(key or "/", allow_not_found=True))
+                rows = []
+                for info in found:
+                    folder = info.type == fs.FileType.Directory
+                    hidden = below_hidden or concealed(info.base_name, folder)
+                    sales = info.base_name[:1] in ("_", ".") and info.base_name.endswith(".csv")
+                    if folder or info.type == fs.FileType.File and (sales or not hidden):
+                        at = None if folder else info.mtime_ns // 1_000_000
+                        rows.append((root + info.path[len(top) :], hidden, folder, 0 if folder else info.size, at))
+                if rows:
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds(pa), strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, ["path", "hidden", "folder", "length", "changed"])
+
+    def kinds(pa):
+        return [pa.string(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64()]
+
+    table, most = scratch_path(spark, "listing"), 4 * spark.sparkContext.defaultParallelism
+    folders, count, levels = spark.createDataFrame(pa.table({"path": [root], "hidden": [False]})), 1, 0
+    layout = "path string, hidden boolean, folder boolean, length bigint, changed bigint"
+    while count:
+        written = f"{table}/level={levels}"
+        folders.repartition(min(count, most)).mapInArrow(entries, layout).write.parquet(written)
+        folders = spark.read.schema(layout).parquet(written).where("folder").select("path", "hidden")
+        count, levels = folders.count(), levels + 1
+    files = spark.read.schema(layout).parquet(*[f"{table}/level={n}" for n in range(levels)]).where("not folder")
+    # An empty file is known by its name, as in the listing by the source.
+    return files.select("path", "length", F.when(F.col("length") > 0, F.timestamp_millis("changed")).alias("modificationTime"))
+
+
+def _statuses_of_source(spark: SparkSession, location: str) -> DataFrame:
+    """Statuses from the file source, which lists in parallel and opens no file for them. It shows empty files by name
+    only, and hidden ones not at all."""
+    source = spark.read.schema(FILE_LAYOUT).format("binaryFile").option("recursiveFileLookup", "true").load(location)
+    names = [plain_path(unquote(path)) for path in source.inputFiles()]
     known = source.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "length", "modificationTime")
     all_names = spark.createDataFrame(pa.table({"path": pa.array(names, pa.string())}))
-    listed = files_frame(all_names.join(known, "path", "left").withColumn("length", F.coalesce("length", F.lit(0))))
-    if hidden:
-        kinds = "path string, length long, modificationTime timestamp"
-        listed = listed.unionByName(files_frame(spark.createDataFrame(hidden, kinds)))
-    return listed
+    statuses = all_names.join(known, "path", "left").withColumn("length", F.coalesce("length", F.lit(0).cast("long")))
+    # Names of metadata are shown and not read.
+    name = F.substring_index("path", "/", -1)
+    statuses = statuses.where(~(name.startswith("_") & ~name.contains("=")))
+    shown = set(names)
+    hidden = [row for row in hidden_files(spark, location) if "=" not in row[0].rsplit("/", 1)[1] or plain_path(row[0]) not in shown]
+    if not hidden:
+        return statuses
+    kinds = "path string, length long, modificationTime timestamp"
+    return statuses.unionByName(spark.createDataFrame(hidden, kinds))
 
 
 def hidden_files(spark: SparkSession, location: str) -> list[tuple]:
     """Status of the sales files with names that Spark hides, level by level as long as a level has anything in it."""
     to_path = spark._jvm.org.apache.hadoop.fs.Path
-    root = to_path(location)
-    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    level = exact_paths([store.makeQualified(root).toString()])[0]
+    store, root = _qualified(spark, location)
+    level = exact_paths([root])[0]
     found = []
     while store.globStatus(to_path(f"{level}/*")):
         found += store.globStatus(to_path(f"{level}/[_.]*.csv"))

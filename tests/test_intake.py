@@ -8,7 +8,7 @@ from feeds import VALID, feed, put
 from tallyframe.operators.conform import accepted_rows, conform, header_groups, parse_files, rejected_rows
 from tallyframe.operators.contract import bad_files, check_files, quarantine_lines
 from tallyframe.schema import SALES_FACT
-from tallyframe.sources.files import HEADER_CHARACTERS, as_uri, list_files, read_headers
+from tallyframe.sources.files import HEADER_CHARACTERS, _listing_of, as_uri, list_files, read_headers
 
 
 def variants(tmp_path):
@@ -91,6 +91,61 @@ def test_listing(spark, tmp_path):
     assert row.file_name == "x.csv" and row.object_key == f"{tmp_path}/in/x.csv".lstrip("/")
 
 
+def tree(tmp_path):
+    """Folders of several depths, hidden and empty ones among them; names that are patterns, percent signs, copies."""
+    line = feed(VALID, "1,121,soap,2023-03-03,1,1.5,2,3.0")
+    names = ["a.csv", "b [1].csv", "50% #2?+x.csv", "deep/1/2/3/4/5/6/7/8/9/d.csv", "deep/1/2/3/4/5/6/7/8/9/_h.csv", "_tmp/part.csv"]
+    names += ["_tmp/.s.csv", ".x.csv", "_y.csv", ".x.csv.crc", "k=1/_part=2/z.csv", "_k=v.csv", "c.csv._COPYING_", "_metadata_1", "_metadata/m.csv", "note.txt"]
+    names += [f"wide/{n}/f.csv" for n in range(40)]
+    for name in names:
+        put(tmp_path, name, line)
+    put(tmp_path, "deep/empty.csv", "")
+    (tmp_path / "nothing" / "here").mkdir(parents=True)
+    return str(tmp_path)
+
+
+def test_listing_in_tasks_equals_the_listing_of_the_source(spark, tmp_path):
+    columns = ["path", "file_name", "object_key", "file_key"]
+    location = tree(tmp_path)
+    in_tasks, of_source = (as_text(list_files(spark, location, how), *columns) for how in ("tasks", "source"))
+    assert in_tasks == of_source and len(in_tasks) == len({row[0] for row in in_tasks})
+    found = {row[0].removeprefix(f"file://{tmp_path}/") for row in in_tasks}
+    assert {"deep/1/2/3/4/5/6/7/8/9/d.csv", "deep/1/2/3/4/5/6/7/8/9/_h.csv", "_tmp/.s.csv", "deep/empty.csv", "_k=v.csv"} <= found
+    assert not {"_tmp/part.csv", ".x.csv.crc", "c.csv._COPYING_"} & found and len(found) == 40 + 13
+    assert as_text(list_files(spark, f"{tmp_path}/a.csv", "tasks"), *columns) == [row for row in in_tasks if row[1] == "a.csv"]
+
+
+def test_no_listed_name_passes_the_driver(spark, tmp_path):
+    location = tree(tmp_path)
+    for how, local in (("tasks", False), ("source", True)):
+        plan = list_files(spark, location, how)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("LocalRelation" in plan or "LogicalRDD" in plan) == local
+    listed = list_files(spark, location)
+    folders = {file.rsplit("/", 1)[0] for file in listed.inputFiles()}
+    # One table per level; the level of the 40 folders is listed by several tasks.
+    assert len(folders) == 11
+    assert max(sum(file.startswith(f"{folder}/") for file in listed.inputFiles()) for folder in folders) > 8
+
+
+def test_choice_of_the_listing(spark, tmp_path):
+    put(tmp_path, "1/a.csv", VALID)
+    put(tmp_path, "2/b.csv", VALID)
+    pattern = f"{tmp_path}/[12]"
+    assert sorted(r.file_name for r in list_files(spark, pattern).collect()) == ["a.csv", "b.csv"]
+    for choice in (_listing_of, lambda name: _listing_of(f"{name}/x")):
+        assert [choice(x) for x in ("/in", "file:/in", "s3a://shop/in", "hdfs://h/in", "viewfs://c/in", "/in/2023-*")] == ["tasks"] * 3 + ["source"] * 3
+    with pytest.raises(ValueError):
+        list_files(spark, str(tmp_path), "guess")
+    for how in ("tasks", "source"):
+        with pytest.raises(FileNotFoundError):
+            list_files(spark, str(tmp_path / "1" / "none" if how == "tasks" else empty(tmp_path)), how)
+
+
+def empty(tmp_path):
+    (tmp_path / "empty").mkdir()
+    return tmp_path / "empty"
+
+
 def test_conform_types_and_values(spark, tmp_path):
     put(tmp_path, "valid.csv", feed(VALID, "1,121,soap,2023-03-03,1,1.5,2,3", "2,121,,2023-03-04 10:00:00,2,100,1,100"))
     fact = conform(spark, check_files(list_files(spark, str(tmp_path))))
