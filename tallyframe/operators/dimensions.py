@@ -54,14 +54,20 @@ def join_sales_team(fact: DataFrame, sales_team: DataFrame) -> DataFrame:
     return fact.join(side, F.col("sales_person_id") == F.col("dim_person_id"), "inner").drop("dim_person_id")
 
 
-def enrich(fact: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame) -> DataFrame:
+def enrich(
+    fact: DataFrame, customer: DataFrame, store: DataFrame, sales_team: DataFrame, customer_last: bool = True
+) -> DataFrame:
     """Fact rows known to all three dimensions, every column name unique.
 
-    The customer comes last: it is the dimension that may need a shuffle, and the others have
-    dropped their unmatched rows by then.
+    By default the customer comes last: it is the dimension that may need a shuffle, and the others have
+    dropped their unmatched rows by then. Who uses the sellers' columns and not the customers' has the customer first, so
+    that the rows are shuffled by customer while they are narrow.
     """
     narrow = fact.select(*_FACT)
-    joined = join_customer(join_sales_team(join_store(narrow, store), sales_team), customer)
+    if customer_last:
+        joined = join_customer(join_sales_team(join_store(narrow, store), sales_team), customer)
+    else:
+        joined = join_sales_team(join_store(join_customer(narrow, customer), store), sales_team)
     return joined.select(*ENRICHED_COLUMNS)
 
 

@@ -198,7 +198,7 @@ def customer_mart_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_mart_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.sales_base(enrich_star(spark, sf_dir))
+    return marts.sales_base(dims.enrich(*star(spark, sf_dir), customer_last=False))
 
 
 def hard_star(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

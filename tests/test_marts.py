@@ -203,3 +203,13 @@ def test_rank_of_a_group_in_one_narrow_range(spark, monkeypatch, tmp_path):
     assert ranked.exceptAll(plain).isEmpty() and ranked.count() == 60_000
     sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/ranges").groupBy("range_no").count().collect()]
     assert len(sizes) == 16 and max(sizes) < 2 * 50_000 / 16
+
+
+def test_sales_rows_meet_the_customers_while_they_are_narrow(spark, star):
+    fact = fact_frame(spark, GOLDEN_FACT + LOST_FACT)
+    last, first = enrich(fact, *star), enrich(fact, *star, customer_last=False)
+    assert as_text(marts.sales_base(first)) == as_text(marts.sales_base(last))
+    assert first.columns == last.columns == ENRICHED_COLUMNS
+    plan = marts.sales_base(first)._jdf.queryExecution().optimizedPlan().toString()
+    # The outer joins come first in the text of a plan.
+    assert plan.index("= dim_person_id") < plan.index("= dim_customer_id")
