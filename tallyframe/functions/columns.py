@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.schema import ADDITIONAL_COLUMN, INCENTIVE
 
@@ -49,21 +50,37 @@ def to_whole_number(text: Column, data_type) -> Column:
 
     The text itself is looked at, since a cast to a decimal would round first."""
     whole = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)(\.0*)?\s*$", 1)
-    return whole.try_cast(data_type)
+    # A cast that fails makes an error and drops it, which costs more than all else here, so only digits are cast. What
+    # ``conv`` gives back as it was is plain digits; so many of them fit into the type.
+    fit = 9 if isinstance(data_type, T.IntegerType) else 18 if isinstance(data_type, T.LongType) else 2
+    digits = F.when(F.length(text) <= fit, F.when(F.conv(text, 10, 10) == text, text.try_cast(data_type)))
+    return F.coalesce(digits, F.when(whole != "", whole.try_cast(data_type)))
 
 
 def to_money(text: Column, data_type) -> Column:
     """Text to a decimal type; more places than it has are null unless they are zeros, however many there are."""
     places = data_type.scale
     exact = rf"^\s*[+-]?([0-9]+(\.[0-9]{{0,{places}}}0*)?|\.[0-9]{{1,{places}}}0*)\s*$"
-    return F.when(text.rlike(exact), F.trim(text).try_cast(data_type))
+    # Only a text with as many places as the type is cast before it is looked at: an exponent may name a number of any length.
+    usual = F.substring(text, -places - 1, 1) == "." if places else F.lit(False)
+    written = F.when(usual, _as_written(text, text.try_cast(data_type)))
+    return F.coalesce(written, F.when(text.rlike(exact), F.trim(text).try_cast(data_type)))
 
 
 def to_day(text: Column) -> Column:
     """Text to a day; a time may follow, and anything else after the day gives null, as does a month without a day."""
     day = F.regexp_extract(text, r"^\s*([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})([\sT].*)?$", 1)
     bare = text.rlike(r"^\s*[0-9-]+\s*$")
-    return F.when(bare | text.try_cast("timestamp").isNotNull(), day.try_cast("date"))
+    written = F.when(F.length(text) == 10, _as_written(text, text.try_cast("date")))
+    # Hours over 23, minutes and seconds over 59 are no time; a cast would find out by an error that it makes and drops.
+    no_time = text.rlike(r"^\s*[0-9-]+[\sT](2[4-9]|[3-9][0-9]):|^\s*[0-9-]+[\sT][0-9]{1,2}:([0-9]{1,2}:)?[6-9][0-9]")
+    timed = F.when(~no_time, text.try_cast("timestamp"))
+    return F.coalesce(written, F.when(bare | timed.isNotNull(), day.try_cast("date")))
+
+
+def _as_written(text: Column, value: Column) -> Column:
+    """The value if its own text is the given one, else null: what a cast has changed nothing about needs no pattern."""
+    return F.when(value.cast("string") == text, value)
 
 
 def base_name(path: str | Column) -> Column:

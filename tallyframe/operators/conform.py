@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -93,7 +94,7 @@ WIDTHS = tuple(16 * 4**k for k in range(7))
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(line, source_file, state) of every line but blank ones and each file's header."""
+    """(line, source_file, length, modified) of every line but blank ones and each file's header."""
     layout = T.StructType([T.StructField(LINE, T.StringType()), T.StructField(BAD_LINE, T.StringType())])
     raw = (
         spark.read.schema(layout)
@@ -106,28 +107,30 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         .option("quote", "")
         .csv(exact_paths(paths))
     )
-    path = plain_path_column(F.col("_metadata.file_path"))
-    modified = F.unix_millis(F.col("_metadata.file_modification_time")).cast("string")
     return raw.select(
         # A line that does hold the character is no single cell, and kept as a whole.
         F.coalesce(BAD_LINE, LINE).alias("line"),
-        path.alias("source_file"),
-        F.concat_ws("|", path, F.col("_metadata.file_size").cast("string"), modified).alias("state"),
+        plain_path_column(F.col("_metadata.file_path")).alias("source_file"),
+        F.col("_metadata.file_size").alias("length"),
+        F.unix_millis(F.col("_metadata.file_modification_time")).alias("modified"),
     )
 
 
 def _headers(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
-    """Per file its header, the places of the contract's columns and of the others, and its key."""
+    """Per file its header, the places of the contract's columns and of the others, and the state it was checked in."""
+    states = [_state(path, key) for g in groups for path, key in zip(g.paths, g.keys, strict=True)]
     files = pa.table(
         {
             "source_file": pa.array([path for g in groups for path in g.paths], pa.string()),
-            "file_key": pa.array([key for g in groups for key in g.keys], pa.string()),
+            "checked_length": pa.array([length for length, _ in states], pa.int64()),
+            "checked_modified": pa.array([modified for _, modified in states], pa.int64()),
             "number": pa.array([n for n, g in enumerate(groups) for _ in g.paths], pa.int32()),
         }
     )
     headers = pa.table(
         {
             "number": pa.array(range(len(groups)), pa.int32()),
+            "n_cells": pa.array([len(g.header) for g in groups], pa.int32()),
             "header": pa.array([g.header for g in groups], pa.list_(pa.string())),
             "places": pa.array([[g.header.index(n) for n in SALES_CONTRACT.names] for g in groups], pa.list_(pa.int32())),
             "others": pa.array(
@@ -138,15 +141,19 @@ def _headers(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
     return spark.createDataFrame(files).join(spark.createDataFrame(headers), "number").drop("number")
 
 
+def _state(path: str, key: str | None) -> tuple[int | None, int | None]:
+    """Length and time of change that a file's key names; nulls without a key, and what no file has for a key of another form."""
+    if key is None:
+        return None, None
+    found = re.fullmatch(r"\|([0-9]{1,18})\|(-?[0-9]{1,18})", key[len(path) :]) if key.startswith(path) else None
+    return (int(found[1]), int(found[2])) if found else (-1, -1)
+
+
 def _parse_class(spark: SparkSession, width: int, groups: list[HeaderGroup]) -> DataFrame:
     """The rows of files whose headers have at most ``width`` cells."""
-    cells = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(width + 1)])
     lines = _lines(spark, [path for g in groups for path in g.paths])
-    known = lines.join(_headers(spark, groups), "source_file", "left").withColumn(
-        # The mark stands where the header ends, unless a line has fewer or more cells.
-        "parsed", F.from_csv(F.concat("line", F.lit(f",{END}")), cells.simpleString(), {"sep": ","}),
-    )
-    held = known.select("*", F.array(*[f"parsed.{n}" for n in cells.names]).alias("cells")).drop("parsed")
+    known = lines.join(_headers(spark, groups), "source_file", "left")
+    held = known.select("*", _cells("line", width).alias("cells"))
     placed = held.select(
         "*", *[F.get("cells", F.get("places", F.lit(k))).alias(name) for k, name in enumerate(SALES_CONTRACT.names)]
     )
@@ -158,8 +165,8 @@ def _parse_class(spark: SparkSession, width: int, groups: list[HeaderGroup]) ->
         for f in SALES_CONTRACT.fields
         if not isinstance(f.dataType, T.StringType)
     }
-    torn = ~F.get("cells", F.size("header")).eqNullSafe(F.lit(END))
-    other = F.col("header").isNull() | (F.col("file_key") != F.col("state"))
+    torn = ~F.get("cells", F.col("n_cells")).eqNullSafe(F.lit(END))
+    other = F.col("n_cells").isNull() | (F.col("checked_length") != F.col("length")) | (F.col("checked_modified") != F.col("modified"))
     changed = F.concat(F.lit("Header was checked on another state of "), F.col("source_file"))
     bad = torn | reduce(Column.__or__, misfit.values())
     faults = F.concat_ws(",", *[F.when(wrong, F.lit(name)) for name, wrong in misfit.items()])
@@ -174,6 +181,20 @@ def _parse_class(spark: SparkSession, width: int, groups: list[HeaderGroup]) ->
     )
 
 
+def _cells(line: str, width: int) -> Column:
+    """The cells of a line and a mark behind the last, cut off after ``width`` + 1; an empty cell is null, a quoted empty one is not.
+
+    A line without quotes is cut at its commas, which is what the CSV parser makes of it, at a fraction of the parser's work."""
+    layout = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(width + 1)])
+    # The mark stands where the header ends, unless a line has fewer or more cells.
+    marked = F.concat(line, F.lit(f",{END}"))
+    parsed = F.from_csv(marked, layout.simpleString(), {"sep": ","})
+    # The parser takes a zero character in front for the mark of a comment.
+    plain = ~F.contains(F.col(line), F.lit('"')) & ~F.startswith(F.col(line), F.lit("\0"))
+    cut = F.transform(F.split(marked, ",", width + 2), lambda cell: F.nullif(cell, F.lit("")))
+    return F.when(plain, cut).otherwise(F.array(*[parsed[n] for n in layout.names]))
+
+
 def _typed(target: T.StructField) -> Column:
     value = F.col(target.name)
     if isinstance(target.dataType, T.IntegralType):

@@ -36,8 +36,10 @@ def plain_path(path: str) -> str:
 
 
 def plain_path_column(path: Column) -> Column:
-    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, "^file:/+", "file:///")
+    # Most paths are plain as they come, and this is asked for every line.
+    decoded = F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    is_plain = ~F.startswith(decoded, F.lit("file:/")) | (F.startswith(decoded, F.lit("file:///")) & ~F.startswith(decoded, F.lit("file:////")))
+    return F.when(is_plain, decoded).otherwise(F.regexp_replace(decoded, "^file:/+", "file:///"))
 
 
 def files_frame(statuses: DataFrame) -> DataFrame:

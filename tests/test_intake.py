@@ -328,3 +328,22 @@ def test_quotes_marks_and_odd_characters(spark, tmp_path):
     assert len(parsed) == len(plain) == 8
     assert names == {int(r.customer_id): r.product_name for r in plain if r.customer_id.strip() in set("123456")}
     assert sorted(r.reason.split(":")[0] for r in parsed if not r.fits) == ["bad value", "wrong number of cells"]
+
+
+def test_lines_without_quotes_are_cut_and_quoted_ones_parsed_alike(spark, tmp_path):
+    cells = ["1", "121", "soap", "2023-03-03", "1", "1.50", "2", "3.00", "UPI", "north"]
+    lines = [cells, [*cells[:8], "", ""], [*cells[:8], "UPI", ""], cells[:9], [*cells, ""], ["", *cells[1:]], [" 1 ", *cells[1:]], ["x", *cells[1:]]]
+    for name, quote in (("plain", "%s"), ("quoted", '"%s"')):
+        text = "\n".join(",".join(quote % c if c else c for c in line) for line in lines)
+        put(tmp_path, f"{name}/a b%41.csv", VALID + ",payment_mode,zone\n" + text + "\n")
+        put(tmp_path, f"{name}/b.csv", VALID + "\n" + ",".join(quote % c for c in cells[:8]) + "\n")
+    held = {}
+    for name in ("plain", "quoted"):
+        parsed = parse_files(spark, header_groups(check_files(list_files(spark, f"{tmp_path}/{name}"))))
+        torn = "wrong number of cells"
+        held[name] = as_text(parsed.selectExpr(*SALES_FACT.names, "fits", "reason", f"if(reason = '{torn}', null, raw_record)"))
+        assert "split(" in parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert held["plain"] == held["quoted"]
+    assert len(held["plain"]) == 9
+    folded = accepted_rows(parsed).select("additional_column").collect()
+    assert sorted((r[0] or "" for r in folded)) == ["", "", "UPI", "UPI,north", "UPI,north", "UPI,north"]
