@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,10 +34,10 @@ def fold_columns(names: Sequence[str]) -> Column:
     return folded.alias(ADDITIONAL_COLUMN)
 
 
-def fold_cells(cells: str | Column, places: str | Column) -> Column:
-    """The cells at the given places (from 0) joined as ``fold_columns`` joins columns."""
+def fold_cells(cells: str | Column, places: str | Column, meant: Callable[[Column], Column] = lambda cell: cell) -> Column:
+    """The cells at the given places (from 0) joined as ``fold_columns`` joins columns; ``meant`` gives what a cell stands for."""
     held = F.col(cells) if isinstance(cells, str) else cells
-    return F.when(F.size(places) > 0, F.concat_ws(",", F.transform(places, lambda at: F.get(held, at))))
+    return F.when(F.size(places) > 0, F.concat_ws(",", F.transform(places, lambda at: meant(F.get(held, at)))))
 
 
 def incentive(total: Column, is_best: Column) -> Column:

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions import fold_cells, to_day, to_money, to_whole_number
-from tallyframe.operators.contract import good_files
+from tallyframe.operators.contract import good_files, header_cells
 from tallyframe.schema import ADDITIONAL_COLUMN, SALES_CONTRACT, SALES_FACT
 from tallyframe.sources.files import exact_paths, plain_path_column
 
@@ -51,13 +52,31 @@ def parse_files(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
     Headers are rows of a small table, not plans: lines are read once, whatever the number of headers, and each line's
     cells are placed by the header of its own file. A line is cut into as many cells as the widest header has, so headers
     of very different widths go by classes of width, of which there are ``len(WIDTHS)`` at most, each with a scan of
-    its own. The read stops if a file is not in the state in which its header was checked.
+    its own. The read stops if a file is not in the state in which its header was checked. A header that comes again in
+    its file is a row; only for rows that do not fit, lines are looked through once more to find such headers.
     """
+    rows = parse_lines(spark, groups)
+    return rows.where("not is_header").drop("is_header").unionByName(repeated_headers(spark, groups))
+
+
+def parse_lines(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
+    """As ``parse_files``, by one read, with all lines that are written as their file's header: those have ``is_header``. They hold
+    names where numbers belong, so they never fit. Where there are more of them than files, ``repeated_headers`` has the rest."""
+    return _by_width(spark, groups, _parse_class)
+
+
+def repeated_headers(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
+    """The rows of ``parse_files`` that are written as the header of their file: all but the first of each file. Lines of the whole
+    text are read for them and few are parsed; who asks for rows that fit reads none."""
+    return _by_width(spark, groups, _repeated_headers).drop("is_header")
+
+
+def _by_width(spark: SparkSession, groups: list[HeaderGroup], parse: Callable[..., DataFrame]) -> DataFrame:
     classes: dict[int, list[HeaderGroup]] = {}
     for group in groups:
         width = next(w for w in WIDTHS if len(group.header) <= w)
         classes.setdefault(width, []).append(group)
-    parts = [_parse_class(spark, width, classes[width]) for width in sorted(classes)]
+    parts = [parse(spark, width, classes[width]) for width in sorted(classes)]
     if not parts:
         layout = T.StructType(
             [
@@ -66,6 +85,7 @@ def parse_files(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
                 T.StructField("fits", T.BooleanType()),
                 T.StructField("reason", T.StringType()),
                 T.StructField("raw_record", T.StringType()),
+                T.StructField("is_header", T.BooleanType()),
             ]
         )
         return spark.createDataFrame([], layout)
@@ -87,35 +107,37 @@ def conform(spark: SparkSession, checked: DataFrame) -> DataFrame:
     return accepted_rows(parse_files(spark, header_groups(checked))).select(*SALES_FACT.names)
 
 
-# Columns of a line as read, the mark after a line's last cell, a character that parts no cells, and the
-# classes of widths (a header line of bounded length has fewer cells than the last).
-LINE, BAD_LINE, END, NO_SEPARATOR = "tallyframe_line", "tallyframe_bad_line", "\x02tallyframe end\x02", "\x01"
+# The mark after a line's last cell, and the classes of widths (a header line of bounded length has fewer
+# cells than the last).
+END = "\x02tallyframe end\x02"
 WIDTHS = tuple(16 * 4**k for k in range(7))
 
 
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(line, source_file, length, modified) of every line but blank ones and each file's header."""
-    layout = T.StructType([T.StructField(LINE, T.StringType()), T.StructField(BAD_LINE, T.StringType())])
-    raw = (
-        spark.read.schema(layout)
-        .option("header", True)
-        # The one column of this layout is no file's header; states are compared instead.
-        .option("enforceSchema", True)
-        .option("columnNameOfCorruptRecord", BAD_LINE)
-        .option("columnPruning", False)
-        .option("sep", NO_SEPARATOR)
-        .option("quote", "")
-        .csv(exact_paths(paths))
-    )
-    return raw.select(
-        # A line that does hold the character is no single cell, and kept as a whole.
-        F.coalesce(BAD_LINE, LINE).alias("line"),
+def _lines(spark: SparkSession, paths: list[str], *more: Column) -> DataFrame:
+    """(line, may_be_header, source_file, length, modified) of every line but blank ones, headers too. The text reader cuts files
+    into the same lines as the CSV reader, which would look at each character of a line again."""
+    raw = spark.read.text(exact_paths(paths))
+    # Blank is what has nothing above a space; most lines begin with such a character.
+    lines = raw.where((F.substring("value", 1, 1) > " ") | F.col("value").rlike(r"[^\x00-\x20]"))
+    # Hardly a line but headers names all columns of the contract. Bytes that are no UTF-8 are replaced as in the reading of headers.
+    named = reduce(Column.__and__, [F.contains("value", F.lit(name)) for name in SALES_CONTRACT.names])
+    return lines.select(
+        # A replacement by a pattern replaces such bytes as the CSV reader does.
+        F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(F.regexp_replace("value", r"\z", "")).alias("line"),
+        F.when(named, F.make_valid_utf8("value")).alias("may_be_header"),
         plain_path_column(F.col("_metadata.file_path")).alias("source_file"),
         F.col("_metadata.file_size").alias("length"),
         F.unix_millis(F.col("_metadata.file_modification_time")).alias("modified"),
+        *more,
     )
 
 
+def _is_header() -> Column:
+    """Whether a line is written as the header of its file."""
+    alike = [header_cells(F.col(line)) == F.col("written") for line in ("may_be_header", "line")]
+    return F.when(F.col("may_be_header").isNotNull(), F.coalesce(alike[0] | alike[1], F.lit(False))).otherwise(F.lit(False))
+
+
 def _headers(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
     """Per file its header, the places of the contract's columns and of the others, and the state it was checked in."""
     states = [_state(path, key) for g in groups for path, key in zip(g.paths, g.keys, strict=True)]
@@ -132,6 +154,7 @@ def _headers(spark: SparkSession, groups: list[HeaderGroup]) -> DataFrame:
             "number": pa.array(range(len(groups)), pa.int32()),
             "n_cells": pa.array([len(g.header) for g in groups], pa.int32()),
             "header": pa.array([g.header for g in groups], pa.list_(pa.string())),
+            "written": pa.array([g.cells for g in groups], pa.list_(pa.string())),
             "places": pa.array([[g.header.index(n) for n in SALES_CONTRACT.names] for g in groups], pa.list_(pa.int32())),
             "others": pa.array(
                 [[k for k, n in enumerate(g.header) if n not in SALES_CONTRACT.names] for g in groups], pa.list_(pa.int32())
@@ -150,12 +173,27 @@ def _state(path: str, key: str | None) -> tuple[int | None, int | None]:
 
 
 def _parse_class(spark: SparkSession, width: int, groups: list[HeaderGroup]) -> DataFrame:
-    """The rows of files whose headers have at most ``width`` cells."""
-    lines = _lines(spark, [path for g in groups for path in g.paths])
-    known = lines.join(_headers(spark, groups), "source_file", "left")
-    held = known.select("*", _cells("line", width).alias("cells"))
+    """The lines of files whose headers have at most ``width`` cells."""
+    known = _lines(spark, [path for g in groups for path in g.paths]).join(_headers(spark, groups), "source_file", "left")
+    return _parsed(known.withColumn("is_header", _is_header()), width)
+
+
+def _repeated_headers(spark: SparkSession, width: int, groups: list[HeaderGroup]) -> DataFrame:
+    places = [F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("number")]
+    lines = _lines(spark, [path for g in groups for path in g.paths], *places).where("may_be_header is not null")
+    alike = lines.join(_headers(spark, groups), "source_file", "left").withColumn("is_header", _is_header()).where("is_header")
+    of_file = Window.partitionBy("source_file").orderBy("block", "number")
+    repeated = alike.withColumn("nth", F.row_number().over(of_file)).where("nth > 1").drop("block", "number", "nth")
+    return _parsed(repeated, width, fits=F.lit(False))
+
+
+def _parsed(known: DataFrame, width: int, fits: Column | None = None) -> DataFrame:
+    """Lines with the header of their file to rows; ``fits`` if that is known before."""
+    held = _with_cells(known, width)
+    # An empty cell is null; where the parser has been at work, only a quoted one is left empty.
+    meant = lambda cell: F.when(~F.col("plain") | (cell != ""), cell)
     placed = held.select(
-        "*", *[F.get("cells", F.get("places", F.lit(k))).alias(name) for k, name in enumerate(SALES_CONTRACT.names)]
+        "*", *[meant(F.get("cells", F.get("places", F.lit(k)))).alias(name) for k, name in enumerate(SALES_CONTRACT.names)]
     )
     # Each cell is cast once, here; what follows looks at the results. A row is generated, not projected, since a filter on
     # what follows would be moved below a projection, and parse the line again for every column that it names.
@@ -170,29 +208,34 @@ def _parse_class(spark: SparkSession, width: int, groups: list[HeaderGroup]) ->
     changed = F.concat(F.lit("Header was checked on another state of "), F.col("source_file"))
     bad = torn | reduce(Column.__or__, misfit.values())
     faults = F.concat_ws(",", *[F.when(wrong, F.lit(name)) for name, wrong in misfit.items()])
-    filled = F.filter(F.arrays_zip("header", F.slice("cells", F.lit(1), F.size("header"))), lambda x: x["1"].isNotNull())
+    filled = F.filter(F.arrays_zip("header", F.slice("cells", F.lit(1), F.size("header"))), lambda x: meant(x["1"]).isNotNull())
+    checked = lambda found: F.when(other, F.raise_error(changed).cast("boolean")).otherwise(found)
+    torn = torn if fits is None else checked(torn)
     return typed.select(
         *[F.col(f"typed.{f.name}").alias(f.name) for f in SALES_CONTRACT.fields],
-        fold_cells("cells", "others").alias(ADDITIONAL_COLUMN),
+        fold_cells("cells", "others", meant).alias(ADDITIONAL_COLUMN),
         "source_file",
-        F.when(other, F.raise_error(changed).cast("boolean")).otherwise(~bad).alias("fits"),
+        (checked(~bad) if fits is None else fits).alias("fits"),
         F.when(torn, F.lit("wrong number of cells")).when(bad, F.concat(F.lit("bad value: "), faults)).alias("reason"),
         F.when(torn, F.to_json(F.struct("line"))).when(bad, F.to_json(F.map_from_entries(filled))).alias("raw_record"),
+        "is_header",
     )
 
 
-def _cells(line: str, width: int) -> Column:
-    """The cells of a line and a mark behind the last, cut off after ``width`` + 1; an empty cell is null, a quoted empty one is not.
+def _with_cells(known: DataFrame, width: int) -> DataFrame:
+    """Adds the cells of ``line`` and a mark behind the last, cut off after ``width`` + 1, and whether the line is ``plain``.
 
-    A line without quotes is cut at its commas, which is what the CSV parser makes of it, at a fraction of the parser's work."""
+    A plain line, one without quotes, is cut at its commas, at a fraction of the CSV parser's work; its empty cells are empty. The
+    parser makes them null, and leaves those empty that are quoted."""
     layout = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(width + 1)])
     # The mark stands where the header ends, unless a line has fewer or more cells.
-    marked = F.concat(line, F.lit(f",{END}"))
-    parsed = F.from_csv(marked, layout.simpleString(), {"sep": ","})
+    marked = F.concat("line", F.lit(f",{END}"))
     # The parser takes a zero character in front for the mark of a comment.
-    plain = ~F.contains(F.col(line), F.lit('"')) & ~F.startswith(F.col(line), F.lit("\0"))
-    cut = F.transform(F.split(marked, ",", width + 2), lambda cell: F.nullif(cell, F.lit("")))
-    return F.when(plain, cut).otherwise(F.array(*[parsed[n] for n in layout.names]))
+    plain = ~F.contains(F.col("line"), F.lit('"')) & ~F.startswith(F.col("line"), F.lit("\0"))
+    # Parsed in a step of its own: a plan that has the parser once per cell takes the square of the width.
+    parsed = F.when(~F.col("plain"), F.from_csv(marked, layout.simpleString(), {"sep": ","}))
+    cells = F.when(F.col("plain"), F.split(marked, ",", width + 2)).otherwise(F.array(*[F.col(f"parsed.{n}") for n in layout.names]))
+    return known.withColumn("plain", plain).withColumn("parsed", parsed).withColumn("cells", cells).drop("parsed")
 
 
 def _typed(target: T.StructField) -> Column:

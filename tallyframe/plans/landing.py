@@ -24,7 +24,8 @@ FEEDS = {
 
 def land(feed: DataFrame, landing: str) -> str:
     """Write one feed as CSV files of even size, whatever the files it was read from."""
-    write_frame(feed.hint("rebalance"), landing, "csv")
+    # By all columns: without any, Spark sorts the rows of each task before it deals them out.
+    write_frame(feed.hint("rebalance", *feed.columns), landing, "csv")
     return landing
 
 
@@ -61,7 +62,7 @@ def land_feeds(spark: SparkSession, sf_dir: str, regions=tuple(FEEDS)) -> str:
     landing = scratch_path(spark, "landing")
     staged = scratch_path(spark, "lines")
     lines = regional_lines(spark, sf_dir).where(F.col("region").isin(*regions))
-    lines.hint("rebalance").write.partitionBy("region").parquet(staged)
+    lines.hint("rebalance", *lines.columns).write.partitionBy("region").parquet(staged)
     stored = spark.read.schema(lines.schema).parquet(staged)
     for name in regions:
         feed = stored.where(F.col("region") == name).select(*FEEDS[name])

@@ -36,7 +36,10 @@ def sales_lines(spark: SparkSession, sf_dir: str, with_product: bool = True) ->
     row; whoever needs no product column leaves that join out.
     """
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
+    # Days are made before the join: once per order, not once per sale.
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("sales_date"), "o_orderpriority"
+    )
     sellers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner").join(
         sellers, F.col("l_suppkey") == F.col("s_suppkey"), "inner"
@@ -52,7 +55,7 @@ def sales_lines(spark: SparkSession, sf_dir: str, with_product: bool = True) ->
     return joined.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("s_nationkey").cast("bigint").alias("store_id"),
-        F.col("o_orderdate").cast("date").alias("sales_date"),
+        "sales_date",
         F.col("l_suppkey").alias("sales_person_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_extendedprice").cast(MONEY).alias("total_cost"),
