@@ -16,19 +16,18 @@ def write_frame(df: DataFrame, path: str, data_format: str = "parquet", mode: st
     writer.save(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], touched_only: bool = False, more: bool = False) -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], touched_only: bool = False) -> None:
     """Write one folder per value of ``by``.
 
     The rebalance hint brings the rows of a folder together, so that few files come out, and
     still cuts a folder with very many rows into several tasks; a plain ``repartition`` on
     the same columns would give that folder to one task. With ``touched_only`` the folders
-    that the frame has no rows for stay as they are, with ``more`` the rows come to those that are there, otherwise the
-    whole table is replaced.
+    that the frame has no rows for stay as they are, otherwise the whole table is replaced.
     """
     writer = (
         df.hint("rebalance", *by)
         .write.format("parquet")
-        .mode("append" if more else "overwrite")
+        .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if touched_only else "static")
         .partitionBy(*by)
     )
