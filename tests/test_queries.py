@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the smallest data set, value for value."""
 
 import os
+from types import SimpleNamespace
 
 import duckdb
 import pytest
@@ -46,3 +47,13 @@ def test_query(spark, database, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["database_marts"])
+@pytest.mark.parametrize("master", ["local-cluster[3,4,1024]", "spark://host:7077"])
+def test_executors_of_their_own_need_a_named_database(monkeypatch, name, master):
+    """The embedded database of one process is not what another one writes to; nothing is read or written before that is told."""
+    monkeypatch.delenv("TALLYFRAME_JDBC_URL", raising=False)
+    session = SimpleNamespace(sparkContext=SimpleNamespace(master=master))
+    with pytest.raises(RuntimeError, match="TALLYFRAME_JDBC_URL"):
+        OWN[name](session, SF_DIR)
