@@ -49,7 +49,7 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["database_marts"])
+@pytest.mark.parametrize("name", ["database_marts", "jdbc_roundtrip"])
 @pytest.mark.parametrize("master", ["local-cluster[3,4,1024]", "spark://host:7077"])
 def test_executors_of_their_own_need_a_named_database(monkeypatch, name, master):
     """The embedded database of one process is not what another one writes to; nothing is read or written before that is told."""
