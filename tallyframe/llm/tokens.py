@@ -18,10 +18,11 @@ import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,13 +35,15 @@ from tallyframe.session import scratch_path
 BLOCK, LEVEL, END_ID = 1 << 16, 3, 2
 #: Pieces that an encoder remembers before it starts anew: bounds the memory of a worker.
 REMEMBERED = 600_000
+#: Bytes of text that are encoded at a time, as far as whole documents allow.
+TEXT_BYTES = 4 << 20
 #: Bytes of shards that one task reads back, as far as whole files allow.
 READ_BYTES = 4 << 20
 MAGIC = b"PLN1"
 # The texts and words of Latin-1 for which any library agrees on letters and digits, and how the
 # vocabulary's own pattern cuts such a word.
 LATIN, LOWER, PLAIN = re.compile("[\x00-\xff]*"), re.compile("[a-zß-öø-ÿ]+"), re.compile("[!-@[-`{-~a-zß-öø-ÿ]+")
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]| |[^ 0-9a-zß-öø-ÿ]+")
 MANIFEST = "shard int, file string, docs long, ids long, bytes long"
 
 
@@ -60,56 +63,56 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         octets = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.octets = {c: octets.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x100)}
+        # By code point, all of them: a character that a table lacks costs str.translate an exception.
+        self.octets = [chr(c) if c < 0x80 else octets.pre_tokenize_str(chr(c))[0][0] for c in range(0x100)]
         self._forget()
 
     def _forget(self):
-        encoder = self
-
-        class Known(dict):
-            def __missing__(self, piece):
-                self[piece] = place = len(self)
-                encoder.new.append(piece)
-                return place
-
-        self.known, self.new = Known(), []
+        self.known: dict[str, int] = {}
         self.ids, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _learn(self):
+    def _learn(self, new: list[str]) -> None:
         """Ids of the pieces not met before; a word that has marks on it takes the ids of its parts."""
-        whole, place = self.new, len(self.starts) - 1
-        cut = [None if LOWER.fullmatch(p) else PARTS.findall(p) if PLAIN.fullmatch(p) and "<|" not in p else None for p in whole]
-        for parts in cut:
-            if parts and len(parts) > 1:
-                for part in parts:
-                    self.known[part]  # noqa: B018  (joins the new ones, if it is one)
-        made = [None] * len(self.new)
-        odd = []
-        for k, p in enumerate(self.new):
-            if k < len(cut) and cut[k] and len(cut[k]) > 1:
-                continue
+        known, words, odd, cut = self.known, [], [], []
+        for p in new:
             if LOWER.fullmatch(p):
-                made[k] = [t.id for t in self.model.tokenize(p if p.isascii() else p.translate(self.octets))]
+                words.append(p)
+            elif PLAIN.fullmatch(p) and "<|" not in p and not PARTS.fullmatch(p):
+                cut.append(p)
             else:
-                odd.append(k)
-        for k, x in zip(odd, self.tokenizer.encode_batch([self.new[k] for k in odd], add_special_tokens=False), strict=True):
-            made[k] = x.ids
-        ids, starts, known, old = self.ids, self.starts, self.known, {}
-        for k, parts in enumerate(cut):
-            if made[k] is None:
-                made[k] = joined = []
-                for part in parts:
-                    at = known[part]
-                    if at >= place:
-                        joined.extend(made[at - place])
-                    else:
-                        if at not in old:
-                            old[at] = ids[starts[at] : starts[at + 1]].tolist()
-                        joined.extend(old[at])
-        ends = np.cumsum(np.fromiter(map(len, made), np.int64, len(made))) + self.starts[-1]
-        self.starts = np.concatenate([self.starts, ends])
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(made), np.uint32)])
-        self.new = []
+                odd.append(p)
+        # All such words in one call; the space between two of them is a part of its own, without ids.
+        parts, own = PARTS.findall(" ".join(cut)), set(new)
+        for p in dict.fromkeys(parts):
+            if p not in known and p not in own:
+                (words if LOWER.fullmatch(p) else odd).append(p)
+        sizes, ids = [], []
+        for p in " ".join(words).translate(self.octets).split(" ") if words else []:
+            made = self.model.tokenize(p)
+            sizes.append(len(made))
+            ids += [t.id for t in made]
+        for made in self.tokenizer.encode_batch(odd, add_special_tokens=False):
+            sizes.append(len(made.ids))
+            ids += made.ids
+        self._keep([*words, *odd], sizes, ids)
+        if cut:
+            places = np.fromiter(map(known.__getitem__, parts), np.int64, len(parts))
+            ids, sizes = self._taken(places)
+            firsts = np.concatenate([[0], np.flatnonzero(places == known[" "])])
+            self._keep(cut, np.add.reduceat(sizes, firsts), ids)
+
+    def _keep(self, pieces: list[str], sizes, ids) -> None:
+        place = len(self.starts) - 1
+        self.known.update(zip(pieces, range(place, place + len(pieces)), strict=True))
+        self.starts = np.concatenate([self.starts, np.cumsum(sizes, dtype=np.int64) + self.starts[-1]])
+        self.ids = np.concatenate([self.ids, np.asarray(ids, np.uint32)])
+
+    def _taken(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces at these places, one after another, and how many each has."""
+        first = self.starts[places]
+        sizes = self.starts[places + 1] - first
+        ends = np.cumsum(sizes)
+        return self.ids[np.repeat(first - ends + sizes, sizes) + np.arange(sizes.sum())], sizes
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many each text has."""
@@ -117,17 +120,18 @@ class Encoder:
             self._forget()
         texts = [t if "<|" in t or not LATIN.fullmatch(t) else t.lower() for t in texts]
         texts = [t.replace("\n", " ") for t in texts]
-        counts = np.fromiter((t.count(" ") + 1 for t in texts), np.int64, len(texts))
-        pieces = " ".join(texts).split(" ") if texts else []
-        places = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        self._learn()
-        first = self.starts[places]
-        sizes = self.starts[places + 1] - first
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(first - ends + sizes, sizes) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return ids, np.diff(bounds)
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        # Arrow tells equal pieces apart from new ones, so that Python sees each piece of these texts once.
+        coded = cut.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False)
+        places = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(places < 0)
+        new = pieces[missing].tolist()
+        self._learn(new)
+        places[missing] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        ids, sizes = self._taken(places[coded.indices.to_numpy()])
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, np.diff(ends[np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])])
 
 
 @lru_cache(maxsize=1)
@@ -249,8 +253,10 @@ def write_tokens(docs: DataFrame, folder: str, doc_id: str, text: str, vocabular
         encoder, writer = encoder_of(vocabulary), None
         for batch in batches:
             # A few MB of text at a time, whatever the rows of a batch are.
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(), dtype=np.int64)
+            cuts = np.flatnonzero(np.diff((ends - 1) // TEXT_BYTES)) + 1
+            for at, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+                part = batch.slice(at, end - at)
                 writer = writer or ShardWriter(folder, TaskContext.get().partitionId(), block, planes)
                 ids, counts = encoder.encode(part.column("text").to_pylist())
                 ids = np.insert(ids, np.cumsum(counts), end_id)

@@ -212,6 +212,45 @@ def test_encoder_equals_the_library():
         assert [p.tolist() for p in parts] == [x.ids for x in encoder.tokenizer.encode_batch(odd, add_special_tokens=False)]
 
 
+def test_encoder_equals_the_library_on_mixed_pieces(monkeypatch):
+    import public_tokenizers
+
+    rng = np.random.default_rng(5)
+    some = ["a", "the", "s", "'s", "'", "l", "'re", "é", "ÿß", "È", "B", ".", "..", "<", "|", "<|", "7", "½", "µ", "ª", "\xa0", "\t", "İ", "中", "\u0301", " ", " ", "  ", "\n"]
+    texts = ["".join(rng.choice(some, rng.integers(0, 40))) for _ in range(3000)]
+    encoder = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(tokens, "REMEMBERED", 1000)
+    for at in range(0, len(texts), 500):
+        ids, counts = encoder.encode(texts[at : at + 500])
+        expected = encoder.tokenizer.encode_batch(texts[at : at + 500], add_special_tokens=False)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == [x.ids for x in expected]
+    assert [x.tolist() for x in encoder.encode([])] == [[], []]
+
+
+def test_encoder_meets_each_piece_of_a_batch_once():
+    import public_tokenizers
+
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, piece):
+            Counted.asked += 1
+            return super().__getitem__(piece)
+
+        def get(self, piece, other=None):
+            Counted.asked += 1
+            return super().get(piece, other)
+
+    encoder = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["one two, l'été one\n" * 500] * 20
+    first = encoder.encode(texts)
+    encoder.known = Counted(encoder.known)
+    again = encoder.encode(texts)
+    assert all((a == b).all() for a, b in zip(first, again, strict=True))
+    # "one", "two,", "l'été" and the empty piece after the last line.
+    assert Counted.asked <= 4
+
+
 @pytest.mark.parametrize("planes", ["byte", "bit"])
 def test_planes_round_trip(spark, make, tmp_path, planes):
     import public_tokenizers
