@@ -15,7 +15,7 @@ from tallyframe.operators.conform import accepted_rows, conform, header_groups,
 from tallyframe.operators.contract import bad_files, check_files
 from tallyframe.operators.metrics import load_metrics
 from tallyframe.plans.batch import Database, Layout, load_dimensions, read_mart, run_batch, stored_fact
-from tallyframe.plans.landing import land, land_as, land_feeds, regional_lines
+from tallyframe.plans.landing import land, land_as, land_feeds, regional_lines, staged_lines
 from tallyframe.plans.tables import (
     FACT_ORDER,
     customer_table,
@@ -406,9 +406,11 @@ def run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def empty_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A delivery of which only the bad files come is an empty fact of the same layout, to which the next one is added."""
-    nothing = conform(spark, bad_files(check_files(list_files(spark, land_feeds(spark, sf_dir)))))
-    feed = sales_lines(spark, sf_dir).select(*FACT_ORDER, "payment_mode")
-    return nothing.unionByName(conform(spark, check_files(list_files(spark, land(feed, scratch_path(spark, "landing"))))))
+    with staged_lines(spark, sf_dir) as lines:
+        nothing = conform(spark, bad_files(check_files(list_files(spark, land_feeds(spark, sf_dir, lines=lines)))))
+        landing = scratch_path(spark, "landing")
+        write_frame(lines.select(*FACT_ORDER, "payment_mode"), landing, "csv")
+    return nothing.unionByName(conform(spark, check_files(list_files(spark, landing))))
 
 
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,13 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(LAYOUTS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sales_lines(spark: SparkSession, sf_dir: str, with_product: bool = True) -> DataFrame:
+def sales_lines(spark: SparkSession, sf_dir: str, with_product: bool = True, dealt: bool = False) -> DataFrame:
     """Sales fact, plus order priority, return flag and store region for the landing files.
 
     The product is looked up by its primary key with an outer join, which neither adds nor drops a
-    row; whoever needs no product column leaves that join out.
+    row; whoever needs no product column leaves that join out. With ``dealt`` the lines are spread evenly over
+    tasks whatever the files they are read from, while they are narrow.
     """
     lines = table(spark, sf_dir, "lineitem")
+    if dealt:
+        lines = lines.hint("rebalance")
     orders = table(spark, sf_dir, "orders")
     sellers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner").join(
